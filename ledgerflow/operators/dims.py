@@ -1,0 +1,21 @@
+"""Dimension handling: broadcast only behind a proven size bound."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..session import broadcast_max_rows
+
+
+def bounded_broadcast(dim: DataFrame, max_rows: int | None = None) -> DataFrame:
+    """Hint a broadcast only when the side provably has <= max_rows rows.
+
+    The proof is a bounded job (``limit(max_rows + 1).count()``): it reads at
+    most max_rows + 1 rows.  Past the bound no hint is given and the planner
+    keeps its shuffle join; AQE may still switch to a broadcast at runtime
+    from real shuffle sizes (``spark.sql.adaptive.autoBroadcastJoinThreshold``).
+    """
+    limit = max_rows if max_rows is not None else broadcast_max_rows(dim.sparkSession)
+    n = dim.limit(limit + 1).count()
+    return F.broadcast(dim) if n <= limit else dim
