@@ -37,6 +37,12 @@ def pct_or_zero(num: Column | str, den: Column | str, digits: int = 2) -> Column
     return F.coalesce(pct(num, den, digits), F.lit(0.0))
 
 
+def avg_rate(c: Column | str, digits: int) -> Column:
+    """Average of 2-decimal rates, exact: DECIMAL average (scale 6, HALF_UP) then
+    rounded to ``digits``; float ties cannot flip between engines."""
+    return F.round(F.avg(col_(c).cast("decimal(12,2)")), digits).cast("double")
+
+
 def count_when(cond: Column) -> Column:
     """COUNT(CASE WHEN cond THEN 1 END) as BIGINT."""
     return F.count(F.when(cond, F.lit(1)))

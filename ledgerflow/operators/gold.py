@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import as_double, count_when, pct, pct_or_zero, sum_when
+from ..functions.exprs import as_double, avg_rate, count_when, pct, pct_or_zero, sum_when
 
 COMPLETED = "COMPLETED"
 FAILED = "FAILED"
@@ -87,7 +87,7 @@ def merchant_30d(daily: DataFrame, as_of: str, days: int = 30) -> DataFrame:
     return w.groupBy("merchant_id", "merchant_name", "business_category").agg(
         as_double(gmv).alias("gmv_30d"),
         F.sum("transaction_count").alias("transactions_30d"),
-        F.round(F.avg("failure_rate_pct"), 6).alias("avg_failure_rate_pct"),
+        avg_rate("failure_rate_pct", 6).alias("avg_failure_rate_pct"),
         F.max("transaction_date").alias("last_transaction_date"),
         merchant_tier(gmv).alias("merchant_tier"),
     )

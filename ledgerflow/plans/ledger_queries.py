@@ -97,7 +97,7 @@ def q_a5(spark, sf):
 SELECT merchant_id, merchant_name, business_category,
        CAST(SUM(gmv) AS DOUBLE) AS gmv_30d,
        SUM(transaction_count) AS transactions_30d,
-       ROUND(AVG(failure_rate_pct), 6) AS avg_failure_rate_pct,
+       CAST(CAST(AVG(CAST(failure_rate_pct AS DECIMAL(12,2))) AS DECIMAL(38,6)) AS DOUBLE) AS avg_failure_rate_pct,
        MAX(transaction_date) AS last_transaction_date,
        CASE WHEN SUM(gmv) >= 1000000 THEN 'PLATINUM' WHEN SUM(gmv) >= 500000 THEN 'GOLD'
             WHEN SUM(gmv) >= 100000 THEN 'SILVER' ELSE 'BRONZE' END AS merchant_tier
