@@ -76,3 +76,10 @@ def with_ctes(names: str, body: str) -> str:
         visit(n)
     parts = [f"{n} AS ({CTES[n]}\n)" for n in order]
     return "WITH " + ",\n".join(parts) + "\n" + body.strip()
+
+CTES["bronze"] = """
+  SELECT t.transaction_id, CAST(t.amount AS VARCHAR) AS amount, t.status, CAST(t.merchant_id AS VARCHAR) AS merchant_id,
+         CAST(t.customer_id AS VARCHAR) AS customer_id, CAST(t.transaction_date AS VARCHAR) AS transaction_date,
+         t.payment_method, m.merchant_name, m.city
+  FROM txn t LEFT JOIN merchants m ON t.merchant_id = m.merchant_id"""
+_DEPS["bronze"] = ("txn", "merchants")
