@@ -125,11 +125,10 @@ def with_duplicate_flags(df: DataFrame, columns: list[str]) -> DataFrame:
     for c in columns:
         dups = (df.where(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("_n"))
                 .where(F.col("_n") > 1).select(c, F.lit(True).alias(_dup_col(c))))
-        nulls = df.agg(F.count_if(F.col(c).isNull()).alias(f"__nulls_{c}"))
-        out = (out.join(dups, c, "left").crossJoin(F.broadcast(nulls))
-               .withColumn(_dup_col(c), F.when(F.col(c).isNull(), F.col(f"__nulls_{c}") > 1)
-                           .otherwise(F.coalesce(F.col(_dup_col(c)), F.lit(False))))
-               .drop(f"__nulls_{c}"))
+        nulls = df.agg(F.count_if(F.col(c).isNull())).scalar()
+        out = (out.join(dups, c, "left")
+               .withColumn(_dup_col(c), F.when(F.col(c).isNull(), nulls > 1)
+                           .otherwise(F.coalesce(F.col(_dup_col(c)), F.lit(False)))))
     return out
 
 
@@ -181,8 +180,8 @@ def run_suite(df: DataFrame, checks: list[Check]) -> DataFrame:
     for chk, a in ds:
         if chk.kind == "duplicate_values_max":
             dv = (df.where(F.col(chk.column).isNotNull()).groupBy(chk.column).count()
-                  .where(F.col("count") > 1).agg(F.count(F.lit(1)).cast("double").alias(a + "_v")))
-            row = row.crossJoin(dv).withColumn(a, F.col(a + "_v")).drop(a + "_v")
+                  .where(F.col("count") > 1).agg(F.count(F.lit(1)).cast("double")).scalar())
+            row = row.withColumn(a, dv)
     structs = []
     for chk, name in row_cols:
         n = F.col(name + "_n")
@@ -449,8 +448,7 @@ def classify_issue(df: DataFrame, id_col="transaction_id", amount_col="amount",
     blank merchant, outlier above ``outlier_factor`` x mean)."""
     n = normalise(df, amount_col, date_col, currency_col, status_col)
     n = with_duplicate_flags(n, [id_col])
-    mean = n.agg(F.avg(amount_col + "_norm").alias("_mean"))
-    n = n.crossJoin(F.broadcast(mean))
+    n = n.withColumn("_mean", n.agg(F.avg(amount_col + "_norm")).scalar())
     raw_amt = F.col(amount_col).cast("string")
     rules = [
         (is_blank(F.col(id_col)), "blank transaction_id", "H", False),
@@ -496,9 +494,8 @@ def row_decision(df: DataFrame, as_of: str, valid_currencies=("INR", "USD", "EUR
 def outliers(df: DataFrame, col: str, factor: float = 3.0) -> DataFrame:
     """Q23: rows above ``factor`` x the column average (scalar average is one
     row, broadcast)."""
-    avg = df.agg(F.avg(F.col(col)).alias("_avg"))
-    return (df.crossJoin(F.broadcast(avg)).withColumn("is_outlier", F.col(col) > F.col("_avg") * factor)
-            .drop("_avg"))
+    avg = df.agg(F.avg(F.col(col))).scalar()
+    return df.withColumn("is_outlier", F.col(col) > avg * factor)
 
 
 def future_dated(df: DataFrame, date_col: str, as_of: str) -> DataFrame:
@@ -557,8 +554,8 @@ def psi(reference: DataFrame, current: DataFrame, col: str, lo: float, hi: float
         raw = F.floor(F.lit(float(bins)) * (F.col(col).cast("double") - F.lit(lo)) / F.lit(hi - lo)) + 1
         b = F.least(F.greatest(raw, F.lit(1)), F.lit(bins)).cast("bigint")
         c = df.where(F.col(col).isNotNull()).groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("_c"))
-        tot = df.where(F.col(col).isNotNull()).agg(F.count(F.lit(1)).alias("_t"))
-        return c.crossJoin(F.broadcast(tot)).select("bin", (F.col("_c") / F.col("_t")).alias(name))
+        tot = df.where(F.col(col).isNotNull()).agg(F.count(F.lit(1))).scalar()
+        return c.select("bin", (F.col("_c") / tot).alias(name))
     spine = reference.sparkSession.range(1, bins + 1).select(F.col("id").alias("bin"))
     j = spine.join(shares(reference, "p_ref"), "bin", "left").join(shares(current, "p_cur"), "bin", "left")
     p = F.greatest(F.coalesce(F.col("p_ref"), F.lit(0.0)), F.lit(floor))

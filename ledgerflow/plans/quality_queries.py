@@ -109,9 +109,9 @@ SELECT total_rows, clean_rows, quarantined_rows,
 FROM t""")
 def q_decision(spark, sf):
     clean, quarantined = Q.quarantine_split(ledger.bronze_enriched(spark, sf), LEDGER_SUITE, RUN_TS)
-    c = clean.agg(F.count(F.lit(1)).alias("clean_rows"))
-    qd = quarantined.agg(F.count(F.lit(1)).alias("quarantined_rows"))
-    j = c.crossJoin(qd).withColumn("total_rows", F.col("clean_rows") + F.col("quarantined_rows"))
+    qd = quarantined.agg(F.count(F.lit(1))).scalar()
+    j = clean.agg(F.count(F.lit(1)).alias("clean_rows")).withColumn("quarantined_rows", qd) \
+             .withColumn("total_rows", F.col("clean_rows") + F.col("quarantined_rows"))
     return j.select("total_rows", "clean_rows", "quarantined_rows",
                     *Q.load_decision(F.col("total_rows"), F.col("quarantined_rows"), F.col("quarantined_rows") > 0))
 
