@@ -18,8 +18,10 @@ FEE_RATES = [("CREDIT_CARD", 0.02), ("DEBIT_CARD", 0.015), ("UPI", 0.0)]
 CHANNELS = ["EMAIL", "SOCIAL", "SEARCH"]
 CHANNEL_COSTS = [("EMAIL", 10000.0), ("SOCIAL", 25000.0), ("SEARCH", 50000.0)]
 
-# SLA thresholds for the rolling 4 h window (two contract tiers).
-SLA_TIERS = [("QUICK", 50000.0, 4), ("FUEL", 100000.0, 6)]  # tier, threshold, notify-by hours
+# SLA contract terms for the rolling 4 h window (two contracts):
+# tier, GMV-loss threshold, notify within hours, credit % per breach hour,
+# breach hours free of credit.
+SLA_TIERS = [("QUICK", 50000.0, 2, 0.5, 4), ("FUEL", 100000.0, 4, 0.3, 0)]
 
 # Simulated sink outage used by the replay / gap / failure-window queries.
 OUTAGE_START = "2024-01-15 10:00:00"
@@ -50,7 +52,8 @@ def gateway_feed(silver: DataFrame) -> DataFrame:
 
 
 def sla_contracts(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(SLA_TIERS, "sla_tier string, threshold double, notify_hours int")
+    return spark.createDataFrame(
+        SLA_TIERS, "sla_tier string, threshold double, notify_hours int, credit_pct_per_hour double, grace_hours int")
 
 
 def user_tier(col: str = "user_id"):
