@@ -159,3 +159,40 @@ def incident_summary(gap: DataFrame, window: DataFrame, breaches: DataFrame) ->
     return (g.withColumn("window_start", window.agg(F.min("hour")).scalar())
             .withColumn("window_end", window.agg(F.max("hour") + F.expr("INTERVAL 1 HOUR")).scalar())
             .withColumn("sla_breaches", breaches.agg(F.count_if(F.col("breach"))).scalar()))
+
+
+# ---------------------------------------------------------------------------
+# P11 routing and R1 recovery composition
+# ---------------------------------------------------------------------------
+
+def route_clean_quarantine(df: DataFrame, id_col: str = "transaction_id", amount_col: str = "amount",
+                           date_col: str = "transaction_date") -> tuple[DataFrame, DataFrame]:
+    """clean = id present, amount > 0, date shaped YYYY-MM-DD; otherwise
+    quarantined with the first failing reason."""
+    from ..functions.exprs import is_blank
+    amt = F.expr(f"try_cast(CAST(`{amount_col}` AS STRING) AS DOUBLE)")
+    reason = (F.when(is_blank(F.col(id_col)), "missing_id")
+              .when(F.coalesce(amt <= 0, F.lit(True)), "non_positive_amount")
+              .when(~F.coalesce(F.col(date_col).cast("string").rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), F.lit(False)),
+                    "bad_date_format"))
+    tagged = df.withColumn("_quarantine_reason", reason)
+    return (tagged.where(F.col("_quarantine_reason").isNull()).drop("_quarantine_reason"),
+            tagged.where(F.col("_quarantine_reason").isNotNull()))
+
+
+def recover(spark, source: DataFrame, target_path: str, quarantine_path: str, key: str, run_ts: str,
+            source_name: str = "replay") -> dict:
+    """Repair (E6) -> exclude loaded (J8) -> split (P11) -> quarantine
+    -> insert-only merge (S9) -> verify.  Replaying twice changes nothing."""
+    from ..sources.files import path_exists, write_quarantine
+    from ..sources.merge import merge_insert_only
+    from .schema import repair_record
+    repaired = repair_record(source).drop("_fixed_field", "_fixed_date")
+    todo = exclude_loaded(repaired, spark.read.parquet(target_path), key) if path_exists(spark, target_path) \
+        else repaired
+    clean, bad = route_clean_quarantine(todo)
+    q_status = write_quarantine(bad, quarantine_path, "recovery_validation", source_name, run_ts)
+    stats = merge_insert_only(spark, target_path, clean, key)
+    stats["quarantine"] = q_status
+    stats["target_rows"] = spark.read.parquet(target_path).count()
+    return stats
