@@ -382,7 +382,7 @@ def exact_median(df: DataFrame, column: str, buckets: int = 4096, direct_max: in
     """
     from ..session import ensure_checkpoint_dir
     ensure_checkpoint_dir(df.sparkSession)
-    values = df.select(F.col(column).cast("double").alias("v")).where(F.col("v").isNotNull())
+    values = df.select(F.expr(f"try_cast(`{column}` AS DOUBLE)").alias("v")).where(F.col("v").isNotNull())
     values = values.checkpoint(eager=True)
     st = values.agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).first()
     n = st["n"]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -96,15 +97,40 @@ def write_quarantine(df: DataFrame, path: str, reason: str, source: str, run_ts:
     return "WRITTEN"
 
 
+def _zero_byte_files(spark: SparkSession, path: str) -> dict[str, int]:
+    """Zero-length files per folder.  Spark's file sources drop empty files
+    when planning splits, so these come from a streamed filesystem listing
+    (metadata only; only the rare empty files are kept)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    it = fs.listFiles(p, True)
+    out: dict[str, int] = {}
+    while it.hasNext():
+        st = it.next()
+        if st.getLen() == 0:
+            folder = st.getPath().getParent().toString()
+            out[folder] = out.get(folder, 0) + 1
+    return out
+
+
 def file_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """Files grouped by folder: count, bytes, zero-byte files (content is
-    never read: only path/length/modificationTime are selected)."""
+    """Files grouped by folder: count, bytes, zero-byte files.  Non-empty
+    files are listed and aggregated by Spark (content is never read: only
+    path/length/modificationTime are selected)."""
     f = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path) \
              .select("path", "length", "modificationTime")
     folder = F.regexp_replace(F.col("path"), r"/[^/]*$", "")
-    return f.groupBy(folder.alias("folder")).agg(
-        F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"),
-        F.count_if(F.col("length") == 0).alias("zero_byte_files"), F.max("modificationTime").alias("last_modified"))
+    agg = f.groupBy(folder.alias("folder")).agg(
+        F.count(F.lit(1)).alias("_files"), F.sum("length").alias("bytes"),
+        F.max("modificationTime").alias("last_modified"))
+    zeros = _zero_byte_files(spark, path)
+    z = spark.createDataFrame(list(zeros.items()), "folder string, zero_byte_files long")
+    j = agg.join(z, "folder", "full_outer")
+    return j.select("folder",
+                    (F.coalesce("_files", F.lit(0)) + F.coalesce("zero_byte_files", F.lit(0))).alias("files"),
+                    F.coalesce("bytes", F.lit(0)).alias("bytes"),
+                    F.coalesce("zero_byte_files", F.lit(0)).alias("zero_byte_files"), "last_modified")
 
 
 class StageCounter:
@@ -115,7 +141,7 @@ class StageCounter:
         self.obs: dict[str, Observation] = {}
 
     def tap(self, df: DataFrame, stage: str) -> DataFrame:
-        o = Observation(stage)
+        o = Observation(f"{stage}_{uuid.uuid4().hex[:8]}")  # names are unique per session
         self.obs[stage] = o
         return df.observe(o, F.count(F.lit(1)).alias("rows"))
 

@@ -3,10 +3,10 @@ incremental keyed replace on Parquet."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.silver import keep_first
 from ..session import ensure_checkpoint_dir
 from .files import path_exists
 
@@ -15,20 +15,28 @@ def merge_insert_only(spark: SparkSession, target_path: str, src: DataFrame, key
                       order_cols: list[str] | None = None) -> dict[str, int]:
     """MERGE ... WHEN NOT MATCHED THEN INSERT on Parquet.
 
-    Source rows are de-duplicated on the key (first by ``order_cols``), rows
-    whose key is already in the target are skipped (left anti join), the rest
-    appended.  Attempted / loaded counts come from observations on the write
-    job itself; replaying the same source loads 0 rows.
+    Source rows are de-duplicated on the key (deterministically: the smallest
+    row by ``order_cols`` then all columns), keys already in the target are
+    skipped (left anti join), the rest appended.  The de-duplicated batch and
+    the new rows are checkpointed to the session checkpoint folder, so the
+    counts are exact and a lost executor never re-derives a different batch.
+    Replaying the same source loads 0 rows.
     """
-    attempted, loaded = Observation("attempted"), Observation("loaded")
-    s = src.observe(attempted, F.count(F.lit(1)).alias("n"))
-    s = keep_first(s, key, order_cols or [key]) if order_cols else s.dropDuplicates([key])
+    ensure_checkpoint_dir(spark)
+    cols = src.columns
+    rest = [c for c in cols if c != key]
+    order = list(order_cols or []) + [c for c in rest if c not in (order_cols or [])]
+    d = (src.groupBy(key).agg(F.min(F.struct(*order)).alias("_r"), F.count(F.lit(1)).alias("_copies"))
+         .select(key, *[F.col(f"_r.{c}").alias(c) for c in order], "_copies").checkpoint(eager=True))
+    attempted = int(d.agg(F.coalesce(F.sum("_copies"), F.lit(0))).first()[0])
+    new = d.drop("_copies").select(*cols)
     if path_exists(spark, target_path):
-        s = s.join(spark.read.parquet(target_path).select(key), key, "left_anti")
-    s = s.observe(loaded, F.count(F.lit(1)).alias("n"))
-    s.write.mode("append").parquet(target_path)
-    a, l_ = int(attempted.get.get("n", 0)), int(loaded.get.get("n", 0))
-    return {"attempted": a, "loaded": l_, "skipped": a - l_}
+        new = new.join(spark.read.parquet(target_path).select(key), key, "left_anti").select(*cols)
+    new = new.checkpoint(eager=True)
+    loaded = new.count()
+    if loaded:
+        new.write.mode("append").parquet(target_path)
+    return {"attempted": attempted, "loaded": loaded, "skipped": attempted - loaded}
 
 
 def incremental_upsert(spark: SparkSession, target_path: str, src: DataFrame, key: str, watermark: str,
