@@ -21,7 +21,7 @@ from ledgerflow.session import build_session
 HEADLINE = [
     "a1_merchant_performance", "a2_daily_summary", "a3_customer_ltv", "b2_fct_transactions",
     "b4_fct_daily_revenue", "a4_mart_merchant_kpis", "q13_suite_transactions", "q14_quarantine_split",
-    "q1_profile_silver", "g1_pii_scan_documents", "r16_keyword_search", "r17_vector_top3",
+    "q1_profile_bronze", "g1_pii_scan_documents", "r16_keyword_search", "r17_vector_top3",
     "w4_rolling_4h_value", "r6_zero_load_alarm", "t4_top5_values_per_column", "b13_reconciliation_summary",
 ]
 

@@ -101,3 +101,18 @@ def ordinal(c: Column | str, order: list[str]) -> Column:
     for i, v in reversed(list(enumerate(order))):
         expr = F.when(c == F.lit(v), F.lit(i)).otherwise(expr)
     return expr
+
+
+# Numeric text: optional sign, digits with optional fraction (or a bare
+# fraction), optional exponent, surrounding blanks allowed.
+NUMERIC_TEXT = r"^\s*[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?\s*$"
+
+
+def parse_double(c: Column | str) -> Column:
+    """Lenient string -> DOUBLE (NULL when not a number).
+
+    ``try_cast`` alone is correct but costs a JVM exception per malformed
+    value; the shape test first keeps junk-heavy text columns on the fast path.
+    """
+    s = col_(c).cast("string")
+    return F.when(s.rlike(NUMERIC_TEXT), F.trim(s).try_cast("double"))

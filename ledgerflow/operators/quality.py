@@ -42,7 +42,7 @@ from dataclasses import dataclass, field  # noqa: E402
 
 from pyspark.sql import Column  # noqa: E402
 
-from ..functions.exprs import is_blank  # noqa: E402
+from ..functions.exprs import is_blank, parse_double  # noqa: E402
 
 ROW_KINDS = {"not_null", "unique", "between", "in_set", "regex"}
 DATASET_KINDS = {"row_count_between", "mean_between", "min_at_least", "duplicate_count_max",
@@ -90,7 +90,7 @@ def _row_fail(df: DataFrame, chk: Check) -> Column | None:
     if chk.kind == "not_null":                       # Q2: blank counts as null
         return is_blank(c)
     if chk.kind == "between":                        # Q4: unparseable / null fails
-        v = F.expr(f"try_cast(`{chk.column}` AS DOUBLE)")
+        v = parse_double(chk.column)
         bad = v.isNull()
         if chk.params.get("lo") is not None:
             bad = bad | (v < F.lit(float(chk.params["lo"])))
@@ -163,9 +163,9 @@ def run_suite(df: DataFrame, checks: list[Check]) -> DataFrame:
         if chk.kind == "row_count_between":
             expr = F.count(F.lit(1)).cast("double")
         elif chk.kind == "mean_between":
-            expr = F.avg(F.expr(f"try_cast(`{chk.column}` AS DOUBLE)"))
+            expr = F.avg(parse_double(chk.column))
         elif chk.kind == "min_at_least":
-            expr = F.min(F.expr(f"try_cast(`{chk.column}` AS DOUBLE)"))
+            expr = F.min(parse_double(chk.column))
         elif chk.kind == "duplicate_count_max":      # Q9: count - distinct
             expr = (F.count(c) - F.countDistinct(c)).cast("double")
         elif chk.kind == "missing_count_max":
@@ -250,20 +250,26 @@ def load_decision(total: Column, quarantined: Column, critical_failed: Column) -
 # ---------------------------------------------------------------------------
 
 def profile(df: DataFrame) -> DataFrame:
-    """Q1: per-column profile in one aggregate (then unpivoted to one row per column).
+    """Q1: per-column profile, one row per column.
 
     null = NULL or blank; unique = distinct non-null values; numeric when more
     than half the rows parse as numbers, then min / max / mean / negatives.
+    Plain aggregates run in one pass without distinct expansion; distinct
+    counts come from one unpivot -> (column, value) grouping (map-side
+    combined), instead of one Expand copy of every row per column.
     """
     cols = df.columns
     aggs = [F.count(F.lit(1)).alias("__n")]
     for i, c in enumerate(cols):
         s = F.col(c).cast("string")
-        num = F.expr(f"try_cast(CAST(`{c}` AS STRING) AS DOUBLE)")
-        aggs += [F.count_if(is_blank(s)).alias(f"n{i}"), F.countDistinct(s).alias(f"u{i}"),
-                 F.count(num).alias(f"p{i}"), F.min(num).alias(f"mn{i}"), F.max(num).alias(f"mx{i}"),
+        num = parse_double(c)
+        aggs += [F.count_if(is_blank(s)).alias(f"n{i}"), F.count(num).alias(f"p{i}"),
+                 F.min(num).alias(f"mn{i}"), F.max(num).alias(f"mx{i}"),
                  F.avg(num).alias(f"av{i}"), F.count_if(num < 0).alias(f"ng{i}")]
     row = df.agg(*aggs)
+    long = df.select(*[F.col(c).cast("string") for c in cols]).unpivot([], cols, "column_name", "value")
+    uniq = (long.where(F.col("value").isNotNull()).select("column_name", "value").distinct()
+            .groupBy("column_name").agg(F.count(F.lit(1)).alias("unique_count")))
     rows = []
     for i, c in enumerate(cols):
         n = F.col("__n")
@@ -272,12 +278,15 @@ def profile(df: DataFrame) -> DataFrame:
             F.lit(c).alias("column_name"), F.lit(df.schema[c].dataType.simpleString()).alias("dtype"),
             n.alias("total_rows"), F.col(f"n{i}").alias("null_count"),
             pct_exact(F.col(f"n{i}"), n, 1).alias("null_pct"),
-            F.col(f"u{i}").alias("unique_count"), pct_exact(F.col(f"u{i}"), n, 1).alias("uniqueness_pct"),
             F.when(numeric, "numeric").otherwise("string").alias("inferred_type"),
             F.when(numeric, F.col(f"mn{i}")).alias("min_value"), F.when(numeric, F.col(f"mx{i}")).alias("max_value"),
             F.when(numeric, F.round(F.col(f"av{i}"), 2)).alias("mean_value"),
             F.when(numeric, F.col(f"ng{i}")).alias("negative_count")))
-    return row.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+    per = row.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+    # one row per column on each side: the join is bounded by the column count
+    out = per.join(F.broadcast(uniq), "column_name", "left").withColumn(
+        "unique_count", F.coalesce("unique_count", F.lit(0)).cast("bigint"))
+    return out.withColumn("uniqueness_pct", pct_exact(F.col("unique_count"), F.col("total_rows"), 1))
 
 
 def pct_exact(num: Column, den: Column, digits: int) -> Column:
