@@ -8,7 +8,7 @@ from ..functions.patterns import PII_PATTERNS, REDACTION_PATTERNS
 from ..operators import governance as G
 from ..operators import search
 from ..sources import ledger
-from ..sources.tables import read_table
+from ..sources.tables import read_table, read_wide
 from .ledger_queries import silver_df
 from .oracle import with_ctes
 from .registry import register
@@ -44,7 +44,7 @@ def _doc_tokens(spark, sf):
 
 @register("g1_pii_scan_documents", ids=("G1", "G6"), headline=True, sql=_rates_sql())
 def q_g1(spark, sf):
-    d = read_table(spark, sf, "documents")
+    d = read_wide(spark, sf, "documents", ["text", "lang", "source"])
     toks = d.select(F.explode(F.split("text", r"\s+")).alias("text_token"))
     a = G.pii_match_rates(toks, ["text_token"])
     b = G.pii_match_rates(d.select("lang", "source"), ["lang", "source"])
@@ -62,7 +62,7 @@ def _redact_sql() -> str:
 
 @register("g8_redact_documents", ids=("G8",), sql=_redact_sql())
 def q_g8(spark, sf):
-    d = read_table(spark, sf, "documents").select("doc_id", "text")
+    d = read_wide(spark, sf, "documents", ["doc_id", "text"])
     return d.select("doc_id", G.redact_text("text").alias("redacted_text"), *G.pii_hits("text"))
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.exprs import money
-from .tables import read_table
+from .tables import read_table, read_wide
 
 # Fixed mapping values (adapter definition, shared with the oracle SQL).
 STATUS_BY_RETURNFLAG = {"A": "COMPLETED", "R": "FAILED"}  # anything else -> PENDING
@@ -24,9 +24,9 @@ EVENTS_AS_OF = "2024-01-31"
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed transaction fact: one row per lineitem (ids repeat -> dedup work)."""
-    li = read_table(spark, sf_dir, "lineitem").select(
+    li = read_wide(spark, sf_dir, "lineitem", [
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice",
-        "l_returnflag", "l_shipdate")
+        "l_returnflag", "l_shipdate"])
     o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
     j = li.join(o, li.l_orderkey == o.o_orderkey, "inner")
     status = (F.when(F.col("l_returnflag") == "A", "COMPLETED")
