@@ -116,3 +116,14 @@ def parse_double(c: Column | str) -> Column:
     """
     s = col_(c).cast("string")
     return F.when(s.rlike(NUMERIC_TEXT), F.trim(s).try_cast("double"))
+
+
+def avg_cents_half_up(c: Column | str, digits: int = 6) -> Column:
+    """Average of 2-decimal non-negative values, exact: sum in integer cents,
+    rounded half-up to ``digits`` with integer division (no float ties)."""
+    cents = F.round(col_(c) * 100).cast("bigint")
+    s, n = F.sum(cents), F.count(cents)
+    scale = 10 ** (digits - 2)
+    num = s * F.lit(2 * scale) + n
+    return F.when(n > 0, F.floor(num.cast("decimal(38,0)") / (n * 2).cast("decimal(38,0)"))) \
+        / F.lit(float(10 ** digits))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.exprs import as_double, avg_rate, count_when, pct, sum_when
+from ..functions.exprs import as_double, avg_cents_half_up, avg_rate, count_when, pct, sum_when
 from .dims import bounded_broadcast
 from .windows import with_lag_change
 
@@ -296,3 +296,50 @@ def reconcile(ledger_df: DataFrame, gateway: DataFrame, tolerance: float = 1.0)
         count_when(F.col("recon_state") == "DISPUTED").alias("disputed"),
         count_when(F.col("recon_state") == "MISSING").alias("missing"),
         as_double(F.coalesce(F.sum(F.col("gw_amount") - F.col("amount")), F.lit(0))).alias("net_variance"))
+
+
+# --- A7 / A8 / A17 / Q27 ------------------------------------------------------------
+
+def headcount(people: DataFrame, joined: DataFrame, keys: Sequence[str], as_of: str,
+              contract_col: str, contract_value: str) -> DataFrame:
+    """Counts, active, contractors and average tenure (days since joining,
+    calendar-day DATEDIFF) per key combination."""
+    j = people.join(joined, "customer_id", "left")
+    tenure = F.datediff(F.to_date(F.lit(as_of)), F.col("joined_on"))
+    return j.groupBy(*keys).agg(
+        F.count("customer_id").alias("headcount"),
+        count_when(F.col("is_active")).alias("active_count"),
+        F.round(F.avg(tenure), 6).alias("avg_tenure_days"),
+        count_when(F.col(contract_col) == contract_value).alias("contractor_count"))
+
+
+def user_behaviour(events: DataFrame, cancel_type: str = "error") -> DataFrame:
+    """Per user counts, average value, last time, distinct kinds, modal kind
+    (ties -> smallest), average hour, cancelled count, value sum."""
+    return events.groupBy("user_id").agg(
+        F.count("event_id").alias("total_events"),
+        avg_cents_half_up("value", 6).alias("avg_value"),
+        F.max("ts").alias("last_event_at"),
+        F.countDistinct("event_type").alias("unique_event_types"),
+        F.mode("event_type", deterministic=True).alias("preferred_event_type"),
+        F.round(F.avg(F.hour("ts")), 6).alias("avg_event_hour"),
+        count_when(F.col("event_type") == cancel_type).alias("cancelled_events"),
+        F.round(F.sum("value"), 2).alias("total_value"))
+
+
+def null_pct_by_column(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """COUNT(*) FILTER (WHERE c IS NULL) * 100 / COUNT(*) per column in one
+    aggregate, then UNPIVOT to (column_name, null_pct)."""
+    row = df.agg(*[F.round(F.count_if(F.col(c).isNull()) * 100.0 / F.count(F.lit(1)), 4).alias(c)
+                   for c in columns])
+    return row.unpivot([], list(columns), "column_name", "null_pct")
+
+
+def fix_impact(before: DataFrame, after: DataFrame, by: str) -> DataFrame:
+    """Q27: row counts per ``by`` before and after a fix, and the difference."""
+    b = before.groupBy(by).agg(F.count(F.lit(1)).alias("rows_before"))
+    a = after.groupBy(by).agg(F.count(F.lit(1)).alias("rows_after"))
+    j = b.join(a, by, "full_outer")
+    return j.select(by, F.coalesce("rows_before", F.lit(0)).alias("rows_before"),
+                    F.coalesce("rows_after", F.lit(0)).alias("rows_after")).withColumn(
+        "rows_removed", F.col("rows_before") - F.col("rows_after"))

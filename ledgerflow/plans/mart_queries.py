@@ -498,3 +498,58 @@ def q_keep_latest_orders(spark, sf):
     o = read_table(spark, sf, "orders").select(F.col("o_custkey").alias("customer_id"), "o_orderkey",
                                                F.to_date("o_orderdate").alias("order_date"))
     return keep_latest(o, "customer_id", ["order_date", "o_orderkey"])
+
+
+@register("a7_headcount", ids=("A7",), sql=with_ctes("customers", f"""
+, j AS (SELECT o_custkey AS customer_id, MIN(CAST(o_orderdate AS DATE)) AS joined_on FROM orders GROUP BY 1)
+SELECT c.city, c.customer_tier, COUNT(c.customer_id) AS headcount,
+       COUNT(CASE WHEN c.is_active THEN 1 END) AS active_count,
+       ROUND(AVG(DATE '{AS_OF}' - j.joined_on), 6) AS avg_tenure_days,
+       COUNT(CASE WHEN c.customer_tier = 'BUILDING' THEN 1 END) AS contractor_count
+FROM customers c LEFT JOIN j ON c.customer_id = j.customer_id GROUP BY 1, 2"""))
+def q_a7(spark, sf):
+    from ..sources.tables import read_table
+    first = read_table(spark, sf, "orders").groupBy(F.col("o_custkey").alias("customer_id")).agg(
+        F.min(F.to_date("o_orderdate")).alias("joined_on"))
+    return marts.headcount(ledger.customers(spark, sf), first, ["city", "customer_tier"], AS_OF,
+                           "customer_tier", "BUILDING")
+
+
+@register("a8_user_behaviour", ids=("A8",), sql=with_ctes("ev", """
+, m AS (SELECT user_id, event_type, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY COUNT(*) DESC, event_type) AS r
+        FROM ev GROUP BY 1, 2)
+SELECT e.user_id, COUNT(e.event_id) AS total_events,
+       FLOOR((SUM(CAST(ROUND(e.value * 100) AS BIGINT)) * 20000 + COUNT(e.value)) / (COUNT(e.value) * 2)) / 1000000.0
+         AS avg_value, MAX(e.ts) AS last_event_at,
+       COUNT(DISTINCT e.event_type) AS unique_event_types, MIN(m.event_type) AS preferred_event_type,
+       ROUND(AVG(EXTRACT(HOUR FROM e.ts)), 6) AS avg_event_hour,
+       COUNT(CASE WHEN e.event_type = 'error' THEN 1 END) AS cancelled_events, ROUND(SUM(e.value), 2) AS total_value
+FROM ev e JOIN m ON e.user_id = m.user_id AND m.r = 1 GROUP BY e.user_id"""))
+def q_a8(spark, sf):
+    return marts.user_behaviour(ledger.events(spark, sf))
+
+
+@register("a17_null_pct_unpivot", ids=("A17",), sql=with_ctes("txn customers merchants", """
+, f AS (SELECT t.transaction_id, t.amount, m.merchant_name, c.customer_tier, m.city AS merchant_city
+        FROM txn t LEFT JOIN customers c ON t.customer_id = c.customer_id
+        LEFT JOIN merchants m ON t.merchant_id = m.merchant_id),
+r AS (SELECT ROUND(COUNT(*) FILTER (WHERE transaction_id IS NULL) * 100.0 / COUNT(*), 4) AS transaction_id,
+             ROUND(COUNT(*) FILTER (WHERE amount IS NULL) * 100.0 / COUNT(*), 4) AS amount,
+             ROUND(COUNT(*) FILTER (WHERE merchant_name IS NULL) * 100.0 / COUNT(*), 4) AS merchant_name,
+             ROUND(COUNT(*) FILTER (WHERE customer_tier IS NULL) * 100.0 / COUNT(*), 4) AS customer_tier,
+             ROUND(COUNT(*) FILTER (WHERE merchant_city IS NULL) * 100.0 / COUNT(*), 4) AS merchant_city FROM f)
+SELECT column_name, null_pct FROM (UNPIVOT r ON transaction_id, amount, merchant_name, customer_tier, merchant_city
+                                   INTO NAME column_name VALUE null_pct)"""))
+def q_a17(spark, sf):
+    fct = marts.fct_transactions(ledger.transactions(spark, sf), ledger.customers(spark, sf),
+                                 ledger.merchants(spark, sf))
+    return marts.null_pct_by_column(fct, ["transaction_id", "amount", "merchant_name", "customer_tier",
+                                          "merchant_city"])
+
+
+@register("q27_dedup_fix_impact", ids=("Q27",), sql=with_ctes("txn silver", """
+, b AS (SELECT status, COUNT(*) AS n FROM txn GROUP BY 1), a AS (SELECT status, COUNT(*) AS n FROM silver GROUP BY 1)
+SELECT COALESCE(b.status, a.status) AS status, COALESCE(b.n, 0) AS rows_before, COALESCE(a.n, 0) AS rows_after,
+       COALESCE(b.n, 0) - COALESCE(a.n, 0) AS rows_removed FROM b FULL OUTER JOIN a ON b.status = a.status"""))
+def q_q27(spark, sf):
+    return marts.fix_impact(ledger.transactions(spark, sf), silver_df(spark, sf), "status")
