@@ -168,3 +168,13 @@ def statement_guard(log: DataFrame, sql_col: str, known_tables: Sequence[str]) -
               .when(~s.rlike(r"(^|[^A-Z_])WHERE([^A-Z_]|$)") & ~s.rlike(r"(^|[^A-Z_])LIMIT([^A-Z_]|$)")
                     & ~s.rlike(r"(^|[^A-Z_])GROUP BY([^A-Z_]|$)"), "unfiltered scan"))
     return log.withColumn("guard_reason", reason).withColumn("allowed", reason.isNull())
+
+
+def pii_surface(frames: dict[str, DataFrame]) -> DataFrame:
+    """PII findings over many tables (table, column, type, sensitivity) and
+    counts by sensitivity; each table is scanned once."""
+    parts = [pii_scan(df).withColumn("table_name", F.lit(name)) for name, df in frames.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.select("table_name", "column_name", "pii_type", "sensitivity", "match_rate", "confidence")

@@ -601,3 +601,66 @@ def claim_check(claims: DataFrame, actual: DataFrame, tolerance: float = 0.01, m
     return j.withColumn("verdict", F.when(F.col("actual_value").isNull(), "UNKNOWN")
                         .when(F.col("n") < min_n, "MISLEADING")
                         .when(rel <= tolerance, "VERIFIED").otherwise("WRONG"))
+
+
+# ---------------------------------------------------------------------------
+# A24 decision accuracy, R14 repair dispatcher
+# ---------------------------------------------------------------------------
+
+def decision_accuracy(decisions: DataFrame, expected_col: str = "expected", got_col: str = "decision",
+                      latency_col: str = "latency_ms", tokens_col: str = "tokens") -> DataFrame:
+    """Share of correct decisions, total latency and tokens (one aggregate)."""
+    return decisions.agg(
+        F.round(F.avg(F.when(F.col(expected_col) == F.col(got_col), 1.0).otherwise(0.0)), 4).alias("accuracy"),
+        F.count(F.lit(1)).alias("decisions"),
+        F.sum(latency_col).alias("total_latency_ms"), F.sum(tokens_col).alias("total_tokens"))
+
+
+REPAIRS = ("drop_bad_rows", "fill_default", "add_column", "cast_column", "escalate")
+
+
+def self_heal(df: DataFrame, checks: list[Check], target=None, max_attempts: int = 3,
+              defaults: dict | None = None) -> tuple[DataFrame, list[dict]]:
+    """Failure-catalogue repair loop, at most ``max_attempts`` rounds.
+
+    Each round runs the suite (one aggregate), picks one repair for the first
+    failing check (add missing column / cast numeric / fill default / drop
+    rows failing a critical check), applies it as DataFrame ops and
+    re-validates; unresolved failures escalate."""
+    from .schema import conform
+    log: list[dict] = []
+    cur = df
+    defaults = defaults or {}
+    for attempt in range(1, max_attempts + 1):
+        res = sorted((r for r in run_suite(cur, checks).collect() if not r.passed),
+                     key=lambda r: r.error is None)          # schema errors first
+        if not res:
+            log.append({"attempt": attempt, "action": "validated"})
+            return cur, log
+        r = res[0]
+        if r.error and target is not None:
+            cur, action = conform(cur, target), "add_column"
+        elif r.check_name == _BETWEEN_NAME and r.column_name in cur.columns:
+            cur = cur.withColumn(r.column_name, F.coalesce(parse_double(r.column_name), F.lit(0.0)))
+            action = "cast_column"
+        elif r.check_name == _NOT_NULL_NAME and r.column_name in defaults:
+            cur = cur.withColumn(r.column_name, F.coalesce(blank_or(r.column_name), F.lit(defaults[r.column_name])))
+            action = "fill_default"
+        elif r.severity == "critical" and r.failed_row_count:
+            clean, _bad = quarantine_split(cur, checks, "1970-01-01 00:00:00")
+            cur, action = clean, "drop_bad_rows"
+        else:
+            log.append({"attempt": attempt, "action": "escalate", "check": r.check_name, "column": r.column_name})
+            return cur, log
+        log.append({"attempt": attempt, "action": action, "check": r.check_name, "column": r.column_name})
+    log.append({"attempt": max_attempts, "action": "escalate"})
+    return cur, log
+
+
+_BETWEEN_NAME = "expect_column_values_to_be_between"
+_NOT_NULL_NAME = "expect_column_values_to_not_be_null"
+
+
+def blank_or(c: str) -> Column:
+    from ..functions.exprs import blank_to_null
+    return blank_to_null(F.col(c))

@@ -196,3 +196,16 @@ def recover(spark, source: DataFrame, target_path: str, quarantine_path: str, ke
     stats["quarantine"] = q_status
     stats["target_rows"] = spark.read.parquet(target_path).count()
     return stats
+
+
+def verify_producer(sample: DataFrame, required: list[str], forbidden: list[str]) -> dict:
+    """A sample batch must carry the contract fields and none of the bad ones
+    (schema metadata plus a non-null share of each required field)."""
+    missing = [c for c in required if c not in sample.columns]
+    present_bad = [c for c in forbidden if c in sample.columns]
+    filled = {}
+    if not missing:
+        row = sample.agg(*[F.avg(F.col(c).isNotNull().cast("double")).alias(c) for c in required]).first()
+        filled = {c: row[c] for c in required}
+    ok = not missing and not present_bad and all((v or 0) == 1.0 for v in filled.values())
+    return {"ok": ok, "missing": missing, "forbidden_present": present_bad, "filled_share": filled}
