@@ -26,7 +26,10 @@ def spread_if_narrow(df: DataFrame) -> DataFrame:
     aggregates, regexes) would run serially.  Large inputs have at least as
     many splits as cores and are returned unchanged (no extra shuffle).
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
+    spark = df.sparkSession
+    if spark.conf.get("ledgerflow.spreadNarrowScans", "true").lower() != "true":
+        return df
+    cores = spark.sparkContext.defaultParallelism
     n = df.rdd.getNumPartitions()  # planning only: no job runs
     return df.repartition(cores) if n < cores else df
 
