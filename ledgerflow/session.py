@@ -58,7 +58,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not current:
         current = spark.sparkContext.getCheckpointDir()
     if not current:
-        current = tempfile.mkdtemp(prefix="ledgerflow-ckpt-")
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is unset: point it at a shared folder of the cluster")
+        current = tempfile.mkdtemp(prefix="ledgerflow-ckpt-")  # local runs only (tests, bench)
         spark.conf.set("spark.checkpoint.dir", current)
         spark.sparkContext.setCheckpointDir(current)
     elif not spark.sparkContext.getCheckpointDir():
