@@ -153,3 +153,12 @@ def write_run_metadata(spark: SparkSession, path: str, record: dict) -> None:
     """One JSON record per run (name, date, id, status, error, times, counts)."""
     spark.createDataFrame([(json.dumps(record, default=str),)], "value string") \
          .coalesce(1).write.mode("append").text(path)
+
+
+def write_partner_feed(df: DataFrame, partners: DataFrame, path: str, key: str = "merchant_id") -> None:
+    """One output folder per partner (partner map joined by key; the map is
+    small and size-checked before the broadcast)."""
+    from ..operators.dims import bounded_broadcast
+    out = df.join(bounded_broadcast(partners.select(key, "partner_id")), key, "inner")
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy("partner_id").parquet(path))
