@@ -112,20 +112,26 @@ def _dup_col(c: str) -> str:
     return f"__dup_{c}"
 
 
+def key_counts(df: DataFrame, c: str) -> DataFrame:
+    """Rows per value of ``c`` (NULL is one group), combined map-side: a hot key,
+    NULL included, leaves each map task as a single partial count."""
+    return df.groupBy(c).agg(F.count(F.lit(1)).alias("_n"))
+
+
 def with_duplicate_flags(df: DataFrame, columns: list[str]) -> DataFrame:
     """Q3: flag every member of a duplicate group (keep=False semantics; NULLs
     duplicate each other).
 
-    Skew-safe: duplicate keys come from a grouped count (combined map-side);
-    NULL keys, which would all hash to one task, are handled by a scalar NULL
-    count instead of joining.  The key join back relies on AQE skew-join
-    splitting for a hot non-null key (the key side has one row per key).
+    One grouped count per column serves everything: the duplicated non-null
+    keys are joined back (the key side has one row per key; AQE skew-join
+    splits a hot key on the row side) and the NULL group's size is read as a
+    scalar, so NULL rows never meet in one join task.
     """
     out = df
     for c in columns:
-        dups = (df.where(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("_n"))
-                .where(F.col("_n") > 1).select(c, F.lit(True).alias(_dup_col(c))))
-        nulls = df.agg(F.count_if(F.col(c).isNull())).scalar()
+        g = key_counts(df, c)
+        dups = g.where(F.col(c).isNotNull() & (F.col("_n") > 1)).select(c, F.lit(True).alias(_dup_col(c)))
+        nulls = g.where(F.col(c).isNull()).agg(F.coalesce(F.sum("_n"), F.lit(0))).scalar()
         out = (out.join(dups, c, "left")
                .withColumn(_dup_col(c), F.when(F.col(c).isNull(), nulls > 1)
                            .otherwise(F.coalesce(F.col(_dup_col(c)), F.lit(False)))))
@@ -180,12 +186,12 @@ def run_suite(df: DataFrame, checks: list[Check]) -> DataFrame:
     for chk, a in ds:
         if chk.kind == "duplicate_count_max":
             # grouped count (map-side combined) instead of a distinct expansion of every row
-            g = df.where(F.col(chk.column).isNotNull()).groupBy(chk.column).agg(F.count(F.lit(1)).alias("_n"))
+            g = key_counts(df, chk.column).where(F.col(chk.column).isNotNull())
             row = row.withColumn(a, g.agg((F.coalesce(F.sum("_n"), F.lit(0)) - F.count(F.lit(1)))
                                           .cast("double")).scalar())
         if chk.kind == "duplicate_values_max":
-            dv = (df.where(F.col(chk.column).isNotNull()).groupBy(chk.column).count()
-                  .where(F.col("count") > 1).agg(F.count(F.lit(1)).cast("double")).scalar())
+            dv = (key_counts(df, chk.column).where(F.col(chk.column).isNotNull() & (F.col("_n") > 1))
+                  .agg(F.count(F.lit(1)).cast("double")).scalar())
             row = row.withColumn(a, dv)
     structs = []
     for chk, name in row_cols:
