@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -40,7 +40,13 @@ def dedup_replays(df: DataFrame, key: str, ts: str) -> DataFrame:
 
 
 def sessions(df: DataFrame, ts: str, gap: str, by: Sequence[str], value: str = "value") -> DataFrame:
-    """X9 (our addition): session windows per key."""
+    """X9 (our addition): session windows per key.
+
+    Streams use ``session_window`` state.  Batch frames go through
+    ``sessions_blocked``, which never sorts one key's whole history in a task.
+    """
+    if not df.isStreaming:
+        return sessions_blocked(df, ts, gap, by, value)
     g = df.groupBy(F.session_window(ts, gap).alias("s"), *by).agg(
         F.count(F.lit(1)).alias("events"), F.round(F.sum(value), 2).alias("value_sum"))
     return g.select(*by, F.col("s.start").alias("session_start"), F.col("s.end").alias("session_end"),
@@ -53,3 +59,41 @@ def enrich_static(stream: DataFrame, dim: DataFrame, key_left: str, key_right: s
     per micro-batch; hint broadcast only when it is size-checked by the caller)."""
     d = dim.select(F.col(key_right).alias(key_left), *attrs)
     return stream.join(d, key_left, "left")
+
+
+def sessions_blocked(df: DataFrame, ts: str, gap: str, by: Sequence[str], value: str = "value",
+                     block: str = "hour") -> DataFrame:
+    """Batch sessions (same result as ``session_window``), skew-safe.
+
+    1. Rows are sessionised inside (key, time block): a window per block, so a
+       key holding a third of all rows is spread over its days.
+    2. One summary row per (key, block) (first/last time, internal breaks) is
+       ordered per key -- bounded by the calendar, not by rows -- to find which
+       block boundaries start a new session and each block's session offset.
+    3. Global session number = block offset + local number; the final
+       aggregate is a hash aggregate (map-side combined).
+    """
+    gap_us = F.expr(f"INTERVAL {gap}")
+    keys = list(by)
+    t = df.withColumn(ts, F.col(ts).cast("timestamp")).withColumn("_blk", F.date_trunc(block, ts))
+    wb = Window.partitionBy(*keys, "_blk").orderBy(ts)
+    prev = F.lag(ts).over(wb)
+    t = t.withColumn("_brk", F.when(prev.isNull() | (F.col(ts) >= prev + gap_us), 1).otherwise(0))
+    t = t.withColumn("_local", F.sum("_brk").over(wb.rowsBetween(Window.unboundedPreceding, 0)))
+    summ = t.groupBy(*keys, "_blk").agg(F.min(ts).alias("_first"), F.max(ts).alias("_last"),
+                                        F.max("_local").alias("_n_local"))
+    wk = Window.partitionBy(*keys).orderBy("_blk")
+    starts_new = F.when(F.lag("_last").over(wk).isNull() | (F.col("_first") >= F.lag("_last").over(wk) + gap_us),
+                        1).otherwise(0)
+    summ = summ.withColumn("_new", starts_new)
+    # sessions completed before this block: all local sessions of earlier blocks,
+    # minus one for every earlier block whose first session continued its predecessor
+    summ = summ.withColumn("_cont", 1 - F.col("_new"))
+    run = Window.partitionBy(*keys).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    summ = summ.withColumn("_offset", F.coalesce(F.sum("_n_local").over(run), F.lit(0))
+                           - F.coalesce(F.sum("_cont").over(run), F.lit(0)) - F.col("_cont"))
+    j = t.join(summ.select(*keys, "_blk", "_offset"), [*keys, "_blk"], "inner")
+    j = j.withColumn("_sid", F.col("_offset") + F.col("_local"))
+    g = j.groupBy(*keys, "_sid").agg(F.min(ts).alias("session_start"), F.max(ts).alias("_last_ts"),
+                                     F.count(F.lit(1)).alias("events"), F.round(F.sum(value), 2).alias("value_sum"))
+    return g.select(*keys, "session_start", (F.col("_last_ts") + gap_us).alias("session_end"), "events", "value_sum")

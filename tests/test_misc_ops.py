@@ -85,3 +85,24 @@ def test_late_rows_dropped_by_watermark(spark, tmp_dir):
     progress = run()
     dropped = sum(runner.dropped_by_watermark(p) for p in progress)
     assert dropped == 1                                   # X8: the late row is counted, not aggregated
+
+
+def test_blocked_sessions_equal_session_window(spark):
+    import datetime as dt
+    import random
+    rnd = random.Random(3)
+    base = dt.datetime(2024, 1, 1, 23, 0, 0)
+    rows, eid = [], 0
+    for user in (1, 2, 3):
+        t = base
+        for _ in range(400 if user == 1 else 40):              # user 1 is the hot key
+            t += dt.timedelta(minutes=rnd.choice([1, 5, 12, 29, 31, 45, 90]))
+            eid += 1
+            rows.append((eid, user, t, float(rnd.randint(1, 9))))
+    df = spark.createDataFrame(rows, "event_id long, user_id long, ts timestamp, value double")
+    got = sorted(map(tuple, ops.sessions_blocked(df, "ts", "30 minutes", ["user_id"]).collect()))
+    ref = df.groupBy(F.session_window("ts", "30 minutes").alias("s"), "user_id").agg(
+        F.count(F.lit(1)).alias("events"), F.round(F.sum("value"), 2).alias("value_sum")).select(
+        "user_id", F.col("s.start").alias("session_start"), F.col("s.end").alias("session_end"), "events", "value_sum")
+    assert got == sorted(map(tuple, ref.collect()))
+    assert any(r[2] - r[1] > dt.timedelta(hours=1) for r in got)     # sessions cross block edges
