@@ -98,15 +98,20 @@ def top_values_per_column(df: DataFrame, columns: Sequence[str], k: int = 5) ->
 
 
 def top_k_by_count(counts: DataFrame, group: str, item: str, count_col: str, k: int,
-                   rank_col: str) -> DataFrame:
+                   rank_col: str, salt_buckets: int = 256) -> DataFrame:
     """Exact top-k items per group from a (group, item, count) frame."""
     hist = counts.groupBy(group, count_col).agg(F.count(F.lit(1)).alias("_n"))
     cw = (Window.partitionBy(group).orderBy(F.desc(count_col))
           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     thr = (hist.withColumn("_cum", F.sum("_n").over(cw)).where(F.col("_cum") >= k)
            .groupBy(group).agg(F.max(count_col).alias("_thr")))
-    # one row per group; groups are few (columns, merchants of a report, ...)
     cand = counts.join(thr, group, "left").where(F.col(count_col) >= F.coalesce(F.col("_thr"), F.lit(0)))
+    # Many items can tie at the threshold count: rank inside salted sub-groups
+    # first (the top-k of a group is contained in the union of its sub-groups'
+    # top-k), so no window partition holds more than a slice of the ties.
+    salt = F.pmod(F.xxhash64(F.col(item)), F.lit(salt_buckets))
+    cand = cand.withColumn("_salt", salt).withColumn("_p", F.row_number().over(
+        Window.partitionBy(group, "_salt").orderBy(F.desc(count_col), F.asc(item)))).where(F.col("_p") <= k)
     w = Window.partitionBy(group).orderBy(F.desc(count_col), F.asc(item))
     return (cand.withColumn(rank_col, F.row_number().over(w)).where(F.col(rank_col) <= k)
-            .drop("_thr"))
+            .drop("_thr", "_salt", "_p"))
