@@ -4,10 +4,13 @@ quarantine split, profiles and distribution/drift comparison."""
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.exprs import is_blank, parse_double
+
 
 def distribution_compare(a: DataFrame, b: DataFrame, columns: Sequence[str],
                          numeric: Sequence[str] = ()) -> DataFrame:
@@ -38,12 +41,6 @@ def distribution_compare(a: DataFrame, b: DataFrame, columns: Sequence[str],
 # Check model (Q2-Q13): a check list compiled into ONE aggregate pass.
 # ---------------------------------------------------------------------------
 
-from dataclasses import dataclass, field  # noqa: E402
-
-from pyspark.sql import Column  # noqa: E402
-
-from ..functions.exprs import is_blank, parse_double  # noqa: E402
-
 ROW_KINDS = {"not_null", "unique", "between", "in_set", "regex"}
 DATASET_KINDS = {"row_count_between", "mean_between", "min_at_least", "duplicate_count_max",
                  "duplicate_values_max", "missing_count_max", "invalid_count_max"}
