@@ -346,8 +346,9 @@ def q_b8(spark, sf):
 
 
 @register("b9_marketing_attribution", ids=("B9", "J10"), sql=with_ctes("silver customers", """
-, promo AS (SELECT customer_id, CASE customer_id % 3 WHEN 0 THEN 'EMAIL' WHEN 1 THEN 'SOCIAL' ELSE 'SEARCH' END
-              AS channel FROM customers),
+, promo AS (SELECT customer_id, CASE customer_tier WHEN 'AUTOMOBILE' THEN 'SEARCH' WHEN 'BUILDING' THEN 'EMAIL'
+              WHEN 'FURNITURE' THEN 'SOCIAL' WHEN 'HOUSEHOLD' THEN 'EMAIL' WHEN 'MACHINERY' THEN 'SEARCH' END AS channel
+            FROM customers),
 costs(channel, cost) AS (VALUES ('EMAIL', 10000.0), ('SOCIAL', 25000.0), ('SEARCH', 50000.0)),
 per AS (SELECT p.channel, SUM(s.amount) AS rev, COUNT(DISTINCT s.customer_id) AS customers
         FROM silver s JOIN promo p ON s.customer_id = p.customer_id WHERE s.status = 'COMPLETED'
@@ -372,8 +373,8 @@ def q_b10(spark, sf):
 
 @register("b13_reconciliation_summary", ids=("B13", "J9"), sql=with_ctes("silver", """
 , gw AS (SELECT transaction_id,
-                CASE WHEN customer_id % 50 = 0 THEN amount + 5 ELSE amount END AS gw_amount
-         FROM silver WHERE customer_id % 50 <> 1),
+                CASE WHEN dayofmonth(transaction_date) = 15 THEN amount + 5 ELSE amount END AS gw_amount
+         FROM silver WHERE dayofmonth(transaction_date) <> 1),
 j AS (SELECT s.payment_method AS gateway, s.amount, gw.gw_amount,
              CASE WHEN gw.transaction_id IS NULL THEN 'MISSING'
                   WHEN ABS(s.amount - gw.gw_amount) > 1 THEN 'DISPUTED' ELSE 'MATCHED' END AS st

@@ -13,11 +13,17 @@ from pyspark.sql import functions as F
 # Fee rate per payment method (credit 2 %, debit 1.5 %, UPI 0 %).
 FEE_RATES = [("CREDIT_CARD", 0.02), ("DEBIT_CARD", 0.015), ("UPI", 0.0)]
 
-# Fixed values (our fixture): marketing channel costs; customers are assigned
-# to channels by customer_id modulo 3 in this order.
-CHANNELS = ["EMAIL", "SOCIAL", "SEARCH"]
+# Fixed values (our fixture): marketing channel per customer market segment,
+# and channel costs.
+CHANNEL_BY_SEGMENT = {"AUTOMOBILE": "SEARCH", "BUILDING": "EMAIL", "FURNITURE": "SOCIAL",
+                      "HOUSEHOLD": "EMAIL", "MACHINERY": "SEARCH"}
 CHANNEL_COSTS = [("EMAIL", 10000.0), ("SOCIAL", 25000.0), ("SEARCH", 50000.0)]
 
+# Gateway settlement file rules (our fixture): the gateway missed the 1st of
+# every month (settlement outage) and booked 5.00 extra on the 15th.
+GATEWAY_MISSING_DAY = 1
+GATEWAY_DISPUTED_DAY = 15
+
 # SLA contract terms for the rolling 4 h window (two contracts):
 # tier, GMV-loss threshold, notify within hours, credit % per breach hour,
 # breach hours free of credit.
@@ -37,18 +43,20 @@ def channel_costs(spark: SparkSession) -> DataFrame:
 
 
 def promotions(customers: DataFrame) -> DataFrame:
-    """Promotion touch per customer (channel by id mod 3)."""
-    k = F.pmod(F.col("customer_id"), F.lit(3))
-    ch = F.when(k == 0, CHANNELS[0]).when(k == 1, CHANNELS[1]).otherwise(CHANNELS[2])
-    return customers.select("customer_id", ch.alias("channel"))
+    """Promotion touch per customer: channel by market segment."""
+    ch = F.lit(None).cast("string")
+    for seg, channel in CHANNEL_BY_SEGMENT.items():
+        ch = F.when(F.col("customer_tier") == seg, F.lit(channel)).otherwise(ch)
+    return customers.select("customer_id", ch.alias("channel")).where(F.col("channel").isNotNull())
 
 
 def gateway_feed(silver: DataFrame) -> DataFrame:
-    """Gateway settlement file: drops customer_id mod 50 = 1, adds 5.00 to mod 50 = 0."""
-    k = F.pmod(F.col("customer_id"), F.lit(50))
-    amt = F.when(k == 0, F.col("amount") + F.lit(5).cast("decimal(18,2)")).otherwise(F.col("amount"))
-    return silver.where(k != 1).select("transaction_id", amt.alias("amount"),
-                                       F.col("payment_method").alias("gateway"))
+    """Gateway settlement file derived from the ledger: nothing booked on the
+    missing day of each month, 5.00 extra on the disputed day."""
+    day = F.dayofmonth("transaction_date")
+    amt = F.when(day == GATEWAY_DISPUTED_DAY, F.col("amount") + F.lit(5).cast("decimal(18,2)")).otherwise(F.col("amount"))
+    return silver.where(day != GATEWAY_MISSING_DAY).select("transaction_id", amt.alias("amount"),
+                                                           F.col("payment_method").alias("gateway"))
 
 
 def sla_contracts(spark: SparkSession) -> DataFrame:
