@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.patterns import PII_PATTERNS, REDACTION_PATTERNS
+from ..functions.patterns import LOAD_RESTRICTION, PII_PATTERNS, REDACTION_PATTERNS
 from ..operators import governance as G
 from ..operators import search
 from ..sources import ledger
@@ -21,20 +21,25 @@ def _sq(s: str) -> str:
     return s.replace("'", "''")
 
 
-def _rates_sql() -> str:
+_LONG_CTE = """long AS (
+  SELECT 'text_token' AS column_name, trim(tok) AS value
+  FROM (SELECT unnest(string_split_regex(text, '\\s+')) AS tok FROM documents)
+  UNION ALL SELECT 'lang', trim(lang) FROM documents
+  UNION ALL SELECT 'source', trim(source) FROM documents)"""
+
+
+def _rates_body() -> str:
     parts = []
     for i, (name, (rx, cat, sens)) in enumerate(PII_PATTERNS.items()):
         parts.append(f"SELECT column_name, COUNT(*) AS non_null, {i} AS priority, '{name}' AS pii_type, "
                      f"'{cat}' AS category, '{sens}' AS sensitivity, "
                      f"ROUND(COUNT(*) FILTER (WHERE regexp_matches(value, '{_sq(rx)}')) / COUNT(*), 4) AS match_rate "
                      f"FROM long GROUP BY column_name")
-    return """
-WITH long AS (
-  SELECT 'text_token' AS column_name, trim(tok) AS value
-  FROM (SELECT unnest(string_split_regex(text, '\\s+')) AS tok FROM documents)
-  UNION ALL SELECT 'lang', trim(lang) FROM documents
-  UNION ALL SELECT 'source', trim(source) FROM documents)
-""" + "\nUNION ALL\n".join(parts)
+    return "\nUNION ALL\n".join(parts)
+
+
+def _rates_sql() -> str:
+    return f"WITH {_LONG_CTE}\n{_rates_body()}"
 
 
 def _doc_tokens(spark, sf):
@@ -132,3 +137,28 @@ FROM embeddings, q ORDER BY similarity DESC, vec_id LIMIT 3""")
 def q_r17(spark, sf):
     e = read_table(spark, sf, "embeddings")
     return search.cosine_top_k(e, e.where(F.col("vec_id") == 0), "vec_id", "embedding", 3)
+
+
+def _tier_sql() -> str:
+    lr = LOAD_RESTRICTION
+    return f"""
+WITH {_LONG_CTE},
+rates AS ({_rates_body()}),
+best AS (SELECT column_name, sensitivity, match_rate,
+                ROW_NUMBER() OVER (PARTITION BY column_name ORDER BY match_rate DESC, priority) AS r FROM rates),
+f AS (SELECT * FROM best WHERE r = 1 AND match_rate > 0.2),
+o AS (SELECT MAX(CASE sensitivity WHEN 'Internal' THEN 1 WHEN 'Confidential' THEN 2 WHEN 'Restricted' THEN 3 ELSE 0 END)
+             AS o FROM f)
+SELECT CASE COALESCE(o, 0) WHEN 3 THEN 'Restricted' WHEN 2 THEN 'Confidential' WHEN 1 THEN 'Internal' ELSE 'Public' END
+         AS dataset_classification,
+       CASE COALESCE(o, 0) WHEN 3 THEN '{_sq(lr["Restricted"])}' WHEN 2 THEN '{_sq(lr["Confidential"])}'
+            WHEN 1 THEN '{_sq(lr["Internal"])}' ELSE '{_sq(lr["Public"])}' END AS load_restriction
+FROM o"""
+
+
+@register("g3_dataset_tier_documents", ids=("G3", "G1"), sql=_tier_sql())
+def q_g3(spark, sf):
+    d = read_wide(spark, sf, "documents", ["text", "lang", "source"])
+    toks = d.select(F.explode(F.split("text", r"\s+")).alias("text_token"))
+    found = G.pii_scan(toks, ["text_token"]).unionByName(G.pii_scan(d.select("lang", "source"), ["lang", "source"]))
+    return G.dataset_tier(found)

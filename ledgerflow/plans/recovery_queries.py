@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
 
 from ..operators import recovery as R
 from ..sources import derived, ledger
@@ -141,3 +142,24 @@ def q_r13(spark, sf):
     br = R.sla_breaches(s, t, "event_id", "user_id", "ts", "value", derived.sla_contracts(spark),
                         derived.user_tier("user_id"))
     return R.incident_summary(gap, win, br)
+
+
+_R6_ALARMS = LOADED + f"""
+, spine AS (SELECT UNNEST(generate_series(TIMESTAMP '{SPAN_START}', TIMESTAMP '{SPAN_END}' - INTERVAL 5 MINUTE,
+                                           INTERVAL 5 MINUTE)) AS bucket),
+c AS (SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS bucket, COUNT(*) AS n FROM loaded GROUP BY 1),
+j AS (SELECT s.bucket, COALESCE(c.n, 0) AS rows_loaded FROM spine s LEFT JOIN c ON s.bucket = c.bucket),
+alarms AS (SELECT bucket, rows_loaded < 1 AND COALESCE(LAG(CASE WHEN rows_loaded < 1 THEN 1 ELSE 0 END)
+                  OVER (ORDER BY bucket), 0) = 1 AS alarm FROM j)"""
+
+
+@register("r11_change_correlation", ids=("R11", "R6"), sql=with_ctes("ev", _R6_ALARMS + f"""
+, changes AS (SELECT 'sink_outage' AS change_name, TIMESTAMP '{OS}' AS changed_at)
+SELECT c.change_name, c.changed_at, MIN(a.bucket) AS anomaly_start
+FROM changes c LEFT JOIN alarms a ON a.alarm AND a.bucket >= c.changed_at GROUP BY 1, 2"""))
+def q_r11(spark, sf):
+    _s, t = _src_tgt(spark, sf)
+    alarms = R.zero_load_alarm(t, "ts", SPAN_START, SPAN_END)
+    changes = spark.createDataFrame([("sink_outage",)], "change_name string").select(
+        "change_name", F.to_timestamp(F.lit(OS)).alias("changed_at"))
+    return R.change_correlation(alarms, changes)
