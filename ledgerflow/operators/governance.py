@@ -146,7 +146,7 @@ def pii_hits(c: Column | str) -> list[Column]:
     out = []
     cur = c
     for name, rx in REDACTION_PATTERNS:
-        out.append(F.regexp_count(cur, F.lit(rx)).alias(f"n_{name}"))
+        out.append(F.regexp_count(cur, F.lit(rx)).cast("bigint").alias(f"n_{name}"))
         cur = F.regexp_replace(cur, rx, f"[{name.upper()}]")
     return out
 

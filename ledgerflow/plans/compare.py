@@ -63,15 +63,35 @@ class Outcome:
     oracle_rows: int
 
 
+_SPARK_FAMILY = [("decimal", "DECIMAL"), ("bigint", "BIGINT"), ("smallint", "INT"), ("tinyint", "INT"),
+                 ("int", "INT"), ("double", "DOUBLE"), ("float", "FLOAT"), ("string", "VARCHAR"),
+                 ("timestamp", "TIMESTAMP"), ("date", "DATE"), ("boolean", "BOOLEAN"), ("array", "LIST")]
+_DUCK_FAMILY = [("DECIMAL", "DECIMAL"), ("HUGEINT", "HUGEINT"), ("BIGINT", "BIGINT"), ("INTEGER", "INT"),
+                ("SMALLINT", "INT"), ("DOUBLE", "DOUBLE"), ("FLOAT", "FLOAT"), ("VARCHAR", "VARCHAR"),
+                ("TIMESTAMP", "TIMESTAMP"), ("DATE", "DATE"), ("BOOLEAN", "BOOLEAN"), ("[]", "LIST")]
+
+
+def _family(t: str, table) -> str:
+    for k, v in table:
+        if (t.lower().startswith(k)) if table is _SPARK_FAMILY else (k in t.upper()):
+            return v
+    return t
+
+
 def compare(name: str, spark_df, con, sql: str, digits: int = 6) -> Outcome:
     s_cols = spark_df.columns
+    s_types = {f.name: _family(f.dataType.simpleString(), _SPARK_FAMILY) for f in spark_df.schema.fields}
     s_rows = [tuple(r) for r in spark_df.collect()]
-    cur = con.execute(sql)
-    o_cols = [d[0] for d in cur.description]
-    o_rows = cur.fetchall()
+    rel = con.sql(sql)
+    o_cols = list(rel.columns)
+    o_types = {c: _family(str(t), _DUCK_FAMILY) for c, t in zip(o_cols, rel.types)}
+    o_rows = rel.fetchall()
     if sorted(s_cols) != sorted(o_cols):
         return Outcome(name, False, f"columns differ: spark={sorted(s_cols)} oracle={sorted(o_cols)}",
                        len(s_rows), len(o_rows))
+    bad = {c: (s_types[c], o_types[c]) for c in s_cols if s_types[c] != o_types[c]}
+    if bad:
+        return Outcome(name, False, f"type families differ: {bad}", len(s_rows), len(o_rows))
     if len(s_rows) != len(o_rows):
         return Outcome(name, False, "row counts differ", len(s_rows), len(o_rows))
     a, b = _rows(s_cols, s_rows, digits), _rows(o_cols, o_rows, digits)

@@ -96,7 +96,7 @@ def q_a5(spark, sf):
 @register("a6_merchant_30d", ids=("A6", "W5", "P7", "P10"), sql=with_ctes("daily_gmv", f"""
 SELECT merchant_id, merchant_name, business_category,
        CAST(SUM(gmv) AS DOUBLE) AS gmv_30d,
-       SUM(transaction_count) AS transactions_30d,
+       CAST(SUM(transaction_count) AS BIGINT) AS transactions_30d,
        CAST(CAST(AVG(CAST(failure_rate_pct AS DECIMAL(12,2))) AS DECIMAL(38,6)) AS DOUBLE) AS avg_failure_rate_pct,
        MAX(transaction_date) AS last_transaction_date,
        CASE WHEN SUM(gmv) >= 1000000 THEN 'PLATINUM' WHEN SUM(gmv) >= 500000 THEN 'GOLD'

@@ -257,7 +257,7 @@ def q_a19_vc(spark, sf):
                     AS failure_rate_pct
            FROM silver GROUP BY merchant_id)
 SELECT (SELECT merchant_id FROM perf ORDER BY failure_rate_pct DESC, merchant_id DESC LIMIT 1) AS worst_merchant_id,
-       MAX(failure_rate_pct) AS worst_failure_rate_pct, SUM(txn_count) AS fleet_txns,
+       MAX(failure_rate_pct) AS worst_failure_rate_pct, CAST(SUM(txn_count) AS BIGINT) AS fleet_txns,
        ROUND(SUM(total_revenue), 2) AS fleet_revenue FROM perf"""))
 def q_a20(spark, sf):
     perf = silver_df(spark, sf).groupBy("merchant_id").agg(
@@ -268,7 +268,7 @@ def q_a20(spark, sf):
 
 
 @register("b4_fct_daily_revenue", ids=("B4", "A21", "W1"), sql=with_ctes("daily_gmv", """
-, d AS (SELECT transaction_date, CAST(SUM(gmv) AS DOUBLE) AS total_gmv, SUM(transaction_count) AS total_transactions,
+, d AS (SELECT transaction_date, CAST(SUM(gmv) AS DOUBLE) AS total_gmv, CAST(SUM(transaction_count) AS BIGINT) AS total_transactions,
                COUNT(DISTINCT merchant_id) AS active_merchants, CAST(SUM(failed_amount) AS DOUBLE) AS total_failed,
                CAST(ROUND(CAST(AVG(CAST(failure_rate_pct AS DECIMAL(12,2))) AS DECIMAL(38,6)), 2) AS DOUBLE) AS avg_failure_rate_pct
         FROM daily_gmv GROUP BY transaction_date)
@@ -412,7 +412,7 @@ def q_t2(spark, sf):
            UNION ALL SELECT 'merchant_name', merchant_name FROM silver
            UNION ALL SELECT 'customer_id', CAST(customer_id AS VARCHAR) FROM silver),
 c AS (SELECT column_name, value, COUNT(*) AS value_count FROM long WHERE value IS NOT NULL GROUP BY 1, 2)
-SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY column_name ORDER BY value_count DESC, value) AS value_rank
+SELECT * FROM (SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY column_name ORDER BY value_count DESC, value) AS INTEGER) AS value_rank
                FROM c) WHERE value_rank <= 5"""))
 def q_t4(spark, sf):
     return windows.top_values_per_column(silver_df(spark, sf),
