@@ -318,3 +318,59 @@ def q_issues(spark, sf):
     c = Q.classify_issue(b, currency_col="__none__")
     return (c.where(F.col("issue_found").isNotNull()).groupBy("issue_found", "severity", "auto_fixable")
             .agg(F.count(F.lit(1)).alias("n")))
+
+
+@register("w3_first_occurrence", ids=("W3",), sql=with_ctes("txn", """
+SELECT transaction_id, CAST(amount AS DOUBLE) AS amount, status, merchant_id, transaction_date FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY transaction_id
+                               ORDER BY transaction_date, src_seq, merchant_id, amount, status, customer_id,
+                                        payment_method) AS rn FROM txn) WHERE rn = 1"""))
+def q_w3(spark, sf):
+    from ..operators.silver import keep_first
+    t = ledger.transactions(spark, sf)
+    f = keep_first(t, "transaction_id", ["transaction_date", "src_seq", "merchant_id", "amount"])
+    return f.select("transaction_id", F.col("amount").cast("double").alias("amount"), "status", "merchant_id",
+                    "transaction_date")
+
+
+@register("q12_model_tests", ids=("Q12", "J6"), sql=with_ctes("silver merchants", """
+, perf AS (SELECT merchant_id, COALESCE(ROUND(COUNT(CASE WHEN status = 'FAILED' THEN 1 END) * 100.0 / COUNT(*), 2), 0.0)
+                  AS failure_rate_pct FROM silver GROUP BY merchant_id)
+SELECT 'unique' AS test_name, 'merchants.merchant_id' AS target,
+       (SELECT COUNT(*) FROM merchants WHERE merchant_id IN
+          (SELECT merchant_id FROM merchants GROUP BY 1 HAVING COUNT(*) > 1)) AS failures
+UNION ALL SELECT 'not_null', 'merchants.merchant_name',
+       (SELECT COUNT(*) FROM merchants WHERE merchant_name IS NULL OR trim(merchant_name) = '')
+UNION ALL SELECT 'accepted_values', 'silver.payment_method',
+       (SELECT COUNT(*) FROM silver WHERE NOT COALESCE(payment_method IN ('UPI', 'CREDIT_CARD', 'DEBIT_CARD'), FALSE))
+UNION ALL SELECT 'relationships', 'silver.merchant_id -> merchants',
+       (SELECT COUNT(*) FROM silver s WHERE NOT EXISTS (SELECT 1 FROM merchants m WHERE m.merchant_id = s.merchant_id))
+UNION ALL SELECT 'range_0_100', 'merchant_performance.failure_rate_pct',
+       (SELECT COUNT(*) FROM perf WHERE failure_rate_pct < 0 OR failure_rate_pct > 100)"""))
+def q_q12(spark, sf):
+    from ..operators.gold import merchant_performance
+    from ..operators.joins import orphans
+    s = silver_df(spark, sf)
+    m = ledger.merchants(spark, sf)
+    perf = merchant_performance(s, by_date=False)
+
+    def failed(df, checks, target, test):
+        r = Q.run_suite(df, checks).where(F.col("failed_row_count").isNotNull())
+        return r.select(F.lit(test).alias("test_name"), F.lit(target).alias("target"),
+                        F.col("failed_row_count").alias("failures"))
+
+    parts = [
+        failed(m, [Q.unique("merchant_id")], "merchants.merchant_id", "unique"),
+        failed(m, [Q.not_null("merchant_name")], "merchants.merchant_name", "not_null"),
+        failed(s, [Q.in_set("payment_method", ("UPI", "CREDIT_CARD", "DEBIT_CARD"))], "silver.payment_method",
+               "accepted_values"),
+        orphans(s, m, "merchant_id").agg(F.count(F.lit(1)).alias("failures")).select(
+            F.lit("relationships").alias("test_name"), F.lit("silver.merchant_id -> merchants").alias("target"),
+            "failures"),
+        failed(perf, [Q.between("failure_rate_pct", 0, 100)], "merchant_performance.failure_rate_pct",
+               "range_0_100"),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
