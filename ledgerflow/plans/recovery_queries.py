@@ -35,8 +35,8 @@ def q_r2(spark, sf):
 
 @register("r3_sla_breaches", ids=("R3", "J12", "W4"), sql=with_ctes("ev", LOADED + """
 , tiers(sla_tier, threshold, notify_hours, credit_pct_per_hour, grace_hours) AS
-    (VALUES ('QUICK', CAST(50000 AS DOUBLE), 2, CAST(0.5 AS DOUBLE), 4), ('FUEL', CAST(100000 AS DOUBLE), 4, CAST(0.3 AS DOUBLE), 0)),
-r AS (SELECT user_id, ts, CASE WHEN user_id % 2 = 0 THEN 'QUICK' ELSE 'FUEL' END AS sla_tier,
+    (VALUES ('CONTRACT_A', CAST(50000 AS DOUBLE), 2, CAST(0.5 AS DOUBLE), 4), ('CONTRACT_B', CAST(100000 AS DOUBLE), 4, CAST(0.3 AS DOUBLE), 0)),
+r AS (SELECT user_id, ts, CASE WHEN user_id % 2 = 0 THEN 'CONTRACT_A' ELSE 'CONTRACT_B' END AS sla_tier,
              SUM(value) OVER (PARTITION BY user_id ORDER BY epoch_us(ts)
                               RANGE BETWEEN 14399999999 PRECEDING AND CURRENT ROW) AS roll FROM missing),
 g AS (SELECT r.user_id, r.sla_tier, t.threshold, t.notify_hours, t.credit_pct_per_hour, t.grace_hours,

@@ -27,7 +27,7 @@ GATEWAY_DISPUTED_DAY = 15
 # SLA contract terms for the rolling 4 h window (two contracts):
 # tier, GMV-loss threshold, notify within hours, credit % per breach hour,
 # breach hours free of credit.
-SLA_TIERS = [("QUICK", 50000.0, 2, 0.5, 4), ("FUEL", 100000.0, 4, 0.3, 0)]
+SLA_TIERS = [("CONTRACT_A", 50000.0, 2, 0.5, 4), ("CONTRACT_B", 100000.0, 4, 0.3, 0)]
 
 # Simulated sink outage used by the replay / gap / failure-window queries.
 OUTAGE_START = "2024-01-15 10:00:00"
@@ -65,7 +65,7 @@ def sla_contracts(spark: SparkSession) -> DataFrame:
 
 
 def user_tier(col: str = "user_id"):
-    return F.when(F.pmod(F.col(col), F.lit(2)) == 0, "QUICK").otherwise("FUEL")
+    return F.when(F.pmod(F.col(col), F.lit(2)) == 0, "CONTRACT_A").otherwise("CONTRACT_B")
 
 
 def loaded_events(events: DataFrame) -> DataFrame:

@@ -90,10 +90,10 @@ def test_migrations_and_silent_break(spark):
 
 
 def test_repair_record(spark):
-    df = spark.createDataFrame([("T1", "QuickMart", "15-01-2024"), ("T2", None, "2024-01-16")],
+    df = spark.createDataFrame([("T1", "CornerShop", "15-01-2024"), ("T2", None, "2024-01-16")],
                                "transaction_id string, merchant_nm string, transaction_date string")
     out = {r.transaction_id: r for r in S.repair_record(df).collect()}
-    assert out["T1"].merchant_name == "QuickMart" and out["T1"].transaction_date == "2024-01-15"
+    assert out["T1"].merchant_name == "CornerShop" and out["T1"].transaction_date == "2024-01-15"
     assert out["T1"]._fixed_date and not out["T2"]._fixed_date
 
 

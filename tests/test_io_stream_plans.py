@@ -21,7 +21,7 @@ def _csv(path, rows):
 
 
 def _dim(spark):
-    return spark.createDataFrame([("M001", "QuickMart", "Retail", "Pune"), ("M002", "FuelPlus", "Fuel", "Delhi")],
+    return spark.createDataFrame([("M001", "CornerShop", "Retail", "Pune"), ("M002", "PumpStation", "Fuel", "Delhi")],
                                  "merchant_id string, merchant_name string, category string, city string")
 
 
@@ -95,14 +95,14 @@ def test_read_batches_and_manifest(spark, tmp_dir):
 
 
 def test_recover_twice_changes_nothing(spark, tmp_dir):
-    src = spark.createDataFrame([("T1", "QuickMart", "15-01-2024", "10.0"), ("T2", "FuelPlus", "2024-01-15", "-1"),
+    src = spark.createDataFrame([("T1", "CornerShop", "15-01-2024", "10.0"), ("T2", "PumpStation", "2024-01-15", "-1"),
                                  ("T3", None, "2024-01-15", "5")],
                                 "transaction_id string, merchant_nm string, transaction_date string, amount string")
     a = recovery.recover(spark, src, f"{tmp_dir}/tgt", f"{tmp_dir}/q", "transaction_id", "2024-01-16 00:00:00")
     b = recovery.recover(spark, src, f"{tmp_dir}/tgt", f"{tmp_dir}/q", "transaction_id", "2024-01-16 00:00:00")
     assert a["loaded"] == 2 and a["quarantine"] == "WRITTEN" and b["loaded"] == 0 and b["target_rows"] == 2
     t = {r.transaction_id: r for r in spark.read.parquet(f"{tmp_dir}/tgt").collect()}
-    assert t["T1"].transaction_date == "2024-01-15" and t["T1"].merchant_name == "QuickMart"
+    assert t["T1"].transaction_date == "2024-01-15" and t["T1"].merchant_name == "CornerShop"
 
 
 def test_stream_equals_batch_twin(spark, tmp_dir):
@@ -122,8 +122,8 @@ def test_stream_equals_batch_twin(spark, tmp_dir):
 
 
 def test_foreach_batch_loader_idempotent(spark, tmp_dir):
-    rows = [("T1", "QuickMart", "2024-01-15", "10.0"), ("T2", "QuickMart", "15-01-2024", "3.0"),
-            ("T3", "QuickMart", "2024-01-15", "0")]
+    rows = [("T1", "CornerShop", "2024-01-15", "10.0"), ("T2", "CornerShop", "15-01-2024", "3.0"),
+            ("T3", "CornerShop", "2024-01-15", "0")]
     df = spark.createDataFrame(rows, "transaction_id string, merchant_name string, transaction_date string, amount string")
     df.write.json(f"{tmp_dir}/in")
     stream = spark.readStream.schema(df.schema).json(f"{tmp_dir}/in")

@@ -31,9 +31,9 @@ def txn_rows():
 
 def merchants(spark):
     return spark.createDataFrame(
-        [("M001", "QuickMart", "Retail", "Pune"), ("M002", "FuelPlus", "Fuel", "Delhi"),
-         ("M003", "CafeBlend", "Food", "Mumbai"), ("M004", "TechZone", "Electronics", "Pune"),
-         ("M005", "MediPharm", "Health", "Chennai")],
+        [("M001", "CornerShop", "Retail", "Pune"), ("M002", "PumpStation", "Fuel", "Delhi"),
+         ("M003", "BeanHouse", "Food", "Mumbai"), ("M004", "GadgetHub", "Electronics", "Pune"),
+         ("M005", "CarePharmacy", "Health", "Chennai")],
         "merchant_id string, merchant_name string, category string, city string")
 
 
@@ -45,7 +45,7 @@ def test_silver_rules(spark):
     assert None not in rows and "TXN008" not in rows
     assert rows["TXN006"].transaction_date == D(2024, 1, 17)  # latest kept
     assert rows["TXN010"].quality_flag == "UNMATCHED" and rows["TXN010"].merchant_name is None
-    assert rows["TXN001"].merchant_name == "QuickMart" and rows["TXN001"].quality_flag == "CLEAN"
+    assert rows["TXN001"].merchant_name == "CornerShop" and rows["TXN001"].quality_flag == "CLEAN"
 
 
 def test_keep_latest_is_partition_independent(spark):

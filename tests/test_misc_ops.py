@@ -40,7 +40,7 @@ def test_pii_surface_and_producer(spark):
     b = spark.createDataFrame([("10.1.2.3",)], "ip string")
     s = {(r.table_name, r.column_name): r.pii_type for r in G.pii_surface({"a": a, "b": b}).collect()}
     assert s == {("a", "full_name"): "full_name", ("a", "email"): "email_address", ("b", "ip"): "ip_address"}
-    batch = spark.createDataFrame([("T1", "QuickMart")], "transaction_id string, merchant_nm string")
+    batch = spark.createDataFrame([("T1", "CornerShop")], "transaction_id string, merchant_nm string")
     v = R.verify_producer(batch, ["transaction_id", "merchant_name"], ["merchant_nm"])
     assert not v["ok"] and v["missing"] == ["merchant_name"] and v["forbidden_present"] == ["merchant_nm"]
 

@@ -75,15 +75,15 @@ def test_impossible_rows_verdict(spark):
 
 
 def test_classify_issue_labelled_rows(spark):
-    rows = [("TXN1", "QuickMart", "1,234.56", "INR", "2024-01-02", "COMPLETED"),
-            ("", "QuickMart", "10", "INR", "2024-01-02", "COMPLETED"),
-            ("TXN3", "QuickMart", "-5", "INR", "2024-01-02", "COMPLETED"),
-            ("TXN4", "QuickMart", "10", "IND", "2024-01-02", "COMPLETED"),
-            ("TXN5", "QuickMart", "10", "INR", "99-99-9999", "COMPLETED"),
-            ("TXN6", "QuickMart", "10", "INR", "2024/06/02", "COMPLETED"),
-            ("TXN7", "QuickMart", "10", "INR", "2024-01-02", "Completed"),
+    rows = [("TXN1", "CornerShop", "1,234.56", "INR", "2024-01-02", "COMPLETED"),
+            ("", "CornerShop", "10", "INR", "2024-01-02", "COMPLETED"),
+            ("TXN3", "CornerShop", "-5", "INR", "2024-01-02", "COMPLETED"),
+            ("TXN4", "CornerShop", "10", "IND", "2024-01-02", "COMPLETED"),
+            ("TXN5", "CornerShop", "10", "INR", "99-99-9999", "COMPLETED"),
+            ("TXN6", "CornerShop", "10", "INR", "2024/06/02", "COMPLETED"),
+            ("TXN7", "CornerShop", "10", "INR", "2024-01-02", "Completed"),
             ("TXN8", "", "10", "INR", "2024-01-02", "COMPLETED"),
-            ("TXN9", "QuickMart", "0", "INR", "2024-01-02", "COMPLETED")]
+            ("TXN9", "CornerShop", "0", "INR", "2024-01-02", "COMPLETED")]
     df = spark.createDataFrame(rows, "transaction_id string, merchant_name string, amount string, currency string, "
                                      "transaction_date string, status string")
     got = {r.transaction_id: (r.issue_found, r.severity, r.auto_fixable) for r in Q.classify_issue(df).collect()}
