@@ -53,7 +53,7 @@ def q_x6(spark, sf):
 
 @register("x9_user_sessions", ids=("X9",), sql=with_ctes("ev", """
 , o AS (SELECT *, CASE WHEN LAG(ts) OVER (PARTITION BY user_id ORDER BY ts) IS NULL
-                         OR ts >= LAG(ts) OVER (PARTITION BY user_id ORDER BY ts) + INTERVAL 30 MINUTE
+                         OR ts > LAG(ts) OVER (PARTITION BY user_id ORDER BY ts) + INTERVAL 30 MINUTE
                        THEN 1 ELSE 0 END AS new_s FROM ev),
 s AS (SELECT *, SUM(new_s) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS sid FROM o)
 SELECT user_id, MIN(ts) AS session_start, MAX(ts) + INTERVAL 30 MINUTE AS session_end, COUNT(*) AS events,

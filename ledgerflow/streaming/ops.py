@@ -78,12 +78,14 @@ def sessions_blocked(df: DataFrame, ts: str, gap: str, by: Sequence[str], value:
     t = df.withColumn(ts, F.col(ts).cast("timestamp")).withColumn("_blk", F.date_trunc(block, ts))
     wb = Window.partitionBy(*keys, "_blk").orderBy(ts)
     prev = F.lag(ts).over(wb)
-    t = t.withColumn("_brk", F.when(prev.isNull() | (F.col(ts) >= prev + gap_us), 1).otherwise(0))
+    # same rule as session_window: a row joins the session when it starts at or
+    # before the session's end (previous row + gap)
+    t = t.withColumn("_brk", F.when(prev.isNull() | (F.col(ts) > prev + gap_us), 1).otherwise(0))
     t = t.withColumn("_local", F.sum("_brk").over(wb.rowsBetween(Window.unboundedPreceding, 0)))
     summ = t.groupBy(*keys, "_blk").agg(F.min(ts).alias("_first"), F.max(ts).alias("_last"),
                                         F.max("_local").alias("_n_local"))
     wk = Window.partitionBy(*keys).orderBy("_blk")
-    starts_new = F.when(F.lag("_last").over(wk).isNull() | (F.col("_first") >= F.lag("_last").over(wk) + gap_us),
+    starts_new = F.when(F.lag("_last").over(wk).isNull() | (F.col("_first") > F.lag("_last").over(wk) + gap_us),
                         1).otherwise(0)
     summ = summ.withColumn("_new", starts_new)
     # sessions completed before this block: all local sessions of earlier blocks,
