@@ -50,15 +50,13 @@ def read_partition(spark: SparkSession, path: str, partition_col: str, value) ->
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Does any file match ``path``?  A zero-row scan of the listing: the
-    reader raises PATH_NOT_FOUND when nothing matches."""
-    try:
-        spark.read.format("binaryFile").load(path).select("path").limit(0).collect()
-        return True
-    except Exception as e:  # AnalysisException: PATH_NOT_FOUND
-        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
-            return False
-        raise
+    """Does anything match ``path`` (globs allowed)?  One filesystem glob
+    call on the driver -- no file listing job, however large the prefix."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = fs.globStatus(p)
+    return found is not None and len(found) > 0
 
 
 def read_batches(spark: SparkSession, path: str, schema: T.StructType,
