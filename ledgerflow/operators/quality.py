@@ -243,6 +243,16 @@ def quarantine_split(df: DataFrame, checks: list[Check], run_ts: str,
     return clean, quarantined
 
 
+def split_counts(df: DataFrame, checks: list[Check], severities: tuple[str, ...] = ("critical",)) -> DataFrame:
+    """Q14/Q16: clean and quarantined row counts in one aggregate (no second pass)."""
+    flagged, row_cols = flag_rows(df, checks)
+    bad = F.lit(False)
+    for c, n in row_cols:
+        if c.severity in severities:
+            bad = bad | F.col(n)
+    return flagged.agg(F.count_if(~bad).alias("clean_rows"), F.count_if(bad).alias("quarantined_rows"))
+
+
 def load_decision(total: Column, quarantined: Column, critical_failed: Column) -> list[Column]:
     """Q16: reject_all above 20 % quarantined, else quarantine_and_load / load_clean;
     alert above 10 % or when any critical check failed (fixed thresholds)."""

@@ -108,10 +108,8 @@ SELECT total_rows, clean_rows, quarantined_rows,
        (ROUND(quarantined_rows * 100.0 / total_rows, 1) > 10 OR quarantined_rows > 0) AS alert_required
 FROM t""")
 def q_decision(spark, sf):
-    clean, quarantined = Q.quarantine_split(ledger.bronze_enriched(spark, sf), LEDGER_SUITE, RUN_TS)
-    qd = quarantined.agg(F.count(F.lit(1))).scalar()
-    j = clean.agg(F.count(F.lit(1)).alias("clean_rows")).withColumn("quarantined_rows", qd) \
-             .withColumn("total_rows", F.col("clean_rows") + F.col("quarantined_rows"))
+    c = Q.split_counts(ledger.bronze_enriched(spark, sf), LEDGER_SUITE)
+    j = c.withColumn("total_rows", F.col("clean_rows") + F.col("quarantined_rows"))
     return j.select("total_rows", "clean_rows", "quarantined_rows",
                     *Q.load_decision(F.col("total_rows"), F.col("quarantined_rows"), F.col("quarantined_rows") > 0))
 
