@@ -160,3 +160,16 @@ def write_partner_feed(df: DataFrame, partners: DataFrame, path: str, key: str =
     out = df.join(bounded_broadcast(partners.select(key, "partner_id")), key, "inner")
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy("partner_id").parquet(path))
+
+
+def read_table_format(spark: SparkSession, path: str, fmt: str = "delta",
+                      fallback: str | None = "parquet") -> tuple[DataFrame, str]:
+    """Read a layer through a table-format reader (e.g. ``delta``) when its
+    data source is on the classpath; otherwise the same call reads ``fallback``
+    files at that path.  Returns (frame, format actually used)."""
+    try:
+        return spark.read.format(fmt).load(path), fmt
+    except Exception as e:  # DATA_SOURCE_NOT_FOUND when the connector jar is absent
+        if fallback is None or "DATA_SOURCE_NOT_FOUND" not in str(e) and "Failed to find data source" not in str(e):
+            raise
+        return spark.read.format(fallback).load(path), fallback

@@ -85,3 +85,9 @@ def test_partner_feed_folders(spark, tmp_dir):
     partners = spark.createDataFrame([("M1", "P-A"), ("M2", "P-B")], "merchant_id string, partner_id string")
     files.write_partner_feed(df, partners, f"{tmp_dir}/feed")
     assert sorted(os.listdir(f"{tmp_dir}/feed"))[:2] == ["partner_id=P-A", "partner_id=P-B"]
+
+
+def test_table_format_reader_falls_back(spark, tmp_dir):
+    spark.createDataFrame([("T1", 1.0)], "id string, amount double").write.parquet(f"{tmp_dir}/silver")
+    df, used = files.read_table_format(spark, f"{tmp_dir}/silver", "delta")
+    assert df.count() == 1 and used in ("delta", "parquet")
