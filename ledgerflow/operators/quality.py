@@ -141,11 +141,9 @@ def flag_rows(df: DataFrame, checks: list[Check]) -> tuple[DataFrame, list[tuple
     usable = [c for c in checks if c.kind in ROW_KINDS and c.column in present]
     uniq = sorted({c.column for c in usable if c.kind == "unique"})
     flagged = with_duplicate_flags(df, uniq) if uniq else df
-    cols = []
-    for i, chk in enumerate(usable):
-        name = f"__fail_{i}"
-        flagged = flagged.withColumn(name, _row_fail(flagged, chk))
-        cols.append((chk, name))
+    cols = [(chk, f"__fail_{i}") for i, chk in enumerate(usable)]
+    # one projection for all flags (a withColumn chain re-analyses the plan per column)
+    flagged = flagged.select("*", *[_row_fail(flagged, chk).alias(name) for chk, name in cols])
     return flagged, cols
 
 
