@@ -16,11 +16,17 @@ COMPLETED, FAILED = "COMPLETED", "FAILED"
 
 # --- P2 / A4 -----------------------------------------------------------------
 
-def stage_transactions(txn: DataFrame, test_prefix_like: str = "TEST_%") -> DataFrame:
-    """Lower-case codes, drop test merchants (LIKE semantics kept: '_' is a wildcard)."""
+def stage_transactions(txn: DataFrame, test_prefix_like: str = "TEST_%", literal: bool = False) -> DataFrame:
+    """Lower-case codes, drop test merchants.
+
+    Default keeps the model's LIKE semantics ('_' is a wildcard, so 'TESTX1'
+    is dropped too).  ``literal=True`` treats the pattern's text before '%'
+    as a plain prefix (the escaped form of the same rule)."""
+    mid = F.col("merchant_id").cast("string")
+    test = mid.startswith(test_prefix_like.rstrip("%")) if literal else mid.like(test_prefix_like)
     return (txn.withColumn("status", F.lower("status"))
             .withColumn("payment_method", F.lower("payment_method"))
-            .where(~F.col("merchant_id").cast("string").like(test_prefix_like)))
+            .where(~F.coalesce(test, F.lit(False))))
 
 
 def merchant_kpis(staged: DataFrame, merchants: DataFrame) -> DataFrame:

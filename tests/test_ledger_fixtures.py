@@ -88,3 +88,13 @@ def test_customer_spend_keeps_zero_order_customers(spark):
     out = {r.customer_id: r for r in marts.customer_spend(cust, s, None).collect()}
     assert out[2].lifetime_value == 0.0 and out[2].total_orders == 0
     assert out[1].lifetime_value == 10.0 and out[1].total_orders == 1
+
+
+def test_test_merchant_filter_like_and_literal(spark):
+    df = spark.createDataFrame([("T1", "TEST_1"), ("T2", "TESTX1"), ("T3", "TEST"), ("T4", "M001")],
+                               "transaction_id string, merchant_id string").withColumn("status", F.lit("A")) \
+              .withColumn("payment_method", F.lit("UPI"))
+    like = {r.transaction_id for r in marts.stage_transactions(df).collect()}
+    lit = {r.transaction_id for r in marts.stage_transactions(df, literal=True).collect()}
+    assert like == {"T3", "T4"}            # LIKE: '_' matches any char, so TESTX1 is dropped too
+    assert lit == {"T2", "T3", "T4"}       # literal prefix 'TEST_'
