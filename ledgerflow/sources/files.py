@@ -81,17 +81,23 @@ def write_json_hourly(df: DataFrame, path: str, ts_col: str) -> None:
         .partitionBy("yyyy", "MM", "dd", "HH").json(path))
 
 
-def write_quarantine(df: DataFrame, path: str, reason: str, source: str, run_ts: str) -> str:
-    """Add reason / source / time, write CSV under dt=<date>; empty -> SKIPPED."""
+def write_quarantine(df: DataFrame, path: str, reason: str, source: str, run_ts: str,
+                     run_id: str | None = None) -> str:
+    """Add reason / source / time and write CSV under dt=<date>/run=<id>;
+    empty input -> SKIPPED.  Runs accumulate (each keeps its own partition,
+    as each run adds its own file); replaying a run rewrites only that run's
+    partition, so a retry never duplicates quarantined rows."""
     if df.isEmpty():
         return "SKIPPED"
+    run = run_id or run_ts.replace(" ", "T").replace(":", "")
     out = (df.withColumn("_quarantine_reason", F.coalesce(F.col("_quarantine_reason"), F.lit(reason))
                          if "_quarantine_reason" in df.columns else F.lit(reason))
            .withColumn("_quarantine_source", F.lit(source))
            .withColumn("_quarantine_at", F.to_timestamp(F.lit(run_ts)))
-           .withColumn("dt", F.to_date(F.lit(run_ts))))
+           .withColumn("dt", F.to_date(F.lit(run_ts)))
+           .withColumn("run", F.lit(run)))
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("header", True)
-        .partitionBy("dt").csv(path))
+        .partitionBy("dt", "run").csv(path))
     return "WRITTEN"
 
 

@@ -91,3 +91,12 @@ def test_table_format_reader_falls_back(spark, tmp_dir):
     spark.createDataFrame([("T1", 1.0)], "id string, amount double").write.parquet(f"{tmp_dir}/silver")
     df, used = files.read_table_format(spark, f"{tmp_dir}/silver", "delta")
     assert df.count() == 1 and used in ("delta", "parquet")
+
+
+def test_quarantine_runs_accumulate_and_replays_replace(spark, tmp_dir):
+    bad = spark.createDataFrame([("T1", "neg")], "id string, _quarantine_reason string")
+    assert files.write_quarantine(bad, f"{tmp_dir}/q", "x", "src", "2024-01-15 10:00:00") == "WRITTEN"
+    assert files.write_quarantine(bad, f"{tmp_dir}/q", "x", "src", "2024-01-15 10:00:00") == "WRITTEN"  # replay
+    assert files.write_quarantine(bad, f"{tmp_dir}/q", "x", "src", "2024-01-15 11:00:00") == "WRITTEN"  # next run
+    assert files.write_quarantine(bad.limit(0), f"{tmp_dir}/q", "x", "src", "2024-01-15 12:00:00") == "SKIPPED"
+    assert spark.read.option("header", True).csv(f"{tmp_dir}/q").count() == 2
