@@ -140,7 +140,13 @@ def hourly_volume_flags(events: DataFrame, spike: int) -> DataFrame:
     counts = events.groupBy(F.date_trunc("hour", "ts").alias("hour")).agg(F.count(F.lit(1)).alias("event_count"))
     j = spine.join(counts, "hour", "left").withColumn("event_count", F.coalesce("event_count", F.lit(0)).cast("bigint"))
     flag = F.when(F.col("event_count") > spike, "SPIKE").when(F.col("event_count") == 0, "ZERO").otherwise("OK")
-    return j.withColumn("volume_flag", flag)
+    flagged = j.withColumn("volume_flag", flag)
+    # totals over the whole spine, attached as scalar subqueries (no join)
+    tot = flagged.agg(F.sum("event_count").cast("bigint")).scalar()
+    spikes = flagged.agg(F.count_if(F.col("volume_flag") == "SPIKE")).scalar()
+    zeros = flagged.agg(F.count_if(F.col("volume_flag") == "ZERO")).scalar()
+    return (flagged.withColumn("total_events", tot).withColumn("spike_hours", spikes)
+            .withColumn("zero_hours", zeros))
 
 
 # --- A16 / B14 / B15 / B16 ----------------------------------------------------

@@ -183,11 +183,15 @@ def q_a14(spark, sf):
 @register("a15_hourly_volume_flags", ids=("A15",), sql=with_ctes("ev", """
 , spine AS (SELECT UNNEST(generate_series(MIN(DATE_TRUNC('hour', ts)), MAX(DATE_TRUNC('hour', ts)),
                                            INTERVAL 1 HOUR)) AS hour FROM ev),
-c AS (SELECT DATE_TRUNC('hour', ts) AS hour, COUNT(*) AS n FROM ev GROUP BY 1)
-SELECT s.hour, CAST(COALESCE(c.n, 0) AS BIGINT) AS event_count,
+c AS (SELECT DATE_TRUNC('hour', ts) AS hour, COUNT(*) AS n FROM ev GROUP BY 1),
+f AS (SELECT s.hour, CAST(COALESCE(c.n, 0) AS BIGINT) AS event_count,
        CASE WHEN COALESCE(c.n, 0) > 1000 THEN 'SPIKE' WHEN COALESCE(c.n, 0) = 0 THEN 'ZERO' ELSE 'OK' END
          AS volume_flag
-FROM spine s LEFT JOIN c ON s.hour = c.hour"""))
+FROM spine s LEFT JOIN c ON s.hour = c.hour)
+SELECT f.*, (SELECT CAST(SUM(event_count) AS BIGINT) FROM f) AS total_events,
+       (SELECT COUNT(*) FROM f WHERE volume_flag = 'SPIKE') AS spike_hours,
+       (SELECT COUNT(*) FROM f WHERE volume_flag = 'ZERO') AS zero_hours
+FROM f"""))
 def q_a15(spark, sf):
     return marts.hourly_volume_flags(ledger.events(spark, sf), 1000)
 
