@@ -29,6 +29,7 @@ from .common import NULL_ID, bitmap, cut, groups, in_bitmap, partitions
 SYMBOL, DEPTH, ANCHOR = 4, 5, 8
 WINDOW = SYMBOL * DEPTH
 BINS = 1 << 14
+CHUNK = 2500  # texts whose suffixes a task holds at a time
 RECORD = np.dtype([("s", "<u4", DEPTH), ("at", "<u4"), ("doc", "<i8"), ("text", "<i8")])
 
 
@@ -49,9 +50,15 @@ def _anchors(w: W.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return at[ok], low[ok], np.lib.stride_tricks.sliding_window_view(g, span)[ok]
 
 
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for k in range(0, b.num_rows, CHUNK):
+            yield b.slice(k, CHUNK)
+
+
 def _seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The anchors of the batch; ``twice`` if it has one in two places."""
-    for b in batches:
+    for b in _chunks(batches):
         found = []
         for _, _, data, at in W.slices(b.column(1)):
             place, low, view = _anchors(W.words(data, at))
@@ -161,7 +168,7 @@ def repeated_windows(docs: DataFrame, id: str = "doc_id", text: str = "text", bi
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((DEPTH, BINS), np.int64)
-        for b in batches:
+        for b in _chunks(batches):
             r, _ = _split(_suffixes(b, seen.value, bits))
             for k in range(DEPTH):
                 total[k] += np.bincount((_prefix(r, k + 1) % np.uint64(BINS)).astype(np.int64), minlength=BINS)
@@ -178,7 +185,7 @@ def repeated_windows(docs: DataFrame, id: str = "doc_id", text: str = "text", bi
     heavy = spark.sparkContext.broadcast(sizes > most)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in _chunks(batches):
             r, again = _split(_suffixes(b, seen.value, bits))
             if len(again):
                 yield _pack((W.mix(again["doc"].view(np.uint64)) % np.uint64(many)).astype(np.int64), again, 1)
