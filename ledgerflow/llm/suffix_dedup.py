@@ -270,17 +270,20 @@ def substring_dedup(docs: DataFrame, id: str = "doc_id", text: str = "text", bit
     schema = docs.schema
     whole = docs.select(key.alias("id"), F.col(text).alias("text"), F.xxhash64(key).alias("k"), *([] if digest else [F.struct(*docs.columns).alias("row")]))
 
-    @F.pandas_udf("boolean")
-    def touched(k):
-        import pandas as pd
-        return pd.Series(in_bitmap(hit.value, bits - 2, k.to_numpy().view(np.uint64)))
+    def touched(b: pa.RecordBatch, yes: bool) -> pa.RecordBatch:
+        """The batch's rows that may have repeats, or the others; without the hash."""
+        inside = in_bitmap(hit.value, bits - 2, b.column(2).to_numpy().view(np.uint64))
+        b = b.filter(pa.array(inside == yes))
+        return pa.RecordBatch.from_arrays([c for k, c in enumerate(b.columns) if k != 2], names=[x for k, x in enumerate(b.schema.names) if k != 2])
 
     def plain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield from _digest(b)
+        for b in _chunks(batches):
+            b = touched(b, False)
+            yield from _digest(b) if digest else [b.select(["row"])]
 
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in _chunks(batches):
+            b = touched(b, True)
             h = [W.words(data, at).whole()[0].view(np.int64) for _, _, data, at in W.slices(b.column(1))]
             if h:
                 yield pa.RecordBatch.from_arrays([*b.columns, pa.array(np.concatenate(h))], names=[*b.schema.names, "h"])
@@ -320,7 +323,7 @@ def substring_dedup(docs: DataFrame, id: str = "doc_id", text: str = "text", bit
 
     more = "" if digest else f", row {schema.simpleString()}"
     extra = [] if digest else ["row"]
-    affected = whole.where(touched("k")).select("id", "text", *extra).mapInArrow(hashes, f"id long, text string{more}, h long")
+    affected = whole.mapInArrow(hashes, f"id long, text string{more}, h long")
     empty_row = [] if digest else [F.lit(None).cast(schema).alias("row")]
     both = (affected.select("id", "h", "text", F.lit(None).cast("binary").alias("starts"), *extra, F.lit(1).alias("o"))
             .unionByName(found.select("id", "h", F.lit(None).cast("string").alias("text"), "starts", *empty_row, F.lit(0).alias("o"))))
@@ -328,10 +331,10 @@ def substring_dedup(docs: DataFrame, id: str = "doc_id", text: str = "text", bit
               .mapInArrow(edit, f"id long, n_words long, n_removed long, out string{more}"))
     real = F.when(F.col("id") != NULL_ID, F.col("id")).alias(id)
     if digest:
-        same = (whole.where(~touched("k")).select("id", "text").mapInArrow(plain, "id long, h long, n_words long, sha string")
+        same = (whole.mapInArrow(plain, "id long, h long, n_words long, sha string")
                 .select("id", "n_words", F.lit(0).cast("long").alias("n_removed"), F.col("sha").alias("out")))
         return edited.unionByName(same).select(real, "n_words", "n_removed", F.col("out").alias("kept_sha256"))
-    same = whole.where(~touched("k")).select("row")
+    same = whole.mapInArrow(plain, more.removeprefix(", "))
     changed = edited.select(F.col("row").withField(_quoted(text), F.col("out")).alias("row"))
     return changed.unionByName(same).select("row.*")
 

@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 
 _U = np.uint64
 _CHAR, _WORD = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93  # odd bases of two polynomial hashes
-SLICE = 1 << 20
+SLICE = 1 << 19
 
 #: Separators of words: space and the control characters 9 to 13.
 SPACES = np.zeros(256, bool)
@@ -90,7 +90,7 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def slices(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(from, to, bytes, offsets) of runs of rows of about a megabyte, or of one longer text."""
+    """(from, to, bytes, offsets) of runs of rows of about half a megabyte, or of one longer text."""
     data, at = utf8(column)
     a, n = 0, len(column)
     while a < n:
