@@ -131,7 +131,7 @@ def minmax_dedup(docs: DataFrame, id: str = "doc_id", text: str = "text", bits:
     rows = docs.select(F.coalesce(F.col(id).cast("long"), F.lit(NULL_ID)).alias("id"), F.col(text).alias("text"))
     signed = cut(rows.mapInArrow(_sign, "id long, n long, h1 long, h2 long, keys array<long>"), "minmax")
     # documents with equal sets form a class; its smallest id stands for it
-    reps = signed.where("n > 0").groupBy("h1", "h2").agg(F.min("id").alias("rep"))
+    reps = cut(signed.where("n > 0").groupBy("h1", "h2").agg(F.min("id").alias("rep")), "reps")  # so that the join may split a large class
     member = cut(signed.join(reps, ["h1", "h2"], "left")
                  .select("id", "n", F.coalesce("rep", "id").alias("rep"), F.when(F.col("id") == F.col("rep"), F.col("keys")).alias("keys")), "class")
     keyed = member.where("keys is not null").select("id", F.explode("keys").alias("key"))
