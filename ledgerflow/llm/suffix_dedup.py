@@ -30,7 +30,8 @@ SYMBOL, DEPTH, ANCHOR = 4, 5, 8
 WINDOW = SYMBOL * DEPTH
 BINS = 1 << 14
 CHUNK = 2500  # texts whose suffixes a task holds at a time
-RECORD = np.dtype([("s", "<u4", DEPTH), ("at", "<u4"), ("doc", "<i8"), ("text", "<i8")])
+RECORD = np.dtype([("s", "<u4", DEPTH), ("at", "<u4"), ("text", "<u4"), ("doc", "<i8")])
+PLACE = np.dtype([("at", "<u4"), ("text", "<u4"), ("doc", "<i8")])
 
 
 def _anchors(w: W.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -90,11 +91,16 @@ def _suffixes(b: pa.RecordBatch, seen: np.ndarray, bits: int) -> np.ndarray:
         for k in range(DEPTH):
             r["s"][:, k] = (g[back[place + k * SYMBOL]] >> np.uint64(32)).astype(np.uint32)
         doc = np.searchsorted(w.bounds, place, "right") - 1
-        r["at"], r["doc"], r["text"] = place - w.bounds[doc], ids[a:z][doc], w.whole()[0].view(np.int64)[doc]
+        r["at"], r["doc"], r["text"] = place - w.bounds[doc], ids[a:z][doc], _text_hash(w)[doc]
         out.append(r)
     return _sorted(np.concatenate(out) if out else np.zeros(0, RECORD))
 
 
+def _text_hash(w: W.Words) -> np.ndarray:
+    """Tells rows of one id apart."""
+    return w.whole()[0] >> np.uint64(32)
+
+
 def _sorted(r: np.ndarray) -> np.ndarray:
     return r[np.lexsort([r["at"], r["doc"], *(r["s"][:, k] for k in reversed(range(DEPTH)))])]
 
@@ -131,23 +137,34 @@ def _pack(groups_of: np.ndarray, r: np.ndarray, kind: int) -> pa.RecordBatch:
                                        pa.array([r[a:z].tobytes() for a, z in zip(at[:-1], at[1:], strict=True)], pa.binary())], names=["g", "kind", "r"])
 
 
-def _places(r: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """A row for each text of r: its id, the hash of its words, and where its repeated windows start."""
-    if len(r):
-        r = r[np.lexsort([r["at"], r["text"], r["doc"]])]
-        at = np.concatenate([[0], np.flatnonzero((r["doc"][1:] != r["doc"][:-1]) | (r["text"][1:] != r["text"][:-1])) + 1, [len(r)]])
-        yield pa.RecordBatch.from_arrays([pa.array(r["doc"][at[:-1]]), pa.array(r["text"][at[:-1]]),
-                                          pa.array([r["at"][a:z].tobytes() for a, z in zip(at[:-1], at[1:], strict=True)], pa.binary())], names=["id", "h", "starts"])
+def _place(r: np.ndarray, many: int, kind: int = 1) -> pa.RecordBatch:
+    """Places of repeats, packed by group of documents."""
+    out = np.zeros(len(r), PLACE)
+    for k in PLACE.names:
+        out[k] = r[k]
+    return _pack((W.mix(out["doc"].view(np.int64).astype(np.uint64)) % np.uint64(many)).astype(np.int64), out, kind)
+
+
+def _trees(many: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (g, kind), t in groups(batches, ["g", "kind"]):
+            if kind:  # places already
+                yield pa.RecordBatch.from_arrays([pa.array([int(g)]), pa.array([b"".join(t["r"].to_pylist())], pa.binary())], names=["g", "r"])
+            else:
+                r = _sorted(np.frombuffer(b"".join(t["r"].to_pylist()), RECORD))
+                yield _place(r[repeats(r)], many).select(["g", "r"])
+    return run
 
 
-def _trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for (_, kind), t in groups(batches, ["g", "kind"]):
-        r = np.frombuffer(b"".join(t["r"].to_pylist()), RECORD)
-        if kind:
-            yield from _places(r)
-        else:
-            r = _sorted(r)
-            yield from _places(r[repeats(r)])
+def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each text: its id, the hash of its words, and where its repeated windows start."""
+    for _, t in groups(batches, ["g"]):
+        r = np.frombuffer(b"".join(t["r"].to_pylist()), PLACE)
+        if len(r):
+            r = r[np.lexsort([r["at"], r["text"], r["doc"]])]
+            at = np.concatenate([[0], np.flatnonzero((r["doc"][1:] != r["doc"][:-1]) | (r["text"][1:] != r["text"][:-1])) + 1, [len(r)]])
+            yield pa.RecordBatch.from_arrays([pa.array(r["doc"][at[:-1]]), pa.array(r["text"][at[:-1]].astype(np.int64)),
+                                              pa.array([r["at"][a:z].tobytes() for a, z in zip(at[:-1], at[1:], strict=True)], pa.binary())], names=["id", "h", "starts"])
 
 
 def _split(batch_rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -160,7 +177,7 @@ def _split(batch_rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def repeated_windows(docs: DataFrame, id: str = "doc_id", text: str = "text", bits: int = 26, group: int = 250_000) -> DataFrame:
     """``id, h, starts``: the places (little-endian 32-bit words) of windows of 20
     words that also start earlier, for each text that has some; a text by its id
-    and the hash of its words. A text may come in several rows."""
+    and the hash of its words."""
     spark = docs.sparkSession
     rows = docs.select(F.coalesce(F.col(id).cast("long"), F.lit(NULL_ID)).alias("id"), F.col(text).alias("text"))
     seeds = rows.mapInArrow(_seeds, "h long, twice boolean").groupBy("h").agg(F.count("*").alias("n"), F.max("twice").alias("t"))
@@ -188,7 +205,7 @@ def repeated_windows(docs: DataFrame, id: str = "doc_id", text: str = "text", bi
         for b in _chunks(batches):
             r, again = _split(_suffixes(b, seen.value, bits))
             if len(again):
-                yield _pack((W.mix(again["doc"].view(np.uint64)) % np.uint64(many)).astype(np.int64), again, 1)
+                yield _place(again, many)
             if len(r):
                 to, open_ = np.zeros(len(r), np.uint64), np.ones(len(r), bool)
                 for k in range(DEPTH):
@@ -198,7 +215,8 @@ def repeated_windows(docs: DataFrame, id: str = "doc_id", text: str = "text", bi
                 yield _pack((W.mix(to) % np.uint64(many)).astype(np.int64), r, 0)
 
     dealt = rows.mapInArrow(deal, "g long, kind int, r binary").repartition(many, "g").sortWithinPartitions("g", "kind")
-    return cut(dealt.mapInArrow(_trees, "id long, h long, starts binary"), "repeats")
+    places = dealt.mapInArrow(_trees(many), "g long, r binary").repartition(many, "g").sortWithinPartitions("g")
+    return cut(places.mapInArrow(_gather, "id long, h long, starts binary"), "repeats")
 
 
 def _covered(starts: list[bytes], n: int) -> np.ndarray:
@@ -244,7 +262,7 @@ def _digest(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     for a, z, data, at in W.slices(b.column(1)):
         w = W.words(data, at)
         n.append(np.diff(w.bounds))
-        h.append(w.whole()[0].view(np.int64))
+        h.append(_text_hash(w).astype(np.int64))
         sha.extend(hashlib.sha256(_joined(w, i)).hexdigest() for i in range(z - a))
     if len(ids):
         yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(np.concatenate(h)), pa.array(np.concatenate(n), pa.int64()), pa.array(sha)], names=["id", "h", "n_words", "sha"])
@@ -284,7 +302,7 @@ def substring_dedup(docs: DataFrame, id: str = "doc_id", text: str = "text", bit
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in _chunks(batches):
             b = touched(b, True)
-            h = [W.words(data, at).whole()[0].view(np.int64) for _, _, data, at in W.slices(b.column(1))]
+            h = [_text_hash(W.words(data, at)).astype(np.int64) for _, _, data, at in W.slices(b.column(1))]
             if h:
                 yield pa.RecordBatch.from_arrays([*b.columns, pa.array(np.concatenate(h))], names=[*b.schema.names, "h"])
 
