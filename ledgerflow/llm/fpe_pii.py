@@ -14,6 +14,7 @@ from collections.abc import Iterator
 from hashlib import blake2b
 from math import isqrt, prod
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -239,8 +240,6 @@ def pii_pseudonyms(docs: DataFrame, key: bytes = KEY, id: str = "doc_id", text:
 
 def pseudonym_column(key: bytes = KEY):
     """A function of a text column to its pseudonymised text."""
-    import pandas as pd
-
     move = Feistel(key)
 
     @F.pandas_udf("string")
