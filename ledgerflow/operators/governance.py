@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -50,9 +52,9 @@ def name_hints(columns: Sequence[str]) -> list[tuple[str, str]]:
     """Dictionary rules on column names (metadata only, no data read)."""
     out = []
     for c in columns:
-        lc = c.lower()
+        tokens = "_" + "_".join(re.findall("[a-z0-9]+", c.lower())) + "_"
         for pii_type, keys in NAME_HINTS.items():
-            if any(k in lc for k in keys):
+            if any(f"_{k}_" in tokens for k in keys):  # whole words of the name only
                 out.append((c, pii_type))
                 break
     return out
@@ -76,18 +78,20 @@ def dataset_tier(findings: DataFrame) -> DataFrame:
 # --- G4 masking -------------------------------------------------------------
 
 def mask_last4(c: Column | str, keep: int = 4, fill: str = "X") -> Column:
-    """Phone / national id: keep the last ``keep`` digits only."""
+    """Phone / national id: keep the last ``keep`` digits; a value of no more digits is filled whole."""
     c = F.col(c) if isinstance(c, str) else c
     digits = F.regexp_replace(c.cast("string"), r"[^0-9]", "")
-    return F.concat(F.repeat(F.lit(fill), F.greatest(F.length(digits) - keep, F.lit(0))), F.right(digits, F.lit(keep)))
+    shown = F.when(F.length(digits) > keep, F.right(digits, F.lit(keep))).otherwise(F.repeat(F.lit(fill), F.length(digits)))
+    return F.concat(F.repeat(F.lit(fill), F.greatest(F.length(digits) - keep, F.lit(0))), shown)
 
 
 def mask_email(c: Column | str, salt: str = "") -> Column:
-    """Domain-preserving: local part -> 10 hex chars of sha256(salt || local)."""
+    """Domain-preserving: local part -> 10 hex chars of sha256(salt || local); a value without @ is hashed whole."""
     c = F.col(c) if isinstance(c, str) else c
     local = F.substring_index(c, "@", 1)
     domain = F.substring_index(c, "@", -1)
-    return F.concat(F.substring(F.sha2(F.concat(F.lit(salt), local), 256), 1, 10), F.lit("@"), domain)
+    hashed = F.substring(F.sha2(F.concat(F.lit(salt), local), 256), 1, 10)
+    return F.when(F.contains(c, F.lit("@")), F.concat(hashed, F.lit("@"), domain)).otherwise(hashed)
 
 
 def token(c: Column | str, salt: str, prefix: str = "TKN") -> Column:
@@ -106,10 +110,10 @@ def pan_token(c: Column | str, salt: str) -> Column:
     return F.concat(F.substring(letters, 1, 5), F.substring(digits, 6, 4), F.substring(letters, 10, 1))
 
 
-def pseudonym(key: Column | str, prefix: str = "Person") -> Column:
-    """Consistent fake name per key."""
+def pseudonym(key: Column | str, prefix: str = "Person", salt: str = "") -> Column:
+    """Consistent fake name per key and salt."""
     key = F.col(key) if isinstance(key, str) else key
-    return F.concat(F.lit(prefix + "-"), F.substring(F.sha2(key.cast("string"), 256), 1, 10))
+    return F.concat(F.lit(prefix + "-"), F.substring(F.sha2(F.concat(F.lit(salt), key.cast("string")), 256), 1, 10))
 
 
 MASKERS = {
@@ -119,7 +123,7 @@ MASKERS = {
     "pan_number": lambda c, salt: pan_token(c, salt),
     "account_number": lambda c, salt: token(c, salt, "ACCT"),
     "credit_card": lambda c, salt: token(c, salt, "CARD"),
-    "full_name": lambda c, salt: pseudonym(c),
+    "full_name": lambda c, salt: pseudonym(c, salt=salt),
     "ip_address": lambda c, salt: F.regexp_replace(F.col(c), r"\.[0-9]{1,3}$", ".0"),
 }
 

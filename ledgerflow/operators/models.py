@@ -69,20 +69,19 @@ def completeness_roster(entities: DataFrame, expected: DataFrame, found: DataFra
     return per.withColumn("tier", tier).orderBy(ordinal("tier", ROSTER_ORDER), F.desc("found"), key)
 
 
-def lineage_closure(edges: DataFrame, max_rounds: int = 32) -> DataFrame:
-    """Transitive closure of declared column lineage (target <- source) by
-    iterated join; each round's result is checkpointed (lineage cut, survives
-    executor loss) and the loop stops when no new pair appears."""
+def lineage_closure(edges: DataFrame) -> DataFrame:
+    """Transitive closure of declared column lineage (target <- source).
+
+    Semi-naive: each round joins only the pairs that the last one found with the
+    edges, and keeps those not known yet; it ends when there are none, so a chain of
+    any depth (or a cycle) is closed. Rounds are checkpointed.
+    """
     ensure_checkpoint_dir(edges.sparkSession)
-    e = edges.select(F.col("target").alias("t"), F.col("source").alias("s")).distinct()
-    closure = e.checkpoint(eager=True)
-    n = closure.count()
-    for _ in range(max_rounds):
-        step = closure.alias("c").join(e.alias("e"), F.col("c.s") == F.col("e.t")).select(
-            F.col("c.t").alias("t"), F.col("e.s").alias("s"))
-        closure = closure.unionByName(step).distinct().checkpoint(eager=True)
-        m = closure.count()
-        if m == n:
-            break
-        n = m
+    e = edges.select(F.col("target").alias("t"), F.col("source").alias("s")).distinct().checkpoint(eager=True)
+    closure = new = e
+    while not new.isEmpty():
+        step = new.alias("c").join(e.alias("e"), F.col("c.s") == F.col("e.t")).select(
+            F.col("c.t").alias("t"), F.col("e.s").alias("s")).distinct()
+        new = step.join(closure, ["t", "s"], "left_anti").checkpoint(eager=True)
+        closure = closure.unionByName(new).checkpoint(eager=True)
     return closure.select(F.col("t").alias("target"), F.col("s").alias("source"))

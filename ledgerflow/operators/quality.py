@@ -95,11 +95,12 @@ def _row_fail(df: DataFrame, chk: Check) -> Column | None:
             bad = bad | (v > F.lit(float(chk.params["hi"])))
         return bad
     if chk.kind == "in_set":                         # Q5: null fails (stringified)
+        if not chk.params["values"]:                 # nothing to check against
+            return F.lit(False)
         return ~F.coalesce(c.cast("string").isin(*chk.params["values"]), F.lit(False))
     if chk.kind == "regex":                          # Q6: start-anchored match
         rx = chk.params["regex"]
-        rx = rx if rx.startswith("^") else "^(?:" + rx + ")"
-        return ~F.coalesce(c.cast("string").rlike(rx), F.lit(False))
+        return ~F.coalesce(c.cast("string").rlike("^(?:" + rx + ")"), F.lit(False))
     if chk.kind == "unique":
         return F.col(_dup_col(chk.column))
     return None

@@ -17,11 +17,11 @@ def _bucket(ts: str, step: str) -> Column:
 
 def gap_report(source: DataFrame, target: DataFrame, key: str, by: str, value: str) -> DataFrame:
     """R2: per ``by``: expected rows (source), loaded rows, missing rows and value."""
-    missing = exclude_loaded(source, target, key).withColumn("_missing", F.lit(True))
-    j = source.join(missing.select(key, "_missing"), key, "left")
+    there = target.select(key).where(F.col(key).isNotNull()).distinct().withColumn("_there", F.lit(True))
+    j = source.join(there, key, "left").withColumn("_missing", F.col("_there").isNull())
     return j.groupBy(by).agg(
         F.count(F.lit(1)).alias("expected_rows"),
-        F.count_if(F.col("_missing").isNull()).alias("loaded_rows"),
+        F.count_if(~F.col("_missing")).alias("loaded_rows"),
         F.count_if(F.col("_missing")).alias("missing_rows"),
         F.round(F.coalesce(F.sum(F.when(F.col("_missing"), F.col(value))), F.lit(0.0)), 2).alias("missing_value"))
 
@@ -194,7 +194,7 @@ def recover(spark, source: DataFrame, target_path: str, quarantine_path: str, ke
     q_status = write_quarantine(bad, quarantine_path, "recovery_validation", source_name, run_ts)
     stats = merge_insert_only(spark, target_path, clean, key)
     stats["quarantine"] = q_status
-    stats["target_rows"] = spark.read.parquet(target_path).count()
+    stats["target_rows"] = spark.read.parquet(target_path).count() if path_exists(spark, target_path) else 0
     return stats
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 # Widening casts that never lose information.
 WIDENING = {
-    ("int", "bigint"), ("int", "double"), ("bigint", "double"), ("float", "double"),
+    ("int", "bigint"), ("int", "double"), ("float", "double"),
     ("int", "string"), ("bigint", "string"), ("double", "string"), ("float", "string"),
     ("date", "timestamp"), ("date", "string"), ("boolean", "string"),
 }

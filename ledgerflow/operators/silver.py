@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .dims import bounded_broadcast
 
 SILVER_COLUMNS = (
     "transaction_id", "amount", "status", "merchant_id", "customer_id",
@@ -56,10 +55,10 @@ def enrich(fact: DataFrame, dim: DataFrame, key: str, attrs: Sequence[str],
     """Left join to a dimension, flag rows whose key has no dimension row.
 
     The flag tests the *dimension-side* match marker, never the fact key.
-    The dim is broadcast only when a bounded count proves it small.
+    Whether the dimension is broadcast is left to the planner, which knows its bytes.
     """
     d = dim.select(key, *attrs).withColumn("_dim_hit", F.lit(True))
-    joined = fact.join(bounded_broadcast(d), key, "left")
+    joined = fact.join(d, key, "left")
     flag = F.when(F.col("_dim_hit").isNull(), F.lit(unmatched)).otherwise(F.lit(matched))
     return joined.withColumn(flag_col, flag).drop("_dim_hit")
 

@@ -108,9 +108,8 @@ SELECT 'P-' || m.category AS partner_id, s.transaction_id,
        CAST(s.amount AS DOUBLE) AS amount, s.transaction_date
 FROM silver s JOIN merchants m ON s.merchant_id = m.merchant_id"""))
 def q_g9(spark, sf):
-    from ..operators.dims import bounded_broadcast
     partners = ledger.merchants(spark, sf).select("merchant_id", F.concat(F.lit("P-"), "category").alias("partner_id"))
-    s = silver_df(spark, sf).join(bounded_broadcast(partners), "merchant_id", "inner")
+    s = silver_df(spark, sf).join(partners, "merchant_id", "inner")
     return s.select("partner_id", "transaction_id",
                     F.sha2(F.concat(F.lit(SALT), F.col("customer_id").cast("string")), 256).alias("customer_hash"),
                     F.col("amount").cast("double").alias("amount"), "transaction_date")

@@ -51,13 +51,6 @@ def q_s15_cap(spark, sf):
     return top.orderBy(F.desc("ts"), F.desc("event_id")).limit(n).withColumn("truncated", truncated)
 
 
-@register("s16_describe_tables", ids=("S16",))
-def q_s16(spark, sf):
-    rows = [(t, f.name, f.dataType.simpleString(), i)
-            for t in TABLES for i, f in enumerate(read_table(spark, sf, t).schema.fields)]
-    return spark.createDataFrame(rows, "table_name string, column_name string, data_type string, ordinal int")
-
-
 @register("p1_stg_events", ids=("P1",), sql=with_ctes("ev", """
 SELECT event_id, user_id AS customer_id, lower(event_type) AS event_name, ts AS event_at,
        CAST(value AS DOUBLE) AS event_value, json_extract_string(props, '$.k') AS prop_k,

@@ -13,11 +13,6 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# Conf keys owned by this library (all optional).
-BROADCAST_MAX_ROWS_KEY = "ledgerflow.broadcast.maxRows"
-DEFAULT_BROADCAST_MAX_ROWS = 1_000_000
-
-
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "ledgerflow") -> SparkSession:
     """Local/test session with the settings the library assumes.
@@ -66,7 +61,3 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     elif not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(current)
     return current
-
-
-def broadcast_max_rows(spark: SparkSession) -> int:
-    return int(spark.conf.get(BROADCAST_MAX_ROWS_KEY, str(DEFAULT_BROADCAST_MAX_ROWS)))

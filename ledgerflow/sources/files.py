@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import json
 import uuid
 from collections.abc import Sequence
@@ -59,11 +61,16 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return found is not None and len(found) > 0
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def read_batches(spark: SparkSession, path: str, schema: T.StructType,
                  corrupt_col: str = "_corrupt_record") -> tuple[DataFrame, DataFrame]:
     """Many JSON files, each one object or an array of objects; unreadable
     records land in ``corrupt_col``.  Returns (rows, per-file counts)."""
-    full = schema.add(T.StructField(corrupt_col, T.StringType(), True)) if corrupt_col not in schema.names else schema
+    full = T.StructType([*schema.fields, T.StructField(corrupt_col, T.StringType(), True)]) if corrupt_col not in schema.names else schema
     df = (spark.read.schema(full).option("multiLine", True).option("mode", "PERMISSIVE")
           .option("columnNameOfCorruptRecord", corrupt_col).json(path)
           .withColumn("_source_file", F.col("_metadata.file_path")))
@@ -83,13 +90,13 @@ def write_json_hourly(df: DataFrame, path: str, ts_col: str) -> None:
 
 def write_quarantine(df: DataFrame, path: str, reason: str, source: str, run_ts: str,
                      run_id: str | None = None) -> str:
-    """Add reason / source / time and write CSV under dt=<date>/run=<id>;
-    empty input -> SKIPPED.  Runs accumulate (each keeps its own partition,
-    as each run adds its own file); replaying a run rewrites only that run's
-    partition, so a retry never duplicates quarantined rows."""
+    """Add reason / source / time and write CSV under dt=<date>/run=<source>-<id>;
+    empty input -> SKIPPED.  Runs accumulate, each source of a run in its own partition;
+    replaying a source of a run rewrites only that partition, so a retry never
+    duplicates quarantined rows and two sources of one time keep both."""
     if df.isEmpty():
         return "SKIPPED"
-    run = run_id or run_ts.replace(" ", "T").replace(":", "")
+    run = f"{re.sub('[^A-Za-z0-9.]', '_', source)}-{run_id or run_ts.replace(' ', 'T').replace(':', '')}"
     out = (df.withColumn("_quarantine_reason", F.coalesce(F.col("_quarantine_reason"), F.lit(reason))
                          if "_quarantine_reason" in df.columns else F.lit(reason))
            .withColumn("_quarantine_source", F.lit(source))
@@ -162,8 +169,7 @@ def write_run_metadata(spark: SparkSession, path: str, record: dict) -> None:
 def write_partner_feed(df: DataFrame, partners: DataFrame, path: str, key: str = "merchant_id") -> None:
     """One output folder per partner (partner map joined by key; the map is
     small and size-checked before the broadcast)."""
-    from ..operators.dims import bounded_broadcast
-    out = df.join(bounded_broadcast(partners.select(key, "partner_id")), key, "inner")
+    out = df.join(partners.select(key, "partner_id"), key, "inner")
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy("partner_id").parquet(path))
 

@@ -94,8 +94,7 @@ def bronze_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     left join finds (NULL for unregistered merchants)."""
     t = transactions(spark, sf_dir).drop("src_seq")
     m = merchants(spark, sf_dir).select("merchant_id", "merchant_name", "city")
-    from ..operators.dims import bounded_broadcast
-    j = t.join(bounded_broadcast(m), "merchant_id", "left")
+    j = t.join(m, "merchant_id", "left")
     cols = ["transaction_id", "amount", "status", "merchant_id", "customer_id", "transaction_date",
             "payment_method", "merchant_name", "city"]
     return j.select(*[F.col(c).cast("string").alias(c) for c in cols])

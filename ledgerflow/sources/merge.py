@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from .files import path_exists
+from .files import delete_path, path_exists
 
 
 def merge_insert_only(spark: SparkSession, target_path: str, src: DataFrame, key: str,
@@ -20,13 +20,16 @@ def merge_insert_only(spark: SparkSession, target_path: str, src: DataFrame, key
     skipped (left anti join), the rest appended.  The de-duplicated batch and
     the new rows are checkpointed to the session checkpoint folder, so the
     counts are exact and a lost executor never re-derives a different batch.
-    Replaying the same source loads 0 rows.
+    Replaying the same source loads 0 rows. A row without a key can match
+    nothing and would come in again with every replay, so it is left out
+    and counted in ``null_keys``.
     """
     ensure_checkpoint_dir(spark)
     cols = src.columns
     rest = [c for c in cols if c != key]
     order = list(order_cols or []) + [c for c in rest if c not in (order_cols or [])]
-    d = (src.groupBy(key).agg(F.min(F.struct(*order)).alias("_r"), F.count(F.lit(1)).alias("_copies"))
+    null_keys = src.where(F.col(key).isNull()).count()
+    d = (src.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(F.struct(*order)).alias("_r"), F.count(F.lit(1)).alias("_copies"))
          .select(key, *[F.col(f"_r.{c}").alias(c) for c in order], "_copies").checkpoint(eager=True))
     attempted = int(d.agg(F.coalesce(F.sum("_copies"), F.lit(0))).first()[0])
     new = d.drop("_copies").select(*cols)
@@ -36,33 +39,44 @@ def merge_insert_only(spark: SparkSession, target_path: str, src: DataFrame, key
     loaded = new.count()
     if loaded:
         new.write.mode("append").parquet(target_path)
-    return {"attempted": attempted, "loaded": loaded, "skipped": attempted - loaded}
+    return {"attempted": attempted, "loaded": loaded, "skipped": attempted - loaded, "null_keys": null_keys}
 
 
 def incremental_upsert(spark: SparkSession, target_path: str, src: DataFrame, key: str, watermark: str,
                        partition_col: str) -> dict[str, int]:
     """Incremental model: take source rows with ``watermark`` > max(target
-    watermark), upsert on ``key``.  Only partitions touched by new rows are
-    rewritten (dynamic partition overwrite); their current rows are first
-    checkpointed to the session checkpoint folder so the overwrite never reads
+    watermark), upsert on ``key``.  Of several new rows of a key the latest by
+    the watermark stays (ties: the greatest row); rows without a key are left out.
+    The partitions rewritten (dynamic partition overwrite) are those of the new rows and
+    those that hold older rows of the same keys, so a key that moves leaves
+    nothing behind.  The merged rows are first checkpointed, so the overwrite never reads
     the path it replaces."""
+    ensure_checkpoint_dir(spark)
+    rest = [c for c in src.columns if c not in (key, watermark)]
+    pick = F.max(F.struct(watermark, *rest))
+
+    def one_per_key(df: DataFrame) -> DataFrame:
+        return (df.where(F.col(key).isNotNull()).groupBy(key).agg(pick.alias("_r"))
+                .select(key, "_r.*").select(*src.columns))
+
     if not path_exists(spark, target_path):
-        new = src
-        n = new.count()
+        new = one_per_key(src).checkpoint(eager=True)
         new.write.mode("overwrite").partitionBy(partition_col).parquet(target_path)
-        return {"new_rows": n, "replaced_rows": 0}
-    ensure_checkpoint_dir(spark)
+        return {"new_rows": new.count(), "replaced_rows": 0}
     tgt = spark.read.parquet(target_path)
     hi = tgt.agg(F.max(watermark)).scalar()
-    new = src.where(F.col(watermark) > hi).checkpoint(eager=True)
+    new = one_per_key(src.where(F.col(watermark) > hi)).checkpoint(eager=True)
     n_new = new.count()
     if n_new == 0:
         return {"new_rows": 0, "replaced_rows": 0}
-    touched = new.select(partition_col).distinct()
-    old = tgt.join(touched, partition_col, "left_semi")
-    keep = old.join(new.select(key), key, "left_anti")
-    replaced = old.join(new.select(key), key, "left_semi").count()
-    merged = keep.unionByName(new.select(*tgt.columns)).checkpoint(eager=True)
+    stale = tgt.join(new.select(key), key, "left_semi").select(key, partition_col).checkpoint(eager=True)
+    part = F.col(partition_col).cast("string")
+    touched = new.select(part.alias("_p")).unionByName(stale.select(part.alias("_p"))).distinct().checkpoint(eager=True)
+    keep = tgt.join(touched, part.eqNullSafe(F.col("_p")), "left_semi").join(new.select(key), key, "left_anti")
+    merged = keep.select(*src.columns).unionByName(new).checkpoint(eager=True)
     (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
            .partitionBy(partition_col).parquet(target_path))
-    return {"new_rows": n_new, "replaced_rows": replaced}
+    emptied = touched.join(merged.select(part.alias("_p")), "_p", "left_anti").where("_p is not null")
+    for r in emptied.collect():  # partitions that lost all rows: a dynamic overwrite does not touch them
+        delete_path(spark, f"{target_path}/{partition_col}={r['_p']}")
+    return {"new_rows": n_new, "replaced_rows": stale.count()}

@@ -18,22 +18,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread_if_narrow(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that yields fewer partitions than the cluster has cores.
-
-    A Parquet row group cannot be split, so a one-row-group file is read by a
-    single task and everything fused after the scan (joins, partial
-    aggregates, regexes) would run serially.  Large inputs have at least as
-    many splits as cores and are returned unchanged (no extra shuffle).
-    """
-    spark = df.sparkSession
-    if spark.conf.get("ledgerflow.spreadNarrowScans", "true").lower() != "true":
-        return df
-    cores = spark.sparkContext.defaultParallelism
-    n = df.rdd.getNumPartitions()  # planning only: no job runs
-    return df.repartition(cores) if n < cores else df
-
-
 def read_wide(spark: SparkSession, sf_dir: str, name: str, columns: list[str]) -> DataFrame:
-    """Pruned read of a large table, spread over the cores when it is narrow."""
-    return spread_if_narrow(read_table(spark, sf_dir, name).select(*columns))
+    """Pruned read of a large table; its parallelism is that of its row groups."""
+    return read_table(spark, sf_dir, name).select(*columns)

@@ -36,7 +36,8 @@ def dedup_replays(df: DataFrame, key: str, ts: str) -> DataFrame:
     """Drop replayed duplicates; streaming keeps keys only within the watermark."""
     if df.isStreaming:
         return df.dropDuplicatesWithinWatermark([key])
-    return df.dropDuplicates([key])
+    from ..operators.silver import keep_first
+    return keep_first(df, key, [ts])
 
 
 def sessions(df: DataFrame, ts: str, gap: str, by: Sequence[str], value: str = "value") -> DataFrame:

@@ -4,7 +4,7 @@ session's checkpoint folder (shared storage on a cluster)."""
 
 from __future__ import annotations
 
-import uuid
+import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,8 +25,10 @@ def file_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str =
     return r.load(path)
 
 
-def checkpoint_location(spark: SparkSession, name: str) -> str:
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/{name}-{uuid.uuid4().hex[:8]}"
+def checkpoint_location(spark: SparkSession, name: str, sink: str = "") -> str:
+    """The same for the same stream and sink, so that a restart resumes where it stopped."""
+    tail = f"-{hashlib.sha256(sink.encode()).hexdigest()[:12]}" if sink else ""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/{name}{tail}"
 
 
 def run_available_now(df: DataFrame, sink_path: str, name: str, mode: str = "append",
@@ -35,7 +37,7 @@ def run_available_now(df: DataFrame, sink_path: str, name: str, mode: str = "app
     (incl. ``numRowsDroppedByWatermark`` of stateful operators: X8)."""
     spark = df.sparkSession
     q = (df.writeStream.format(fmt).outputMode(mode).option("path", sink_path)
-         .option("checkpointLocation", checkpoint_location(spark, name))
+         .option("checkpointLocation", checkpoint_location(spark, name, sink_path))
          .trigger(availableNow=True).start())
     q.awaitTermination()
     progress = q.lastProgress or {}
@@ -61,9 +63,10 @@ def loader(target_path: str, quarantine_path: str, key: str, run_ts: str, log: l
     return body
 
 
-def run_foreach_batch(df: DataFrame, body, name: str) -> None:
+def run_foreach_batch(df: DataFrame, body, name: str, sink: str = "") -> None:
+    """Drains what is there; ``name`` and ``sink`` (where the body writes) name the checkpoint of the stream."""
     spark = df.sparkSession
-    q = (df.writeStream.foreachBatch(body).option("checkpointLocation", checkpoint_location(spark, name))
+    q = (df.writeStream.foreachBatch(body).option("checkpointLocation", checkpoint_location(spark, name, sink))
          .trigger(availableNow=True).start())
     q.awaitTermination()
 
