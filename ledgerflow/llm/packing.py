@@ -46,9 +46,7 @@ class Encoder:
     def __init__(self, path: str):
         import json
 
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
+        self.path, self.slow = path, None
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model, self.fast = spec["model"], None
@@ -64,6 +62,15 @@ class Encoder:
             ranks = {bytes(of[c] for c in t): i for t, i in vocab.items()}
             self.fast = tiktoken.Encoding("ranks", pat_str=self.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
+    @property
+    def tokenizer(self):
+        """The plain encoder, loaded when a text first needs it."""
+        if self.slow is None:
+            from tokenizers import Tokenizer
+
+            self.slow = Tokenizer.from_file(self.path)
+        return self.slow
+
     def encode(self, texts: list[str]) -> list[bytes]:
         return [self._one(t) for t in texts]
 

@@ -13,7 +13,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -196,9 +195,9 @@ def scorer(docs: DataFrame, model: Gam):
     """A function of a text column to its score. Null counts as empty; an empty text has a score too."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("double")
-    def score(text: pd.Series) -> pd.Series:
-        return pd.Series(shared.value.score(features(pa.array(text, pa.large_string(), from_pandas=True))))
+    @F.arrow_udf("double")
+    def score(text: pa.Array) -> pa.Array:
+        return pa.array(shared.value.score(features(text)))
 
     return lambda c: score(c if isinstance(c, Column) else F.col(c))
 

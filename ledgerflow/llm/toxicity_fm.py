@@ -12,7 +12,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -146,8 +145,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, id: str
     """
     shared = docs.sparkSession.sparkContext.broadcast(train(docs, labels, id=id, text=text))
 
-    @F.pandas_udf("double")
-    def score(t: pd.Series) -> pd.Series:
-        return pd.Series(shared.value.score(pa.array(t, pa.large_string(), from_pandas=True)))
+    @F.arrow_udf("double")
+    def score(t: pa.Array) -> pa.Array:
+        return pa.array(shared.value.score(t))
 
     return docs.select(F.col(id), held_out(id).alias("held_out"), score(text).alias("score")).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
