@@ -6,7 +6,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import is_blank, parse_double
@@ -575,13 +575,14 @@ def verdict(findings: DataFrame) -> DataFrame:
 def psi(reference: DataFrame, current: DataFrame, col: str, lo: float, hi: float, bins: int = 10,
         floor: float = 1e-6) -> DataFrame:
     """Q26: population stability index over ``bins`` fixed-width bins on [lo, hi]
-    (values outside clamp to the edge bins).  Two grouped counts, joined on bin."""
+    (values outside clamp to the edge bins).  One grouped count per side, joined on
+    bin; the total is the sum of a side's bins."""
     def shares(df: DataFrame, name: str) -> DataFrame:
         raw = F.floor(F.lit(float(bins)) * (F.col(col).cast("double") - F.lit(lo)) / F.lit(hi - lo)) + 1
         b = F.least(F.greatest(raw, F.lit(1)), F.lit(bins)).cast("bigint")
         c = df.where(F.col(col).isNotNull()).groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("_c"))
-        tot = df.where(F.col(col).isNotNull()).agg(F.count(F.lit(1))).scalar()
-        return c.select("bin", (F.col("_c") / tot).alias(name))
+        total = F.sum("_c").over(Window.partitionBy())  # at most ``bins`` rows
+        return c.select("bin", (F.col("_c") / total).alias(name))
     spine = reference.sparkSession.range(1, bins + 1).select(F.col("id").alias("bin"))
     j = spine.join(shares(reference, "p_ref"), "bin", "left").join(shares(current, "p_cur"), "bin", "left")
     p = F.greatest(F.coalesce(F.col("p_ref"), F.lit(0.0)), F.lit(floor))
@@ -590,18 +591,19 @@ def psi(reference: DataFrame, current: DataFrame, col: str, lo: float, hi: float
 
 
 def categorical_drift(reference: DataFrame, current: DataFrame, columns: list[str]) -> DataFrame:
-    """Q26/U4: per categorical column, values new in current and values gone."""
-    parts = []
-    for c in columns:
-        a = reference.select(F.col(c).cast("string").alias("value")).distinct().withColumn("_r", F.lit(True))
-        b = current.select(F.col(c).cast("string").alias("value")).distinct().withColumn("_c", F.lit(True))
-        j = a.join(b, "value", "full_outer")
-        parts.append(j.agg(F.count_if(F.col("_r").isNull()).alias("new_values"),
-                           F.count_if(F.col("_c").isNull()).alias("missing_values"))
-                     .withColumn("column_name", F.lit(c)))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    """Q26/U4: per categorical column, values new in current and values gone.
+
+    Each side is read once: its columns become (column, value) rows, which are
+    reduced to distinct ones with the sides that hold them.  NULL is a value like any other."""
+    def values(df: DataFrame, side: int) -> DataFrame:
+        pairs = [F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in columns]
+        return df.select(F.inline(F.array(*pairs))).withColumn("_side", F.lit(side))
+
+    sides = (values(reference, 1).unionByName(values(current, 2)).groupBy("column_name", "value")
+             .agg(F.bit_or("_side").alias("_sides")))
+    known = reference.sparkSession.createDataFrame([(c,) for c in columns], "column_name string")
+    out = known.join(sides, "column_name", "left").groupBy("column_name").agg(
+        F.count_if(F.col("_sides") == 2).alias("new_values"), F.count_if(F.col("_sides") == 1).alias("missing_values"))
     return out.withColumn("drifted", (F.col("new_values") + F.col("missing_values")) > 0)
 
 

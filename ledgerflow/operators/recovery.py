@@ -143,9 +143,13 @@ def change_correlation(alarms: DataFrame, changes: DataFrame, bucket: str = "buc
 
 
 def error_fingerprints(log: DataFrame, exc_col: str, code_col: str, fix_col: str, ts_col: str) -> DataFrame:
-    """fingerprint = md5(exception line + code line, paths and numbers
-    stripped)[:12]; count and latest fix per fingerprint (max_by, skew-safe)."""
-    norm = lambda c: F.regexp_replace(F.regexp_replace(F.col(c), r"(/[^\s:'\"]+)+", "<path>"), r"[0-9]+", "N")
+    """fingerprint = md5(exception line + code line, paths, line numbers and addresses
+    stripped)[:12]; count and latest fix per fingerprint (max_by, skew-safe).
+
+    Numbers go only where they name a place (line numbers, addresses): the same
+    error of two keys stays two errors."""
+    path = lambda c: F.regexp_replace(F.col(c), r"(/[^\s:'\"]+)+(:[0-9]+)*", "<path>")
+    norm = lambda c: F.regexp_replace(path(c), r"\b(line [0-9]+|0x[0-9a-fA-F]+)", "<at>")
     fp = F.substring(F.md5(F.concat_ws("|", norm(exc_col), norm(code_col))), 1, 12)
     return log.withColumn("fingerprint", fp).groupBy("fingerprint").agg(
         F.count(F.lit(1)).alias("occurrences"), F.max(ts_col).alias("last_seen"),

@@ -22,6 +22,7 @@ class Drift:
     new: dict[str, str]
     removed: dict[str, str]
     changed: dict[str, tuple[str, str]]
+    required: frozenset[str] = frozenset()  # new columns that are not nullable
 
 
 def _types(schema: T.StructType) -> dict[str, str]:
@@ -34,25 +35,64 @@ def detect_drift(expected: T.StructType, actual: T.StructType) -> Drift:
     e, a = _types(expected), _types(actual)
     return Drift(new={k: v for k, v in a.items() if k not in e},
                  removed={k: v for k, v in e.items() if k not in a},
-                 changed={k: (e[k], a[k]) for k in e if k in a and e[k] != a[k]})
+                 changed={k: (e[k], a[k]) for k in e if k in a and e[k] != a[k]},
+                 required=frozenset(f.name for f in actual.fields if f.name not in e and not f.nullable))
 
 
 def classify_drift(d: Drift) -> tuple[str, str]:
     """Severity NONE / LOW / HIGH / BREAKING and action ADD / FLAG / HALT.
 
     removed column or narrowing type change -> BREAKING / HALT; widening
-    change -> HIGH / FLAG; only new columns -> LOW / ADD; nothing -> NONE.
+    change or a new column that is not nullable -> HIGH / FLAG; only new
+    nullable columns -> LOW / ADD; nothing -> NONE.
     """
     narrowing = [k for k, (old, new) in d.changed.items() if (old, new) not in WIDENING]
     if d.removed or narrowing:
         return "BREAKING", "HALT"
-    if d.changed:
+    if d.changed or d.required:
         return "HIGH", "FLAG"
     if d.new:
         return "LOW", "ADD"
     return "NONE", "NONE"
 
 
+NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal")
+
+
+def decide_columns(d: Drift) -> dict[str, tuple[str, str]]:
+    """E2 per column: (action, reason).
+
+    A removed column halts. A new numeric or non-nullable column is flagged, any
+    other new one added. A widened type is added with a note, a narrowed one flagged.
+    """
+    out = {c: ("HALT", "removed") for c in d.removed}
+    for c, kind in d.new.items():
+        if c in d.required:
+            out[c] = ("FLAG_ANOMALY", "new and not nullable")
+        elif kind.split("(")[0] in NUMERIC:
+            out[c] = ("FLAG_ANOMALY", "new and numeric")
+        else:
+            out[c] = ("ADD_TO_SCHEMA", "new")
+    for c, (old, new) in d.changed.items():
+        if (old, new) in WIDENING:
+            out[c] = ("ADD_TO_SCHEMA", f"widened from {old} to {new}")
+        else:
+            out[c] = ("FLAG_ANOMALY", f"narrowed from {old} to {new}")
+    return out
+
+
+def apply_decisions(df: DataFrame, decisions: dict[str, tuple[str, str]]) -> DataFrame:
+    """Drops columns of DROP_SILENTLY; a flagged column stays and gets a boolean
+    ``_anomaly_<column>``, true where it holds a value. HALT raises."""
+    halted = sorted(c for c, (action, _) in decisions.items() if action == "HALT")
+    if halted:
+        raise ValueError(f"schema drift halts the load: {', '.join(halted)}")
+    gone = [c for c, (action, _) in decisions.items() if action == "DROP_SILENTLY"]
+    flagged = [c for c, (action, _) in decisions.items() if action == "FLAG_ANOMALY"]
+    out = df.select("*", *[F.col(f"`{c}`").isNotNull().alias(f"_anomaly_{c}") for c in flagged])
+    return out.drop(*gone)
+
+
 def apply_evolution(df: DataFrame, expected: T.StructType, drift: Drift) -> tuple[DataFrame, list[str]]:
     """Keep new columns (ADD), add removed ones as typed NULL and flag rows,
     cast widened columns back to the expected type when lossless; notes list."""

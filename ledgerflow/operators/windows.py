@@ -29,27 +29,38 @@ def rolling_sum(df: DataFrame, key: str, ts: str, value: str, width_seconds: int
                 out_col: str) -> DataFrame:
     """Per-row sum of ``value`` over (ts - width, ts] within ``key``.
 
-    Skew-safe: rows are cut into time blocks of ``width`` per key; each block
-    is evaluated together with a copy of the previous block (the halo), so a
-    key holding a third of all rows still spreads over many window
-    partitions, and every row appears at most twice.  Exact: the frame never
-    reaches further back than one block.
+    Rows are cut into time blocks of ``width`` per key, so a key holding a third
+    of all rows spreads over many window partitions.  A frame is the block's
+    rows up to ``ts`` and the previous block's rows after ``ts - width``: a
+    running sum from the front, and one from the back over copies of the previous
+    block moved on by ``width``.  Both only grow, so the cost is linear in the
+    rows of a block.  Rows without a time form one frame per key.
     """
-    width_us = width_seconds * 1_000_000
-    base = df.withColumn("_us", F.unix_micros(F.col(ts).cast("timestamp"))) \
-             .withColumn("_blk", F.floor(F.col("_us") / F.lit(width_us)))
-    own = base.withColumn("_own", F.lit(True))
-    halo = base.withColumn("_blk", F.col("_blk") + 1).withColumn("_own", F.lit(False))
-    both = own.unionByName(halo)
-    w = (Window.partitionBy(key, "_blk").orderBy("_us")
-         .rangeBetween(-(width_us - 1), 0))
-    return (both.withColumn(out_col, F.sum(value).over(w))
-            .where(F.col("_own")).drop("_us", "_blk", "_own"))
+    width_us = F.lit(width_seconds * 1_000_000)
+    us = F.unix_micros(F.col(ts).cast("timestamp"))
+    own = df.withColumn("_us", us).withColumn("_own", F.lit(1))
+    halo = own.where(F.col("_us").isNotNull()).withColumn("_us", F.col("_us") + width_us).withColumn("_own", F.lit(0))
+    both = own.unionByName(halo).withColumn("_blk", F.col("_us") - F.pmod("_us", width_us))
+    block = Window.partitionBy(key, "_blk")
+    front = block.orderBy("_us").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    # own rows first among equal times: a row exactly ``width`` old is outside the frame
+    back = block.orderBy(F.desc("_us"), F.desc("_own")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    a = F.sum(F.when(F.col("_own") == 1, F.col(value))).over(front)
+    b = F.sum(F.when(F.col("_own") == 0, F.col(value))).over(back)
+    return (both.withColumn("_a", a).withColumn("_b", b).where(F.col("_own") == 1)
+            .withColumn(out_col, F.coalesce(F.col("_a") + F.col("_b"), "_a", "_b"))
+            .drop("_us", "_blk", "_own", "_a", "_b"))
 
 
 def time_spine(df: DataFrame, ts: str, step: str, start: Column | None = None,
                end: Column | None = None, col_name: str = "bucket") -> DataFrame:
-    """Gap-free bucket spine from min to max bucket (bounded by time, not rows)."""
+    """Gap-free bucket spine from min to max bucket (bounded by time, not rows).
+    With both bounds given, ``df`` is not read."""
+    def steps(bounds: DataFrame) -> DataFrame:
+        return bounds.select(F.explode(F.sequence("lo", "hi", F.expr(f"interval {step}"))).alias(col_name))
+
+    if start is not None and end is not None:
+        return steps(df.sparkSession.range(1).select(start.alias("lo"), end.alias("hi")))
     trunc_unit = {"1 minute": "minute", "1 hour": "hour", "1 day": "day"}.get(step)
     if trunc_unit:
         b = F.date_trunc(trunc_unit, F.col(ts).cast("timestamp"))
@@ -60,14 +71,7 @@ def time_spine(df: DataFrame, ts: str, step: str, start: Column | None = None,
         bounds = bounds.withColumn("lo", start)
     if end is not None:
         bounds = bounds.withColumn("hi", end)
-    return bounds.select(F.explode(F.sequence("lo", "hi", F.expr(f"interval {step}"))).alias(col_name))
-
-
-def bucket_counts(df: DataFrame, ts: str, step: str, col_name: str = "bucket",
-                  aggs: Sequence[Column] | None = None) -> DataFrame:
-    b = F.window(F.col(ts).cast("timestamp"), step).start.alias(col_name)
-    aggs = list(aggs) if aggs else [F.count(F.lit(1)).alias("n")]
-    return df.groupBy(b).agg(*aggs)
+    return steps(bounds)
 
 
 def consecutive_breach(series: DataFrame, order_col: str, breach: Column, periods: int,

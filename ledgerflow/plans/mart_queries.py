@@ -72,10 +72,10 @@ SELECT payment_method, COUNT(*) AS total, CAST(SUM(CASE WHEN status = 'FAILED' T
        ROUND(100.0 * SUM(CASE WHEN status = 'FAILED' THEN 1 ELSE 0 END) / COUNT(*), 2) AS failure_rate_pct
 FROM silver GROUP BY payment_method ORDER BY failure_rate_pct DESC"""))
 def q_a10_fail(spark, sf):
-    g = metrics.metric(silver_df(spark, sf), ["total_transactions", "failure_rate_pct"], by=["payment_method"])
-    f = silver_df(spark, sf).groupBy("payment_method").agg(F.count_if(F.col("status") == "FAILED").alias("failed"))
-    return (g.withColumnRenamed("total_transactions", "total").join(f, "payment_method")
-            .orderBy(F.desc("failure_rate_pct")))
+    failed = F.count_if(F.col("status") == "FAILED")
+    g = silver_df(spark, sf).groupBy("payment_method").agg(F.count(F.lit(1)).alias("total"), failed.alias("failed"))
+    rate = F.round(F.col("failed") * 100.0 / F.col("total"), 2)
+    return g.withColumn("failure_rate_pct", rate).orderBy(F.desc("failure_rate_pct"))
 
 
 @register("a10_merchant_summary", ids=("A10", "J2"), sql=with_ctes("silver", """
@@ -488,8 +488,10 @@ FROM sa JOIN sb ON sa.column_name = sb.column_name"""))
 def q_a23(spark, sf):
     from ..operators.quality import distribution_compare
     t = ledger.transactions(spark, sf)
-    a = t.where(F.year("transaction_date") == 1996)
-    b = t.where(F.year("transaction_date") == 1997)
+    d = F.col("transaction_date")
+    day = lambda s: F.lit(s).cast("date")
+    a = t.where((d >= day("1996-01-01")) & (d < day("1997-01-01")))
+    b = t.where((d >= day("1997-01-01")) & (d < day("1998-01-01")))
     return distribution_compare(a, b, ["status", "payment_method", "amount"], numeric=["amount"])
 
 

@@ -222,6 +222,12 @@ def q_repair(spark, sf):
                                                         "merchant_city", "_repaired_cells")
 
 
+def _of_year(df, year):
+    """As a range of dates, which reaches the scan."""
+    d = F.col("transaction_date")
+    return df.where((d >= F.lit(f"{year}-01-01").cast("date")) & (d < F.lit(f"{year + 1}-01-01").cast("date")))
+
+
 @register("q26_psi_amount", ids=("Q26",), sql=with_ctes("txn", """
 , a AS (SELECT CAST(amount AS DOUBLE) AS v FROM txn WHERE year(transaction_date) = 1996),
 b AS (SELECT CAST(amount AS DOUBLE) AS v FROM txn WHERE year(transaction_date) = 1997),
@@ -233,7 +239,7 @@ SELECT ROUND(SUM((GREATEST(COALESCE(bb.p, 0), 1e-6) - GREATEST(COALESCE(ba.p, 0)
 FROM sp LEFT JOIN ba ON sp.bin = ba.bin LEFT JOIN bb ON sp.bin = bb.bin"""))
 def q_psi(spark, sf):
     t = ledger.transactions(spark, sf)
-    return Q.psi(t.where(F.year("transaction_date") == 1996), t.where(F.year("transaction_date") == 1997),
+    return Q.psi(_of_year(t, 1996), _of_year(t, 1997),
                  "amount", 0.0, 110000.0, 10)
 
 
@@ -250,7 +256,7 @@ SELECT column_name, COUNT(*) FILTER (WHERE rv IS NULL) AS new_values, COUNT(*) F
 FROM s GROUP BY column_name"""))
 def q_catdrift(spark, sf):
     t = ledger.transactions(spark, sf)
-    return Q.categorical_drift(t.where(F.year("transaction_date") == 1996), t.where(F.year("transaction_date") == 1997),
+    return Q.categorical_drift(_of_year(t, 1996), _of_year(t, 1997),
                                ["status", "payment_method", "merchant_id"])
 
 

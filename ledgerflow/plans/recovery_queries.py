@@ -131,10 +131,13 @@ def q_r10(spark, sf):
                COUNT(DISTINCT user_id) AS entities_affected FROM missing),
 s AS (SELECT date_trunc('hour', ts) AS hour, COUNT(*) AS n FROM ev GROUP BY 1),
 t AS (SELECT date_trunc('hour', ts) AS hour, COUNT(*) AS n FROM loaded GROUP BY 1),
-w AS (SELECT s.hour FROM s LEFT JOIN t ON s.hour = t.hour WHERE COALESCE(t.n, 0) = 0)
+w AS (SELECT s.hour FROM s LEFT JOIN t ON s.hour = t.hour WHERE COALESCE(t.n, 0) = 0),
+r AS (SELECT user_id, SUM(value) OVER (PARTITION BY user_id ORDER BY epoch_us(ts)
+                                       RANGE BETWEEN 14399999999 PRECEDING AND CURRENT ROW) AS roll FROM missing)
 SELECT records_missing, value_missing, entities_affected,
        (SELECT MIN(hour) FROM w) AS window_start, (SELECT MAX(hour) + INTERVAL 1 HOUR FROM w) AS window_end,
-       CAST(0 AS BIGINT) AS sla_breaches FROM g"""))
+       (SELECT COUNT(DISTINCT user_id) FROM r WHERE roll > CASE WHEN user_id % 2 = 0 THEN 50000 ELSE 100000 END) AS sla_breaches
+FROM g"""))
 def q_r13(spark, sf):
     s, t = _src_tgt(spark, sf)
     gap = R.gap_report(s, t, "event_id", "user_id", "value")

@@ -1,5 +1,6 @@
 """PII scan / masking / guard (F6, F11) and schema drift / migrations."""
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -77,6 +78,21 @@ def test_drift_three_new_columns():
     assert S.classify_drift(d2) == ("BREAKING", "HALT")
     d3 = S.detect_drift(T.StructType([T.StructField("a", T.IntegerType())]), T.StructType([T.StructField("a", T.LongType())]))
     assert S.classify_drift(d3) == ("HIGH", "FLAG")
+    d4 = S.detect_drift(base, T.StructType(base.fields + [T.StructField("fee", T.DoubleType(), False)]))
+    assert S.classify_drift(d4) == ("HIGH", "FLAG")
+
+
+def test_drift_decision_per_column(spark):
+    old = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.DoubleType()), T.StructField("gone", T.StringType())])
+    new = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.IntegerType()), T.StructField("note", T.StringType()),
+                        T.StructField("fee", T.DecimalType(10, 2)), T.StructField("key", T.StringType(), False)])
+    got = {c: action for c, (action, _) in S.decide_columns(S.detect_drift(old, new)).items()}
+    assert got == {"a": "ADD_TO_SCHEMA", "b": "FLAG_ANOMALY", "note": "ADD_TO_SCHEMA", "fee": "FLAG_ANOMALY", "key": "FLAG_ANOMALY", "gone": "HALT"}
+    df = spark.createDataFrame([(1, 2.0), (2, None)], "id int, fee double")
+    rows = S.apply_decisions(df, {"fee": ("FLAG_ANOMALY", "new and numeric"), "id": ("DROP_SILENTLY", "unused")})
+    assert sorted(map(tuple, rows.collect()), key=str) == [(2.0, True), (None, False)]
+    with pytest.raises(ValueError, match="gone"):
+        S.apply_decisions(df, {"gone": ("HALT", "removed")})
 
 
 def test_migrations_and_silent_break(spark):

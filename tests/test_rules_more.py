@@ -59,6 +59,10 @@ def test_change_correlation_and_fingerprints(spark):
     counts = sorted(r.occurrences for r in fp)
     assert counts == [1, 2] and all(len(r.fingerprint) == 12 for r in fp)
     assert {r.last_fix for r in fp if r.occurrences == 2} == {"rename col"}
+    keys = spark.createDataFrame([(f"KeyError: {k} at line {n}", "d[k]", "f", t(2024, 1, n)) for k, n in ((12, 1), (12, 2), (13, 3))],
+                                 "exception string, code string, fix string, ts timestamp")
+    fp = R.error_fingerprints(keys, "exception", "code", "fix", "ts").collect()
+    assert sorted(r.occurrences for r in fp) == [1, 2]       # the key tells errors apart, the line doesn't
 
 
 def test_file_stream_and_sink_divergence(spark, tmp_dir):

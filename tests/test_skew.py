@@ -3,6 +3,7 @@ brute-force results, and their plans combine map-side where claimed."""
 
 import datetime as dt
 import random
+import time
 
 import pandas as pd
 from pyspark.sql import functions as F
@@ -48,6 +49,25 @@ def test_rolling_sum_hot_key(spark):
         assert abs(got[r.seq] - m.value.sum()) < 1e-9
 
 
+def test_rolling_sum_edges(spark):
+    t = dt.datetime
+    rows = [("a", 1, t(2024, 1, 1, 0, 0), 1.0), ("a", 2, t(2024, 1, 1, 4, 0), 2.0), ("a", 3, t(2024, 1, 1, 3, 59, 59), 4.0),
+            ("a", 4, t(2024, 1, 1, 4, 0), 8.0), ("a", 5, None, 16.0), ("a", 6, None, 32.0), ("a", 7, t(2024, 1, 1, 6, 0), None),
+            ("b", 8, t(2024, 1, 1, 6, 0), None), (None, 9, t(2024, 1, 1, 6, 0), 3.0)]
+    df = spark.createDataFrame(rows, "k string, seq long, ts timestamp, value double")
+    got = {r.seq: r.v for r in windows.rolling_sum(df, "k", "ts", "value", 4 * 3600, "v").collect()}
+    assert got == {1: 1.0, 2: 14.0, 3: 5.0, 4: 14.0, 5: 48.0, 6: 48.0, 7: 14.0, 8: None, 9: 3.0}
+
+
+def test_rolling_sum_one_key_is_linear(spark):
+    """All rows of one key in one block; a quadratic frame takes minutes here."""
+    n = 200_000
+    df = spark.range(n).select(F.lit("k").alias("k"), "id", (F.lit(1704067200) + F.col("id") % 14000).cast("timestamp").alias("ts"), F.lit(1.0).alias("value"))
+    start = time.monotonic()
+    top = windows.rolling_sum(df, "k", "ts", "value", 4 * 3600, "v").agg(F.max("v")).first()[0]
+    assert top == n and time.monotonic() - start < 60
+
+
 def test_sessions_hot_key(spark):
     df = hot_frame(spark)
     got = sorted(map(tuple, ops.sessions_blocked(df, "ts", "30 minutes", ["k"]).collect()))
