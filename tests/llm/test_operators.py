@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerflow.llm import fpe_pii, lz_fingerprint, merkle_fixity, nbest_pieces, packing, pq_dedup, quality_gam, suffix_dedup, toxicity_fm
+from ledgerflow.llm.common import components
 from ledgerflow.llm.minmax_dedup import minmax_dedup
 from ledgerflow.llm.queries import tokenizer
 
@@ -76,6 +77,27 @@ def test_substrings(docs):
     assert suffix_dedup.substring_dedup(docs.limit(0), digest=True).count() == 0
 
 
+def test_components(spark):
+    """Chains, stars, rings and random graphs against a union of sets; loops, double and reversed edges count once."""
+    r = random.Random(5)
+    edges = [(i, i + 1) for i in range(100, 140)] + [(500, i) for i in range(501, 560)] + [(i, 600 + (i - 599) % 20) for i in range(600, 620)]
+    edges += [(r.randrange(1000, 1400), r.randrange(1000, 1400)) for _ in range(260)] + [(7, 7), (3, 2), (2, 3), (3, 2), (-5, 3)]
+    root = {x: x for e in edges for x in e}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for u, v in edges:
+        a, b = sorted((find(u), find(v)))
+        root[b] = a
+    linked = {x for u, v in edges if u != v for x in (u, v)}
+    got = components(spark.createDataFrame(edges, "u long, v long")).collect()
+    assert len(got) == len(linked) and {n: c for n, c in got} == {x: find(x) for x in linked}
+    assert components(spark.createDataFrame([], "u long, v long")).isEmpty()
+
+
 def test_vectors(spark):
     rng = np.random.default_rng(1)
     x = rng.normal(size=(300, 16))
