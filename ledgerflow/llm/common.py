@@ -62,18 +62,18 @@ def components(edges: DataFrame) -> DataFrame:
 
     ``edges`` has long columns ``u, v``. Alternating large-star and small-star
     rounds; each is one aggregate (combined map-side) and one join whose
-    skewed side Spark may split. A round's edges are written to the shared
+    skewed side Spark may split, the aggregate being written first. A round's edges are written to the shared
     folder. Runs until every node but the roots has one edge, to a root: no
     limit on rounds.
     """
     hi, lo = F.greatest("u", "v"), F.least("u", "v")
     e = cut(edges.where("u <> v").select(hi.alias("u"), lo.alias("v")).distinct(), "edges")
     while True:
-        m = e.groupBy("u").agg(F.min("v").alias("m"))
+        m = cut(e.groupBy("u").agg(F.min("v").alias("m")), "least")  # written, so that the join may split a hub
         large = (e.join(m.select(F.col("u").alias("k"), "m"), e.v == F.col("k"), "left")
                  .select("u", F.coalesce("m", "v").alias("v")).distinct())
         large = cut(large, "large-star")
-        m = large.groupBy("u").agg(F.min("v").alias("m"))
+        m = cut(large.groupBy("u").agg(F.min("v").alias("m")), "least")
         both = large.join(m, "u")
         small = both.select(F.explode(F.array(F.struct(F.col("u").alias("u"), F.col("m").alias("v")),
                                               F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("x")).select("x.*")

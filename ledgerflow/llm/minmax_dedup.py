@@ -135,10 +135,10 @@ def minmax_dedup(docs: DataFrame, id: str = "doc_id", text: str = "text", bits:
     member = cut(signed.join(reps, ["h1", "h2"], "left")
                  .select("id", "n", F.coalesce("rep", "id").alias("rep"), F.when(F.col("id") == F.col("rep"), F.col("keys")).alias("keys")), "class")
     keyed = member.where("keys is not null").select("id", F.explode("keys").alias("key"))
-    shared = keyed.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last").select("key", "first")
+    shared = cut(keyed.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last").select("key", "first"), "shared")
     edges = keyed.join(shared, "key").where("id <> first").select(F.col("id").alias("u"), F.col("first").alias("v"))
     clusters = cut(components(edges).select(F.col("node").alias("id"), F.col("component").alias("cluster")), "clusters")
-    sizes = clusters.groupBy("cluster").agg(F.count("*").alias("size"))
+    sizes = cut(clusters.groupBy("cluster").agg(F.count("*").alias("size")), "sizes")
     # the full sets, of the texts in clusters only; the bitmap is no more than a filter
     there = spark.sparkContext.broadcast(bitmap(clusters.select(F.xxhash64("id").alias("h")), "h", bits))
 
