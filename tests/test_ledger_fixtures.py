@@ -14,26 +14,24 @@ TXN_SCHEMA = ("transaction_id string, amount decimal(18,2), status string, merch
 
 def txn_rows():
     rows = [
-        ("TXN001", "450.00", "COMPLETED", "M001", "C001", D(2024, 1, 15), "UPI", 1),
-        ("TXN002", "1200.50", "COMPLETED", "M002", "C002", D(2024, 1, 15), "CREDIT_CARD", 2),
-        ("TXN003", "89.00", "FAILED", "M003", "C003", D(2024, 1, 16), "DEBIT_CARD", 3),
-        ("TXN004", "3200.00", "COMPLETED", "M004", "C001", D(2024, 1, 16), "CREDIT_CARD", 4),
-        ("TXN005", "250.00", "PENDING", "M001", "C004", D(2024, 1, 17), "UPI", 5),
-        ("TXN006", "175.50", "COMPLETED", "M005", "C002", D(2024, 1, 17), "UPI", 6),
-        (None, "10.00", "COMPLETED", "M001", "C009", D(2024, 1, 18), "UPI", 7),          # null id
-        ("TXN008", "-50.00", "COMPLETED", "M002", "C003", D(2024, 1, 18), "UPI", 8),     # negative
-        ("TXN006", "175.50", "COMPLETED", "M005", "C002", D(2024, 1, 16), "UPI", 9),     # older duplicate
-        ("TXN010", "75.00", "COMPLETED", "MXXX", "C005", D(2024, 1, 18), "UPI", 10),     # unmatched merchant
-        ("TXN011", "0.00", "COMPLETED", "M003", "C006", D(2024, 1, 19), "UPI", 11),      # zero completed
+        ("P-10", "19.99", "COMPLETED", "S-1", "K-7", D(2023, 3, 2), "UPI", 1),
+        ("P-11", "640.00", "COMPLETED", "S-1", "K-7", D(2023, 3, 2), "CREDIT_CARD", 2),
+        ("P-12", "5.25", "FAILED", "S-2", "K-8", D(2023, 3, 2), "UPI", 3),
+        ("P-13", "5.25", "COMPLETED", "S-2", "K-8", D(2023, 3, 3), "UPI", 4),
+        ("P-13", "5.25", "COMPLETED", "S-2", "K-8", D(2023, 3, 1), "UPI", 5),           # older duplicate
+        ("P-14", "77.40", "PENDING", "S-2", "K-9", D(2023, 3, 3), "UPI", 6),
+        ("P-18", "10.01", "COMPLETED", "S-1", "K-7", D(2023, 3, 3), "CREDIT_CARD", 7),
+        ("P-15", "-3.00", "COMPLETED", "S-3", "K-8", D(2023, 3, 4), "UPI", 8),          # negative
+        (None, "8.00", "COMPLETED", "S-3", "K-9", D(2023, 3, 4), "UPI", 9),             # null id
+        ("P-16", "0.00", "COMPLETED", "S-3", "K-9", D(2023, 3, 4), "UPI", 10),          # zero completed
+        ("P-17", "31.00", "COMPLETED", "S-9", "K-8", D(2023, 3, 5), "UPI", 11),         # unmatched merchant
     ]
     return [(a, Decimal(b), *rest) for a, b, *rest in rows]
 
 
 def merchants(spark):
     return spark.createDataFrame(
-        [("M001", "CornerShop", "Retail", "Pune"), ("M002", "PumpStation", "Fuel", "Delhi"),
-         ("M003", "BeanHouse", "Food", "Mumbai"), ("M004", "GadgetHub", "Electronics", "Pune"),
-         ("M005", "CarePharmacy", "Health", "Chennai")],
+        [("S-1", "Lamp Works", "Home", "Lyon"), ("S-2", "Blue Kiosk", "Press", "Porto"), ("S-3", "North Tackle", "Sport", "Oslo")],
         "merchant_id string, merchant_name string, category string, city string")
 
 
@@ -42,10 +40,10 @@ def test_silver_rules(spark):
     s = silver.build_silver(t, merchants(spark))
     rows = {r.transaction_id: r for r in s.collect()}
     assert len(rows) == 8                                   # null id, negative, duplicate removed
-    assert None not in rows and "TXN008" not in rows
-    assert rows["TXN006"].transaction_date == D(2024, 1, 17)  # latest kept
-    assert rows["TXN010"].quality_flag == "UNMATCHED" and rows["TXN010"].merchant_name is None
-    assert rows["TXN001"].merchant_name == "CornerShop" and rows["TXN001"].quality_flag == "CLEAN"
+    assert None not in rows and "P-15" not in rows
+    assert rows["P-13"].transaction_date == D(2023, 3, 3)  # latest kept
+    assert rows["P-17"].quality_flag == "UNMATCHED" and rows["P-17"].merchant_name is None
+    assert rows["P-10"].merchant_name == "Lamp Works" and rows["P-10"].quality_flag == "CLEAN"
 
 
 def test_keep_latest_is_partition_independent(spark):
@@ -60,12 +58,12 @@ def test_gold_rules(spark):
     t = spark.createDataFrame(txn_rows(), TXN_SCHEMA)
     s = silver.build_silver(t, merchants(spark))
     perf = {r.merchant_id: r for r in gold.merchant_performance(s, by_date=False).collect()}
-    assert perf["M003"].failure_rate_pct == 50.0 and perf["M003"].total_revenue == 0.0
-    assert perf["M001"].total_revenue == 450.0 and perf["M001"].txn_count == 2
+    assert abs(perf["S-2"].failure_rate_pct - 100 / 3) < 0.01 and perf["S-2"].total_revenue == 5.25
+    assert perf["S-1"].total_revenue == 670.0 and perf["S-1"].txn_count == 3 and perf["S-3"].total_revenue == 0.0
     daily = {r.report_date: r for r in gold.daily_summary(s).collect()}
-    assert daily[D(2024, 1, 15)].unique_customers == 2
+    assert daily[D(2023, 3, 2)].unique_customers == 2
     ltv = {r.customer_id: r for r in gold.customer_ltv(s).collect()}
-    assert ltv["C001"].total_spent == 3650.0 and ltv["C001"].preferred_payment_method == "CREDIT_CARD"
+    assert ltv["K-7"].total_spent == 670.0 and ltv["K-7"].preferred_payment_method == "CREDIT_CARD"
     # invariant: sum of merchant revenue == sum of daily revenue
     a = gold.merchant_performance(s, by_date=True).agg(F.sum("total_revenue")).first()[0]
     b = gold.daily_summary(s).agg(F.sum("total_revenue")).first()[0]

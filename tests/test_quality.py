@@ -60,15 +60,16 @@ def test_exact_median_matches_numpy(spark):
 def test_impossible_rows_verdict(spark):
     import datetime as dt
     from decimal import Decimal as Dc
-    rows = [("SYN001", Dc("100.00"), "COMPLETED", "M001", dt.date(2024, 1, 10), "UPI"),
-            ("SYN004", Dc("150000.00"), "COMPLETED", "M001", dt.date(2024, 1, 10), "UPI"),
-            ("SYN005", Dc("20.00"), "APPROVED", "M001", dt.date(2024, 1, 10), "UPI"),
-            ("SYN006", Dc("30.00"), "COMPLETED", "M009", dt.date(2024, 1, 10), "CREDIT_CARD"),
-            ("SYN007", Dc("0.00"), "COMPLETED", "M001", dt.date(2024, 1, 10), "UPI"),
-            ("SYN008", Dc("40.00"), "PENDING", "M001", dt.date(2099, 12, 31), "UPI")]
+    day = dt.date(2023, 3, 2)
+    rows = [("far-off", Dc("61.10"), "PENDING", "S-1", dt.date(2090, 1, 1), "UPI"),
+            ("nobody", Dc("7.77"), "COMPLETED", "S-9", day, "UPI"),
+            ("huge", Dc("990000.00"), "COMPLETED", "S-1", day, "UPI"),
+            ("fine", Dc("880000.00"), "COMPLETED", "S-1", day, "CREDIT_CARD"),
+            ("empty", Dc("0.00"), "COMPLETED", "S-1", day, "UPI"),
+            ("odd-state", Dc("3.50"), "LIMBO", "S-1", day, "UPI")]
     t = spark.createDataFrame(rows, "transaction_id string, amount decimal(18,2), status string, merchant_id string, "
                                     "transaction_date date, payment_method string")
-    m = spark.createDataFrame([("M001",)], "merchant_id string")
+    m = spark.createDataFrame([("S-1",)], "merchant_id string")
     f = Q.impossible_rows(t, m, "2024-06-01")
     v = Q.verdict(f).first()
     assert (v.issues, v.critical, v.verdict) == (5, 4, "NOT SAFE")
