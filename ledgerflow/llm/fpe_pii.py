@@ -22,16 +22,22 @@ from pyspark.sql import functions as F
 ROUNDS = 8
 KEY = b"ledgerflow-example-key"  # callers give their own
 KINDS = ("email", "key", "iban", "ssn", "date", "ip", "card", "phone")
-_PATTERN = re.compile(r"""
-  (?P<email>(?<![\w.+-])[A-Za-z0-9][\w.+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+)
- |(?P<key>(?<!\w)(?:AKIA[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{20,}|sk-[0-9A-Za-z]{20,}|[0-9a-f]{16,64})(?!\w))
- |(?P<iban>(?<!\w)[A-Z]{2}\d{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?(?!\w))
- |(?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))
- |(?P<date>(?<![\w./-])(?:\d{4}-\d{2}-\d{2}|\d{1,2}\.\d{1,2}\.\d{4}|\d{1,2}/\d{1,2}/\d{4})(?![\w/-]|\.\d))
- |(?P<ip>(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?!\w|\.\d))
- |(?P<card>(?<![\w+.-])\d(?:[ -]?\d){12,18}(?![\w]|-\d))
- |(?P<phone>(?<![\w+.-])(?:\+?1[ .-]?)?(?:\(\d{3}\)[ .-]?|\d{3}[ .-])\d{3}[ .-]\d{4}(?![\w]|-\d)|(?<![\w+])\+\d{1,3}(?:[ .-]?\(?\d{2,4}\)?){2,5}(?!\w))
-""", re.X)
+_KIND = {k: re.compile(p, re.X) for k, p in {
+    "email": r"(?<![\w.+-])[A-Za-z0-9][\w.+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
+    "key": r"(?<!\w)(?:AKIA[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{20,}|sk-[0-9A-Za-z]{20,}|[0-9a-f]{16,64})(?!\w)",
+    "iban": r"(?<!\w)[A-Z]{2}\d{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?(?!\w)",
+    "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
+    "date": r"(?<![\w./-])(?:\d{4}-\d{2}-\d{2}|\d{1,2}\.\d{1,2}\.\d{4}|\d{1,2}/\d{1,2}/\d{4})(?![\w/-]|\.\d)",
+    "ip": r"(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?!\w|\.\d)",
+    "card": r"(?<![\w+.-])\d(?:[ -]?\d){12,18}(?![\w]|-\d)",
+    "phone": r"(?<![\w+.-])(?:\+?1[ .-]?)?(?:\(\d{3}\)[ .-]?|\d{3}[ .-])\d{3}[ .-]\d{4}(?![\w]|-\d)|(?<![\w+])\+\d{1,3}(?:[ .-]?\(?\d{2,4}\)?){2,5}(?!\w)",
+}.items()}
+_PATTERN = re.compile("|".join(f"(?P<{k}>{p.pattern})" for k, p in _KIND.items()), re.X)
+_GROUP = re.compile(r"(?<![0-9A-Za-z])[0-9A-Za-z]|[(+]")  # where a value may begin
+_LONGEST = 64  # characters of a span that a check can refuse
+_SHORTER = re.compile(r"[^0-9A-Za-z]+[0-9A-Za-z]*[^0-9A-Za-z]*\Z")
+_RUN = re.compile(r"[0-9]+(?:[ -][0-9]+){0,18}")
+_PRINTED = ((4, 4, 4, 4), (4, 6, 5), (4, 6, 4))
 _ANY = re.compile(r"[0-9@]")
 _DIGITS = "0123456789"
 _CLASSES = ("abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", _DIGITS)
@@ -198,27 +204,128 @@ def _phone(v: str, move) -> str | None:
 _REPLACE = {"email": _email, "key": _key, "iban": _iban, "ssn": _ssn, "date": _date, "ip": _ip, "card": _card, "phone": _phone}
 
 
+def _valid(kind: str, value: str) -> bool:
+    return _REPLACE[kind](value, lambda v, size, kind="": v) is not None
+
+
+def _cards(text: str, at: int) -> list[int]:
+    """Ends of what may be a card from the start of a digit group: groups of four digits or more, only the last
+    may be shorter. One group and the usual printed groups come first, then the longest."""
+    run, sizes, ends = _RUN.match(text, at), [], []
+    for g in re.finditer("[0-9]+", run[0]) if run else ():
+        sizes.append(len(g[0]))
+        end = at + g.end()
+        if 13 <= sum(sizes) <= 19 and not re.match(r"\w", text[end:end + 1]):
+            ends.append((len(sizes) > 1 and tuple(sizes) not in _PRINTED, -sum(sizes), end))
+        if sizes[-1] < 4 or sum(sizes) > 19:
+            break
+    return [e for _, _, e in sorted(ends)]
+
+
+def _value(text: str, at: int, m: re.Match | None, fresh: bool) -> tuple[int, str, bool] | None:
+    """(end, kind, whether nothing was refused before it) of a valid value that begins at a place.
+
+    ``m``: what the patterns find there; ``fresh``: the place is in no span that was refused."""
+    sure = fresh
+    if fresh or text[at - 1] in " -":
+        for end in _cards(text, at):
+            if _valid("card", text[at:end]):
+                return end, "card", sure
+            sure = False
+    if m is None:
+        return None
+    fine = _valid(m.lastgroup, m[0])
+    if m.lastgroup == "card":  # digits in groups unlike a card's: only if no other value begins in them
+        sure = False
+        inside = [at, *(g.start() for g in _GROUP.finditer(text, at + 1, m.end()))]
+        fine = fine and fresh and not any(_valid("card", text[k:e]) for k in inside[1:] for e in _cards(text, k))
+        fine = fine and not any((x := _KIND[kind].match(text, k)) and _valid(kind, x[0]) for k in inside for kind in ("ssn", "date", "phone"))
+    if fine:
+        return m.end(), m.lastgroup, sure
+    for kind, pattern in _KIND.items():
+        found = pattern.match(text, at) if kind != "card" else None
+        while found:
+            if _valid(kind, found[0]):
+                return found.end(), kind, False
+            less = _SHORTER.search(found[0])
+            found = pattern.match(text, at, at + less.start()) if less else None
+    return None
+
+
+def _cluster(text: str, lo: int, fresh: bool = True, tried: int = 0, until: int | None = None) -> tuple[list[tuple[int, int, str]], list[int], bool, int]:
+    """The valid values from a place on to the end of all spans refused there, the places looked at, whether
+    nothing was refused, and the end.
+
+    Where a span is no valid value, its shorter parts are tried, then the search goes on one group further."""
+    hits, seen, sure, pos = [], [], True, lo
+    while until is None or pos <= until:
+        here = _PATTERN.match(text, pos)
+        hit = _value(text, pos, here, fresh)
+        seen.append(pos)
+        if not (hit and hit[2]):
+            end = here.end() if here else pos
+            tried = max([tried, end, *(e for k in (pos, *(g.start() for g in _GROUP.finditer(text, pos + 1, end))) for e in _cards(text, k))])
+            sure = False
+        fresh = False
+        if hit:
+            hits.append((pos, *hit[:2]))
+        pos = hit[0] if hit else pos + 1
+        group = _GROUP.search(text, pos, tried) if pos < tried else None
+        if not group:
+            return hits, seen, sure, max(tried, pos)
+        pos = group.start()
+    return hits, seen, sure, tried
+
+
+def _in_turn(text: str, lo: int, hits: list[tuple[int, int, str]], seen: list[int], hi: int, move) -> str:
+    """``text`` with the values of a cluster replaced one after another (undone backwards), each moved on until
+    the text around it is read as before: else a refused span could become valid and hide it from undoing."""
+    order = range(len(hits))
+    for i in reversed(order) if getattr(move, "__func__", None) is Feistel.restore else order:
+        a, z, kind = hits[i]
+        near = max((k for k in seen if k <= a - _LONGEST), default=lo)
+        while (new := _REPLACE[kind](text[a:z], move)) is not None:
+            by = len(new) - (z - a)
+            text, z = text[:a] + new + text[z:], a + len(new)
+            hits = [*hits[:i], (a, z, kind), *((x + by, y + by, k) for x, y, k in hits[i + 1:])]
+            seen, hi = [k + by if k > a else k for k in seen], hi + by
+            if _cluster(text, near, near == lo, 0 if near == lo else hi, a)[0] == [h for h in hits[:i + 1] if h[0] >= near]:
+                break
+    return text
+
+
 def pseudonymise(text: str, move, found: dict[str, int] | None = None) -> str:
-    """``text`` with all that is recognised and valid replaced; ``move``: permute or restore of a Feistel."""
+    """``text`` with all that is recognised and valid replaced; ``move``: permute or restore of a Feistel.
+
+    A value found only after a longer or earlier span was refused may be moved on (see _in_turn), its
+    pseudonym then differs from that of the same value elsewhere."""
     if not _ANY.search(text):
         return text
-
-    def swap(m: re.Match) -> str:
-        new = _REPLACE[m.lastgroup](m[0], move)
-        if new is None:
-            return m[0]
+    out, last = [], 0
+    while m := _PATTERN.search(text, last):
+        hits, seen, sure, hi = _cluster(text, m.start())
+        out.append(text[last:m.start()])
+        if sure:
+            (a, z, kind), = hits
+            out.append(_REPLACE[kind](text[a:z], move) or text[a:z])
+        else:
+            lo = max(m.start() - 1, 0)
+            part, after = text[lo:hi], text[hi:hi + _LONGEST]
+            part = _in_turn(part + after, m.start() - lo, [(a - lo, z - lo, kind) for a, z, kind in hits], [k - lo for k in seen], hi - lo, move)
+            out.append(part[m.start() - lo:len(part) - len(after)])
+        last = hi
         if found is not None:
-            found[m.lastgroup] = found.get(m.lastgroup, 0) + 1
-        return new
-
-    return _PATTERN.sub(swap, text)
+            for _, _, kind in hits:
+                found[kind] = found.get(kind, 0) + 1
+    return "".join([*out, text[last:]])
 
 
 def pii_pseudonyms(docs: DataFrame, key: bytes = KEY, id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, n_values, kinds, text``: the number of values replaced, their kinds, and the new text.
 
     A null text stays null with no values; an empty or clean one is unchanged.
-    A number that fails its check is no such value and stays. Repeated rows
+    A number that fails its check is no such value and stays, but the values within it or overlapping it are
+    found. Repeated rows
     and a null id are treated like any other. Other columns are not read; an empty table gives an empty
     result.
     """
