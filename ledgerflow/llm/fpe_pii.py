@@ -151,10 +151,13 @@ def _ssn(v: str, move) -> str | None:
 
 
 def _date(v: str, move) -> str | None:
-    """ISO, day.month.year and month/day/year; a date stays within 1900 to 2099, or in its own century."""
+    """ISO, day.month.year and month/day/year; a date stays within 1900 to 2099, or in its own century.
+
+    With a first number of 13 to 31, day/month/year: it stays a date that can be read in no other way."""
     sep = next(c for c in v if not c.isdigit())
     a, b, c = v.split(sep)
-    y, m, d = (a, b, c) if sep == "-" else (c, b, a) if sep == "." else (c, a, b)
+    late = sep == "/" and int(a) > 12
+    y, m, d = (a, b, c) if sep == "-" else (c, b, a) if sep == "." or late else (c, a, b)
     try:
         at = datetime.date(int(y), int(m), int(d)).toordinal()
     except ValueError:
@@ -163,11 +166,16 @@ def _date(v: str, move) -> str | None:
     lo, hi = (1900, 2100) if 1900 <= year < 2100 else (max(1, year // 100 * 100), year // 100 * 100 + 100)
     first = datetime.date(lo, 1, 1).toordinal()
     n = (datetime.date(hi, 1, 1).toordinal() if hi < 10000 else datetime.date.max.toordinal() + 1) - first
-    new = datetime.date.fromordinal(first + move(at - first, n, "date"))
+    wide = "02d" if a[0] == "0" or b[0] == "0" or len(a) == len(b) == 2 else "d"
+    n_at = at - first
+    while True:
+        n_at = move(n_at, n, "date")
+        new = datetime.date.fromordinal(first + n_at)
+        if not late or new.day > 12 and (wide == "02d" or new.month < 10):
+            break
     if sep == "-":
         return f"{new.year:04d}-{new.month:02d}-{new.day:02d}"
-    x, z = (new.day, new.month) if sep == "." else (new.month, new.day)
-    wide = "02d" if a[0] == "0" or b[0] == "0" or len(a) == len(b) == 2 else "d"
+    x, z = (new.day, new.month) if sep == "." or late else (new.month, new.day)
     return f"{x:{wide}}{sep}{z:{wide}}{sep}{new.year:04d}"
 
 

@@ -208,6 +208,8 @@ def _undone(text: str) -> str:
     ("DE89 3704 0044 0532 0130 00 BANK", "DE89 3704 0044 0532 0130 00", "iban"),
     ("BE68 5390 0754 7034 BANK", "BE68 5390 0754 7034", "iban"),
     ("AB12 BE68 5390 0754 7034 OK", "BE68 5390 0754 7034", "iban"),
+    ("born 25/12/1984", "25/12/1984", "date"),
+    ("le 31/3/1984.", "31/3/1984", "date"),
 ])
 def test_pseudonyms_in_refused_spans(text, value, kind):
     found = {}
@@ -226,6 +228,10 @@ def test_pseudonyms_undone():
         parts = [r.choice(["12", "7", "2023", "415-555-0132", "BANK", "x", "BE68 5390 0754 7034", "25/12/1984", "+44 20 7946 0958"]) for _ in range(4)]
         text = " ".join([*parts[:2], c, *parts[2:]])
         assert c not in _undone(text), text
+    for y in (3, 7, 25, 31):
+        for m in (13, 5, 12):
+            _undone(f"{y:02d}/{m:02d}/1984")
+    assert all(int(_undone(f"{d}/{m}/1984").split("/")[0]) > 12 for d in range(13, 31) for m in range(3, 13))
     assert _undone("31/31/1984 and 12 of 4111111111111112") == "31/31/1984 and 12 of 4111111111111112"
 
 
