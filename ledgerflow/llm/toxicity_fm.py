@@ -21,6 +21,7 @@ from .labelled import held_out, sample
 
 SAMPLE, BITS, FACTORS, LEAST, EPOCHS, BATCH, RATE = 12_000, 30, 8, 15, 8, 256, 0.05
 STEMS, SURE = (4, 5, 6), 6.0
+BLOCK = 1024  # columns of a block of pairs
 
 
 def terms(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -67,20 +68,89 @@ class Machine:
         return 1 / (1 + np.exp(-np.clip(self.raw(*terms(column)), -40, 40)))
 
 
+def paired(at: np.ndarray, doc: np.ndarray, y: np.ndarray, n: int, raw: np.ndarray) -> np.ndarray:
+    """Whether each of ``n`` terms is in a pair whose texts have one label surely more often than ``raw`` and the
+    whole's share say: a likelihood ratio of ``SURE`` squared. No pair is left out: one that reaches it needs
+    ``least`` texts of that label, so do both its terms."""
+    found, count = np.zeros(n, bool), np.bincount(at, minlength=n)
+    ones = np.bincount(at, y[doc], n)
+    texts = np.random.default_rng(1).integers(1, 1 << 62, len(y))
+    mark = np.zeros(n, np.int64)
+    np.add.at(mark, at, texts[doc])
+    _, first, same = np.unique(mark, return_index=True, return_inverse=True)  # terms of the same texts are one
+    for label in (1, 0):
+        share = y.mean() if label else 1 - y.mean()
+        least = SURE ** 2 / (-2 * np.log(share))
+        own = (ones if label else count - ones)[first]
+        who = np.flatnonzero(own >= least)
+        expected = np.maximum(1 / (1 + np.exp(-np.clip(raw if label else -raw, -40, 40))), share).astype(np.float32)[:, None]
+        rows = np.argsort(y != label, kind="stable")
+        have, place = int((y == label).sum()), np.empty(len(y), np.int32)
+        place[rows] = np.arange(len(y), dtype=np.int32)
+        expected = expected[rows]
+        col = np.full(n, -1, np.int32)
+        col[first[who]] = np.arange(len(who), dtype=np.int32)
+        keep = col[at] >= 0
+        c, d = col[at[keep]], place[doc[keep]]
+        order = np.argsort(c, kind="stable")
+        c, d = c[order], d[order]
+        edge = np.searchsorted(c, np.arange(0, len(who) + BLOCK, BLOCK))
+
+        def block(k: int, c=c, d=d, edge=edge) -> np.ndarray:
+            x, part = np.zeros((len(y), BLOCK), np.float32), slice(edge[k], edge[k + 1])
+            x[d[part], c[part] - k * BLOCK] = 1
+            return x
+
+        for k in range(len(edge) - 1):
+            x = block(k)
+            weighted = np.ascontiguousarray((x * expected).T)
+            for m in range(k, len(edge) - 1):
+                z = block(m) if m > k else x
+                hit, want = x[:have].T @ z[:have], weighted @ z
+                i, j = np.nonzero((hit >= least) & (hit > want))
+                ok = (i < j) if m == k else slice(None)
+                i, j = i[ok], j[ok]
+                h, e = hit[i, j].astype(np.float64), want[i, j].astype(np.float64)
+                ok = 2 * h * np.log(h / e) >= SURE ** 2  # it can't be more
+                i, j, h, e = i[ok], j[ok], h[ok], e[ok]
+                for q in range(0, len(i), 512):
+                    u, v, hq, eq = i[q:q + 512], j[q:q + 512], h[q:q + 512], e[q:q + 512]
+                    rest = (x[have:, u] * z[have:, v]).sum(0, dtype=np.float64)
+                    ratio = 2 * (hq * np.log(hq / eq) + rest * np.log(np.maximum(rest, 1e-9) / np.maximum(hq + rest - eq, 1e-9)))
+                    sure = ratio >= SURE ** 2
+                    found[first[who[k * BLOCK + u[sure]]]] = found[first[who[m * BLOCK + v[sure]]]] = True
+    return found[first][same]
+
+
 def fit(flat: np.ndarray, first: np.ndarray, y: np.ndarray, least: int = LEAST, factors: int = FACTORS, epochs: int = EPOCHS, seed: int = 3) -> Machine:
     """Adaptive gradient descent on the log loss.
 
-    Only terms of ``least`` texts or more are learnt, and of those the ones whose
-    share of label 1 lies ``SURE`` standard deviations off the whole's: the small
-    weights of thousands of common words would else outweigh a telling few.
-    With no rows or one class only, the machine is a constant.
+    First of terms whose share of label 1 surely differs from the whole's, by ``SURE`` standard deviations in
+    ``least`` texts or more or by a likelihood ratio in any number: the small weights of thousands of common words would else outweigh a
+    telling few. Then, if there are pairs of any terms whose labels that leaves surely unexplained, again with their
+    terms, which may tell nothing alone. With no rows or one class only, the machine is a constant.
     """
     p = (y.sum() + 0.5) / (len(y) + 1.0)
+    term, at, n = np.unique(flat, return_inverse=True, return_counts=True)
+    doc = np.repeat(np.arange(len(y), dtype=np.int32), np.diff(first))
+    ones = np.bincount(at, y[doc], len(term))
+    if not len(y) or y.min() == y.max():
+        return _descend(term[:0], flat, first, y, factors, epochs, seed)
+    alone = (n >= least) & (np.abs(ones - n * p) >= SURE * np.sqrt(n * p * (1 - p)))
+    rest = n - ones
+    alone |= 2 * (ones * np.log(np.maximum(ones, 1) / (n * p)) + rest * np.log(np.maximum(rest, 1) / (n * (1 - p)))) >= SURE ** 2
+    machine = _descend(term[alone], flat, first, y, factors, epochs, seed)
+    together = paired(at.astype(np.int32), doc, y, len(term), machine.raw(flat, first))
+    if not (together & ~alone).any():
+        return machine
+    return _descend(term[alone | together], flat, first, y, factors, epochs, seed)
+
+
+def _descend(term: np.ndarray, flat: np.ndarray, first: np.ndarray, y: np.ndarray, factors: int, epochs: int, seed: int) -> Machine:
+    """A machine of the given terms."""
+    p = (y.sum() + 0.5) / (len(y) + 1.0)
     base = float(np.log(p / (1 - p)))
-    term, n = np.unique(flat, return_counts=True)
-    ones = np.bincount(np.searchsorted(term, flat), np.repeat(y, np.diff(first)), len(term))
-    term = term[(n >= least) & (np.abs(ones - n * p) >= SURE * np.sqrt(n * p * (1 - p)))]
-    if not len(y) or y.min() == y.max() or not len(term):
+    if not len(term):
         return Machine(base, np.zeros(0, np.int64), np.zeros(0), np.zeros((0, factors)))
     rng = np.random.default_rng(seed)
     at = np.minimum(np.searchsorted(term, flat), len(term) - 1)

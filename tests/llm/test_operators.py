@@ -267,3 +267,24 @@ def test_classifiers(spark):
         assert got.score.between(0, 1).all() and len(got) == 902
         none = run(d.select("doc_id", "text"), d.select("doc_id", label).limit(0))
         assert none.select("score").distinct().count() == 1
+
+
+@pytest.mark.parametrize("label", [lambda i, j: i == j, lambda i, j: i % 2 != j % 2])
+def test_toxicity_of_pairs(label):
+    r = np.random.default_rng(1)
+
+    def make(n):
+        pick = r.integers(0, 4, (n, 2))
+        x = [np.unique([*r.integers(100, 400, 60), 1 + i, 20 + j]) for i, j in pick]
+        return np.concatenate(x), np.concatenate([[0], np.cumsum([len(k) for k in x])]), np.array([float(label(i, j)) for i, j in pick])
+
+    machine = toxicity_fm.fit(*make(1500))
+    flat, first, y = make(500)
+    assert np.mean((machine.raw(flat, first) > 0) == y) > 0.97  # each term alone says nothing
+
+
+def test_toxicity_of_rare_terms():
+    x = [[1, 1000 + k % 7] if k < 11 else [1000 + k % 7, 2000 + k % 300] for k in range(3000)]
+    y = np.array([float(k < 11 or k % 10 == 0) for k in range(3000)])
+    machine = toxicity_fm.fit(np.concatenate(x), np.arange(0, 6001, 2), y)
+    assert 1 in machine.term
