@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -171,6 +172,18 @@ def test_n_best(docs):
     assert got[(got.doc_id == 3)].n_pieces.tolist() == [0]
 
 
+@pytest.mark.parametrize("chars", ["ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", "a", "的一是在不了有和人这中大为上个国我以要他"])
+def test_n_best_of_a_long_run(chars):
+    m, r = nbest_pieces.Lattice(tokenizer("piece_bpe_32k.model")), random.Random(3)
+    run = "".join(r.choice(chars) for _ in range(200_000))
+    tracemalloc.start()
+    got = m.encode(run)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(got) == 3 and all(x[3] for x in got) and got[0][0] >= got[1][0] >= got[2][0]
+    assert peak < 1 << 30 and not m.known and not m.chosen
+
+
 def test_pseudonyms(docs):
     f = fpe_pii.Feistel(b"k")
     for size in (1, 2, 10, 97, 1000):
