@@ -1,11 +1,13 @@
-"""The ten registered queries, with DuckDB SQL where SQL can say the same."""
+"""The registered queries, with DuckDB SQL where SQL can say the same."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .chat_format import CHAT_SQL, chat_digest, log_of, with_control_strings
 from .common import cut, table
+from .eenns_clusters import CLUSTERS_SQL, clusters
 from .fpe_pii import pii_pseudonyms
 from .lz_fingerprint import lz_fingerprints
 from .merkle_fixity import Audit, index
@@ -16,6 +18,7 @@ from .pq_dedup import pq_dedup
 from .quality_gam import quality
 from .suffix_dedup import substring_dedup
 from .toxicity_fm import toxicity
+from .turn_repair import REPAIR_SQL, damage, repair_digest
 
 
 def tokenizer(name: str) -> str:
@@ -109,5 +112,18 @@ def op10_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_pseudonyms(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
-QUERIES = {f.__name__: f for f in (op1_merkle_fixity, op2_quality_gam, op3_lz_fingerprint, op4_pq_dedup, op5_nbest_pieces, op6_toxicity_fm, op7_minmax_dedup, op8_ss_packing, op9_suffix_dedup, op10_pii_pseudonyms)}
-ORACLE_SQL: dict[str, str] = {"op1_merkle_fixity": OP1_SQL}
+def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_digest(damage(table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")))
+
+
+def op12_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_digest(log_of(with_control_strings(table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))))
+
+
+def op13_eenns_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
+QUERIES = {f.__name__: f for f in (op1_merkle_fixity, op2_quality_gam, op3_lz_fingerprint, op4_pq_dedup, op5_nbest_pieces, op6_toxicity_fm, op7_minmax_dedup, op8_ss_packing, op9_suffix_dedup, op10_pii_pseudonyms,
+                                   op11_turn_repair, op12_chat_format, op13_eenns_clusters)}
+ORACLE_SQL: dict[str, str] = {"op1_merkle_fixity": OP1_SQL, "op11_turn_repair": REPAIR_SQL, "op12_chat_format": CHAT_SQL, "op13_eenns_clusters": CLUSTERS_SQL}
