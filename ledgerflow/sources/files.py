@@ -66,6 +66,21 @@ def delete_path(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small text as one file that is there whole or not at all: written aside, then renamed."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    aside = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target.getParent(), f"_{uuid.uuid4().hex}")
+    fs = target.getFileSystem(conf)
+    out = fs.create(aside, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if not fs.rename(aside, target):
+        fs.delete(target, False)
+        if not fs.rename(aside, target):
+            raise OSError(f"could not write {path}")
+
+
 def read_batches(spark: SparkSession, path: str, schema: T.StructType,
                  corrupt_col: str = "_corrupt_record") -> tuple[DataFrame, DataFrame]:
     """Many JSON files, each one object or an array of objects; unreadable
