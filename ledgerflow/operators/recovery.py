@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .asof import asof_join
 from .joins import exclude_loaded
 from .windows import consecutive_breach, rolling_sum, time_spine
 
@@ -133,19 +134,17 @@ def alert_rules(silver: DataFrame, known_methods: Sequence[str], daily_bounds: t
 
 def change_correlation(alarms: DataFrame, changes: DataFrame, bucket: str = "bucket",
                        change_ts: str = "changed_at") -> DataFrame:
-    """For each change event, the first alarming bucket at or after it.
-
-    Range condition on one side only: alarms are few (bucket rows with
-    alarm = true); the join is an inequality join bounded by those rows."""
+    """For each change event, the first alarming bucket at or after it, whatever the number of changes (an as-of join)."""
     a = alarms.where(F.col("alarm")).select(F.col(bucket).alias("_b"))
-    j = changes.join(a, F.col("_b") >= F.col(change_ts), "left")
-    return j.groupBy(*changes.columns).agg(F.min("_b").alias("anomaly_start"))
+    j = asof_join(changes, a, change_ts, "_b", direction="forward", out="_next", block_seconds=86400)
+    return j.select(*changes.columns, F.col("_next._b").alias("anomaly_start"))
 
 
-def error_fingerprints(log: DataFrame, exc_col: str, code_col: str, fix_col: str, ts_col: str) -> DataFrame:
+def error_fingerprints(log: DataFrame, exc_col: str, code_col: str, fix_col: str, ts_col: str, ok_col: str | None = None) -> DataFrame:
     """fingerprint = md5(exception line + code line, paths, line numbers and addresses
     stripped)[:12]; count and latest fix per fingerprint (max_by, skew-safe).
 
+    With ``ok_col`` only fixes that worked count for ``last_fix``.
     Numbers go only where they name a place (line numbers, addresses): the same
     error of two keys stays two errors."""
     path = lambda c: F.regexp_replace(F.col(c), r"(/[^\s:'\"]+)+(:[0-9]+)*", "<path>")
@@ -153,7 +152,7 @@ def error_fingerprints(log: DataFrame, exc_col: str, code_col: str, fix_col: str
     fp = F.substring(F.md5(F.concat_ws("|", norm(exc_col), norm(code_col))), 1, 12)
     return log.withColumn("fingerprint", fp).groupBy("fingerprint").agg(
         F.count(F.lit(1)).alias("occurrences"), F.max(ts_col).alias("last_seen"),
-        F.max_by(fix_col, F.struct(F.col(ts_col), F.col(fix_col))).alias("last_fix"))
+        F.max_by(fix_col, F.when(F.col(ok_col) if ok_col else F.lit(True), F.struct(F.col(ts_col), F.col(fix_col)))).alias("last_fix"))
 
 
 def incident_summary(gap: DataFrame, window: DataFrame, breaches: DataFrame) -> DataFrame:

@@ -26,30 +26,41 @@ def with_lag_change(daily: DataFrame, order_col: str, value_col: str,
 
 
 def rolling_sum(df: DataFrame, key: str, ts: str, value: str, width_seconds: int,
-                out_col: str) -> DataFrame:
+                out_col: str, fine_seconds: int = 60) -> DataFrame:
     """Per-row sum of ``value`` over (ts - width, ts] within ``key``.
 
-    Rows are cut into time blocks of ``width`` per key, so a key holding a third
-    of all rows spreads over many window partitions.  A frame is the block's
-    rows up to ``ts`` and the previous block's rows after ``ts - width``: a
-    running sum from the front, and one from the back over copies of the previous
-    block moved on by ``width``.  Both only grow, so the cost is linear in the
-    rows of a block.  Rows without a time form one frame per key.
+    Two levels, without subtracting (so floats lose nothing): a frame is the own
+    ``fine`` block's rows up to ``ts``, the whole blocks before it, and those rows of the block one
+    width back that are younger than ``ts - width``. Whole blocks are summed once,
+    combined map-side, and a range frame over these sums (one row a key and block) gives the middle.
+    The other two are running sums inside a block, the last over copies of the
+    rows moved on by the width. So a key, or one width of a key, that
+    holds most rows spreads over its fine blocks; each row appears twice and the cost is linear.
+    Rows without a time form one frame per key. ``fine`` must divide the width.
     """
-    width_us = F.lit(width_seconds * 1_000_000)
+    if width_seconds % fine_seconds:
+        raise ValueError("fine_seconds must divide width_seconds")
+    width_us, fine_us = F.lit(width_seconds * 1_000_000), F.lit(fine_seconds * 1_000_000)
     us = F.unix_micros(F.col(ts).cast("timestamp"))
     own = df.withColumn("_us", us).withColumn("_own", F.lit(1))
     halo = own.where(F.col("_us").isNotNull()).withColumn("_us", F.col("_us") + width_us).withColumn("_own", F.lit(0))
-    both = own.unionByName(halo).withColumn("_blk", F.col("_us") - F.pmod("_us", width_us))
+    both = own.unionByName(halo).withColumn("_blk", F.floor(F.col("_us") / fine_us))
     block = Window.partitionBy(key, "_blk")
     front = block.orderBy("_us").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     # own rows first among equal times: a row exactly ``width`` old is outside the frame
     back = block.orderBy(F.desc("_us"), F.desc("_own")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     a = F.sum(F.when(F.col("_own") == 1, F.col(value))).over(front)
     b = F.sum(F.when(F.col("_own") == 0, F.col(value))).over(back)
-    return (both.withColumn("_a", a).withColumn("_b", b).where(F.col("_own") == 1)
-            .withColumn(out_col, F.coalesce(F.col("_a") + F.col("_b"), "_a", "_b"))
-            .drop("_us", "_blk", "_own", "_a", "_b"))
+    rows = both.withColumn("_a", a).withColumn("_b", b).where(F.col("_own") == 1)
+    whole = (df.select(F.col(key).alias("_k"), F.floor(us / fine_us).alias("_m"), F.col(value).alias("_v")).where("_m is not null")
+             .groupBy("_k", "_m").agg(F.sum("_v").alias("_s")))
+    middle = Window.partitionBy("_k").orderBy("_m").rangeBetween(1 - width_seconds // fine_seconds, -1)
+    whole = whole.withColumn("_c", F.sum("_s").over(middle)).drop("_s")
+    j = rows.join(whole, F.col(key).eqNullSafe(F.col("_k")) & (F.col("_blk") == F.col("_m")), "left")
+    parts = [F.col("_a"), F.col("_b"), F.col("_c")]
+    some = F.coalesce(*parts).isNotNull()
+    total = sum((F.coalesce(p, F.lit(0)) for p in parts[1:]), F.coalesce(parts[0], F.lit(0)))
+    return (j.withColumn(out_col, F.when(some, total)).drop("_us", "_blk", "_own", "_a", "_b", "_c", "_k", "_m"))
 
 
 def time_spine(df: DataFrame, ts: str, step: str, start: Column | None = None,

@@ -469,8 +469,8 @@ def q_j8(spark, sf):
     return exclude_loaded(ev, derived.loaded_events(ev), "event_id").select("event_id", "ts", "user_id", "value")
 
 
-@register("a23_distribution_compare", ids=("A23", "Q26"), sql=with_ctes("txn", """
-, a AS (SELECT * FROM txn WHERE year(transaction_date) = 1996), b AS (SELECT * FROM txn WHERE year(transaction_date) = 1997),
+@register("a23_distribution_compare", ids=("A23", "Q26"), sql=with_ctes("booked", """
+, a AS (SELECT * FROM silver), b AS (SELECT * FROM booked),
 sa AS (SELECT 'status' AS column_name, COUNT(DISTINCT status) AS distinct_a,
               ROUND(AVG(CASE WHEN status IS NULL THEN 1.0 ELSE 0.0 END), 6) AS null_rate_a FROM a
        UNION ALL SELECT 'payment_method', COUNT(DISTINCT payment_method),
@@ -487,12 +487,8 @@ SELECT sa.column_name, distinct_a, distinct_b, null_rate_a, null_rate_b,
 FROM sa JOIN sb ON sa.column_name = sb.column_name"""))
 def q_a23(spark, sf):
     from ..operators.quality import distribution_compare
-    t = ledger.transactions(spark, sf)
-    d = F.col("transaction_date")
-    day = lambda s: F.lit(s).cast("date")
-    a = t.where((d >= day("1996-01-01")) & (d < day("1997-01-01")))
-    b = t.where((d >= day("1997-01-01")) & (d < day("1998-01-01")))
-    return distribution_compare(a, b, ["status", "payment_method", "amount"], numeric=["amount"])
+    silver = silver_df(spark, sf)
+    return distribution_compare(silver, derived.booked_layer(silver), ["status", "payment_method", "amount"], numeric=["amount"])
 
 
 @register("w2_latest_order_per_customer", ids=("W2", "W6"), sql=with_ctes("customers", """

@@ -83,3 +83,11 @@ CTES["bronze"] = """
          t.payment_method, m.merchant_name, m.city
   FROM txn t LEFT JOIN merchants m ON t.merchant_id = m.merchant_id"""
 _DEPS["bronze"] = ("txn", "merchants")
+
+CTES["booked"] = """
+  SELECT transaction_id || x.suffix AS transaction_id,
+         CAST(CASE WHEN day(transaction_date) = 15 THEN amount + 5 ELSE amount END AS DECIMAL(18,2)) AS amount, status, merchant_id, customer_id, transaction_date,
+         CASE WHEN payment_method = 'UPI' AND year(transaction_date) >= 1997 THEN 'WALLET' ELSE payment_method END AS payment_method
+  FROM silver, (VALUES (''), ('-R')) x(suffix)
+  WHERE COALESCE(day(transaction_date) <> 1, TRUE) AND (x.suffix = '' OR day(transaction_date) = 2)"""
+_DEPS["booked"] = ("silver",)

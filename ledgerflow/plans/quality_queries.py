@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import quality as Q
-from ..sources import ledger
+from ..operators.layers import layer_diff
+from ..sources import derived, ledger
 from .ledger_queries import silver_df
 from .oracle import with_ctes
 from .registry import register
@@ -222,15 +223,9 @@ def q_repair(spark, sf):
                                                         "merchant_city", "_repaired_cells")
 
 
-def _of_year(df, year):
-    """As a range of dates, which reaches the scan."""
-    d = F.col("transaction_date")
-    return df.where((d >= F.lit(f"{year}-01-01").cast("date")) & (d < F.lit(f"{year + 1}-01-01").cast("date")))
-
-
-@register("q26_psi_amount", ids=("Q26",), sql=with_ctes("txn", """
-, a AS (SELECT CAST(amount AS DOUBLE) AS v FROM txn WHERE year(transaction_date) = 1996),
-b AS (SELECT CAST(amount AS DOUBLE) AS v FROM txn WHERE year(transaction_date) = 1997),
+@register("q26_psi_amount", ids=("Q26",), sql=with_ctes("booked", """
+, a AS (SELECT CAST(amount AS DOUBLE) AS v FROM silver),
+b AS (SELECT CAST(amount AS DOUBLE) AS v FROM booked),
 ba AS (SELECT LEAST(GREATEST(CAST(FLOOR(10.0 * (v - 0.0) / 110000.0) AS BIGINT) + 1, 1), 10) AS bin, COUNT(*) * 1.0 / (SELECT COUNT(*) FROM a) AS p FROM a GROUP BY 1),
 bb AS (SELECT LEAST(GREATEST(CAST(FLOOR(10.0 * (v - 0.0) / 110000.0) AS BIGINT) + 1, 1), 10) AS bin, COUNT(*) * 1.0 / (SELECT COUNT(*) FROM b) AS p FROM b GROUP BY 1),
 sp AS (SELECT range AS bin FROM range(1, 11))
@@ -238,13 +233,12 @@ SELECT ROUND(SUM((GREATEST(COALESCE(bb.p, 0), 1e-6) - GREATEST(COALESCE(ba.p, 0)
                  * LN(GREATEST(COALESCE(bb.p, 0), 1e-6) / GREATEST(COALESCE(ba.p, 0), 1e-6))), 6) AS psi
 FROM sp LEFT JOIN ba ON sp.bin = ba.bin LEFT JOIN bb ON sp.bin = bb.bin"""))
 def q_psi(spark, sf):
-    t = ledger.transactions(spark, sf)
-    return Q.psi(_of_year(t, 1996), _of_year(t, 1997),
-                 "amount", 0.0, 110000.0, 10)
+    s = silver_df(spark, sf)
+    return Q.psi(s, derived.booked_layer(s), "amount", 0.0, 110000.0, 10)
 
 
-@register("q26_categorical_drift", ids=("Q26", "U4", "E9"), sql=with_ctes("txn", """
-, a AS (SELECT * FROM txn WHERE year(transaction_date) = 1996), b AS (SELECT * FROM txn WHERE year(transaction_date) = 1997),
+@register("q26_categorical_drift", ids=("Q26", "U4", "E9"), sql=with_ctes("booked", """
+, a AS (SELECT * FROM silver), b AS (SELECT * FROM booked),
 s AS (SELECT 'status' AS column_name, x.v AS rv, y.v AS cv FROM (SELECT DISTINCT status AS v FROM a) x
         FULL OUTER JOIN (SELECT DISTINCT status AS v FROM b) y ON x.v = y.v
       UNION ALL SELECT 'payment_method', x.v, y.v FROM (SELECT DISTINCT payment_method AS v FROM a) x
@@ -255,9 +249,37 @@ SELECT column_name, COUNT(*) FILTER (WHERE rv IS NULL) AS new_values, COUNT(*) F
        COUNT(*) FILTER (WHERE rv IS NULL) + COUNT(*) FILTER (WHERE cv IS NULL) > 0 AS drifted
 FROM s GROUP BY column_name"""))
 def q_catdrift(spark, sf):
-    t = ledger.transactions(spark, sf)
-    return Q.categorical_drift(_of_year(t, 1996), _of_year(t, 1997),
-                               ["status", "payment_method", "merchant_id"])
+    s = silver_df(spark, sf)
+    return Q.categorical_drift(s, derived.booked_layer(s), ["status", "payment_method", "merchant_id"])
+
+
+_DIFF_COLUMNS = ["amount", "status", "merchant_id", "customer_id", "transaction_date", "payment_method"]
+
+
+def _diff_sql(left: str, right: str) -> str:
+    one = lambda t: (f"(SELECT transaction_id AS k, max(struct_pack({', '.join(f'{c} := CAST({c} AS VARCHAR)' for c in _DIFF_COLUMNS)})) AS r, COUNT(*) AS n "
+                     f"FROM {t} WHERE transaction_id IS NOT NULL GROUP BY 1)")
+    item = lambda m, n, of, c="NULL": f"SELECT '{m}' AS measure, CAST({c} AS VARCHAR) AS column_name, CAST({n} AS BIGINT) AS rows, {'ROUND(' + n + ' * 1.0 / NULLIF(' + of + ', 0), 6)' if of else 'CAST(NULL AS DOUBLE)'} AS share FROM t"
+    drift = ", ".join(f"COUNT(*) FILTER (ak IS NOT NULL AND bk IS NOT NULL AND a.{c} IS DISTINCT FROM b.{c}) AS d_{c}" for c in _DIFF_COLUMNS)
+    return f"""
+, j AS (SELECT x.k AS ak, y.k AS bk, x.r AS a, y.r AS b, x.n AS an, y.n AS bn FROM {one(left)} x FULL OUTER JOIN {one(right)} y ON x.k = y.k),
+t AS (SELECT COUNT(ak) AS ka, COUNT(bk) AS kb, COUNT(*) FILTER (ak IS NOT NULL AND bk IS NOT NULL) AS both_sides, COUNT(*) FILTER (bk IS NULL) AS dropped, COUNT(*) FILTER (ak IS NULL) AS added,
+  COUNT(*) FILTER (ak IS NOT NULL AND bk IS NOT NULL AND a IS DISTINCT FROM b) AS changed, COUNT(*) FILTER (ak IS NOT NULL AND bk IS NOT NULL AND a IS NOT DISTINCT FROM b) AS same,
+  COALESCE(SUM(an - 1), 0) AS xa, COALESCE(SUM(bn - 1), 0) AS xb, (SELECT COUNT(*) FROM {left} WHERE transaction_id IS NULL) AS na, (SELECT COUNT(*) FROM {right} WHERE transaction_id IS NULL) AS nb, {drift} FROM j)
+""" + " UNION ALL ".join([item("left_keys", "ka", ""), item("right_keys", "kb", ""), item("dropped", "dropped", "ka"), item("added", "added", "kb"), item("changed", "changed", "ka"),
+                          item("same", "same", "ka"), item("left_copies", "xa", ""), item("right_copies", "xb", ""), item("left_null_keys", "na", ""), item("right_null_keys", "nb", ""),
+                          *[item("drifted", f"d_{c}", "both_sides", f"'{c}'") for c in _DIFF_COLUMNS]])
+
+
+@register("q26_layer_diff_booked", ids=("Q26", "A23", "Q27"), sql=with_ctes("booked", _diff_sql("silver", "booked")))
+def q_layer_diff(spark, sf):
+    s = silver_df(spark, sf)
+    return layer_diff(s, derived.booked_layer(s), "transaction_id", _DIFF_COLUMNS)
+
+
+@register("q26_layer_diff_bronze_silver", ids=("Q26", "A23", "Q27"), sql=with_ctes("txn silver", _diff_sql("txn", "silver")))
+def q_layer_diff_bronze(spark, sf):
+    return layer_diff(ledger.transactions(spark, sf), silver_df(spark, sf), "transaction_id", _DIFF_COLUMNS)
 
 
 ORDERS_CONTRACT = [

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators import recovery as R
+from ..operators import rules as RU
+from ..operators.asof import asof_join
 from ..sources import derived, ledger
 from .ledger_queries import silver_df
 from .oracle import with_ctes
@@ -166,3 +169,88 @@ def q_r11(spark, sf):
     changes = spark.createDataFrame([("sink_outage",)], "change_name string").select(
         "change_name", F.to_timestamp(F.lit(OS)).alias("changed_at"))
     return R.change_correlation(alarms, changes)
+
+
+@register("r11_next_alarm_per_error", ids=("R11", "R6"), sql=with_ctes("ev", _R6_ALARMS + """
+SELECT e.event_id, e.ts AS changed_at, (SELECT MIN(a.bucket) FROM alarms a WHERE a.alarm AND a.bucket >= e.ts) AS anomaly_start
+FROM ev e WHERE e.event_type = 'error'"""))
+def q_r11_many(spark, sf):
+    s, t = _src_tgt(spark, sf)
+    alarms = R.zero_load_alarm(t, "ts", SPAN_START, SPAN_END)
+    return R.change_correlation(alarms, s.where("event_type = 'error'").select("event_id", F.col("ts").alias("changed_at")))
+
+
+@register("w6_last_purchase_before_error", ids=("W6", "R15"), sql=with_ctes("ev", """
+, p AS (SELECT *, MAX(CASE WHEN event_type = 'purchase' THEN struct_pack(ts := ts, event_id := event_id, value := value) END)
+    OVER (PARTITION BY user_id ORDER BY ts RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS last FROM ev)
+SELECT event_id, user_id, ts, last.event_id AS fix_id, last.ts AS fixed_at, last.value AS fix_value FROM p WHERE event_type = 'error'"""))
+def q_w6(spark, sf):
+    ev = ledger.events(spark, sf)
+    errors = ev.where("event_type = 'error'").select("event_id", "user_id", "ts")
+    fixes = ev.where("event_type = 'purchase'").select("user_id", "ts", "event_id", "value")
+    j = asof_join(errors, fixes, "ts", "ts", ["user_id"], out="fix")
+    return j.select("event_id", "user_id", "ts", F.col("fix.event_id").alias("fix_id"), F.col("fix.ts").alias("fixed_at"), F.col("fix.value").alias("fix_value"))
+
+
+# Test-data adapter of the rules' metrics: a user's last event stands for a pipeline's last run, the span of a
+# user's events on a day for a run's minutes, an amount of at most 104,800 for a row that passes its checks.
+VALID_AMOUNT, KNOWN_METHODS = 104800, ("UPI", "CREDIT_CARD")
+
+
+def _rule_metrics(spark, sf):
+    ev, txn, silver = ledger.events(spark, sf), ledger.transactions(spark, sf), silver_df(spark, sf)
+    us = lambda c: F.unix_micros(c)
+    fresh = ev.groupBy("user_id").agg(F.max("ts").alias("t"))
+    runs = ev.groupBy("user_id", F.to_date("ts").alias("d")).agg((F.floor((us(F.max("ts")) - us(F.min("ts"))) / 1e6) / 60).alias("m"))
+    quality = txn.groupBy("status", "payment_method").agg((F.count_if(F.col("amount") <= VALID_AMOUNT) * 100.0 / F.count("*")).alias("q"))
+    days = silver.groupBy("transaction_date").agg(F.count("*").alias("n"))
+    change = days.withColumn("p", F.lag("n").over(Window.orderBy("transaction_date")))  # one row a day
+    merchants = silver.groupBy("merchant_id").agg((F.count_if(F.col("status") == "FAILED") * 100.0 / F.count("*")).alias("f"))
+    methods = silver.groupBy("payment_method").agg(F.count_if(~F.col("payment_method").isin(*KNOWN_METHODS)).alias("n"))
+    as_of = F.lit(ledger.EVENTS_AS_OF).cast("timestamp")
+    parts = [RU.metric(fresh, "freshness_hours", F.col("user_id"), F.round(F.floor((us(as_of) - us(F.col("t"))) / 1e6) / 3600, 4)),
+             RU.metric(runs, "runtime_minutes", F.concat_ws("/", "user_id", "d"), F.round("m", 4)),
+             RU.metric(quality, "quality_pct", F.concat_ws("/", "status", "payment_method"), F.round("q", 6)),
+             RU.metric(days, "daily_row_count", F.col("transaction_date"), F.col("n")),
+             RU.metric(change.where("p is not null"), "row_count_change_pct", F.col("transaction_date"), F.round((F.col("n") - F.col("p")) * 100.0 / F.col("p"), 6)),
+             RU.metric(merchants, "merchant_failure_pct", F.col("merchant_id"), F.round("f", 6)),
+             RU.metric(methods, "unknown_method_rows", F.col("payment_method"), F.col("n"))]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+_RULES_SQL = with_ctes("ev txn silver", f"""
+, days AS (SELECT transaction_date, COUNT(*) AS n FROM silver GROUP BY 1),
+runs AS (SELECT user_id, CAST(ts AS DATE) AS d, FLOOR((epoch_us(MAX(ts)) - epoch_us(MIN(ts))) / 1e6) / 60 AS m FROM ev GROUP BY 1, 2),
+metrics AS (
+  SELECT 'freshness_hours' AS metric, CAST(user_id AS VARCHAR) AS subject, ROUND(FLOOR((epoch_us(TIMESTAMP '{ledger.EVENTS_AS_OF}') - epoch_us(MAX(ts))) / 1e6) / 3600, 4) AS value FROM ev GROUP BY user_id
+  UNION ALL SELECT 'runtime_minutes', user_id || '/' || d, ROUND(m, 4) FROM runs
+  UNION ALL SELECT 'quality_pct', status || '/' || payment_method, ROUND(COUNT(*) FILTER (amount <= {VALID_AMOUNT}) * 100.0 / COUNT(*), 6) FROM txn GROUP BY status, payment_method
+  UNION ALL SELECT 'daily_row_count', CAST(transaction_date AS VARCHAR), n FROM days
+  UNION ALL SELECT 'row_count_change_pct', CAST(transaction_date AS VARCHAR), ROUND((n - p) * 100.0 / p, 6) FROM (SELECT *, LAG(n) OVER (ORDER BY transaction_date) AS p FROM days) WHERE p IS NOT NULL
+  UNION ALL SELECT 'merchant_failure_pct', CAST(merchant_id AS VARCHAR), ROUND(COUNT(*) FILTER (status = 'FAILED') * 100.0 / COUNT(*), 6) FROM silver GROUP BY merchant_id
+  UNION ALL SELECT 'unknown_method_rows', payment_method, COUNT(*) FILTER (payment_method NOT IN ('UPI', 'CREDIT_CARD')) FROM silver GROUP BY payment_method),
+rules(kind, severity, rule, metric, operator, lo, hi) AS (VALUES
+  ('ALERT', 'CRITICAL', 'data_freshness_breached', 'freshness_hours', 'gt', NULL, 24.0), ('ALERT', 'CRITICAL', 'quality_threshold_breached', 'quality_pct', 'lt', 99.9, NULL),
+  ('ALERT', 'CRITICAL', 'row_count_out_of_bounds', 'daily_row_count', 'outside', 17.0, 25.0), ('ALERT', 'WARNING', 'runtime_approaching_limit', 'runtime_minutes', 'band', 108.0, 120.0),
+  ('ALERT', 'WARNING', 'quality_slightly_below_threshold', 'quality_pct', 'band', 99.85, 99.9), ('ALERT', 'WARNING', 'merchant_failure_rate_spike', 'merchant_failure_pct', 'gt', NULL, 30.0),
+  ('ALERT', 'INFO', 'new_payment_method_detected', 'unknown_method_rows', 'gt', NULL, 0.0), ('ALERT', 'INFO', 'row_count_near_bounds', 'daily_row_count', 'near', 17.0, 25.0),
+  ('SLO', 'BREACH', 'data_freshness_slo', 'freshness_hours', 'gt', NULL, 24.0), ('SLO', 'BREACH', 'quality_threshold_slo', 'quality_pct', 'lt', 99.9, NULL),
+  ('SLO', 'BREACH', 'row_count_slo', 'row_count_change_pct', 'outside', -20.0, 20.0), ('SLO', 'BREACH', 'pipeline_runtime_slo', 'runtime_minutes', 'gt', NULL, 120.0)),
+fired AS (SELECT kind, severity, rule, subject, CAST(value AS DOUBLE) AS value, CASE operator WHEN 'gt' THEN value > hi WHEN 'lt' THEN value < lo WHEN 'outside' THEN value < lo OR value > hi
+    WHEN 'band' THEN value >= lo AND value < hi ELSE value BETWEEN lo AND hi AND (value <= lo + 1 OR value >= hi - 1) END AS fired FROM rules JOIN metrics USING (metric))
+""")
+
+
+@register("r10_rule_table", ids=("R10", "R9"), sql=_RULES_SQL + """
+SELECT kind, severity, rule, COUNT(subject) AS subjects, COUNT(*) FILTER (fired) AS fired, MIN(ROUND(value, 4)) FILTER (fired) AS least, MAX(ROUND(value, 4)) FILTER (fired) AS greatest
+FROM fired GROUP BY 1, 2, 3""")
+def q_rule_table(spark, sf):
+    return RU.rule_summary(RU.evaluate(_rule_metrics(spark, sf), RU.rule_table(spark)))
+
+
+@register("r9_slo_breaches", ids=("R9",), sql=_RULES_SQL + "SELECT rule, subject, value FROM fired WHERE kind = 'SLO' AND fired")
+def q_slo_breaches(spark, sf):
+    return RU.evaluate(_rule_metrics(spark, sf), RU.rule_table(spark).where("kind = 'SLO'")).where("fired").select("rule", "subject", "value")

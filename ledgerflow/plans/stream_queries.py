@@ -26,8 +26,7 @@ g AS (SELECT user_id, ws, SUM(value) AS v FROM w GROUP BY 1, 2)
 SELECT user_id, ROUND(MAX(v), 2) AS max_value_4h FROM g GROUP BY user_id"""))
 def q_x3(spark, sf):
     ev = ops.with_event_time(ledger.events(spark, sf))
-    s = ev.groupBy(F.window("ts", "4 hours", "5 minutes").alias("w"), "user_id").agg(F.sum("value").alias("v"))
-    return s.groupBy("user_id").agg(F.round(F.max("v"), 2).alias("max_value_4h"))
+    return ops.sliding(ev, "ts", "4 hours", "5 minutes", ["user_id"]).groupBy("user_id").agg(F.max("value_sum").alias("max_value_4h"))
 
 
 @register("x4_dedup_replayed_events", ids=("X4", "J8"), sql=with_ctes("ev", f"""

@@ -59,6 +59,17 @@ def gateway_feed(silver: DataFrame) -> DataFrame:
                                                            F.col("payment_method").alias("gateway"))
 
 
+def booked_layer(silver: DataFrame) -> DataFrame:
+    """What a partner books of Silver, a layer that drifts from it: nothing on the missing day, 5.00 extra on the
+    disputed day, UPI as WALLET from 1997 on, and the rows of the 2nd of a month once more under a new id."""
+    day, upi = F.dayofmonth("transaction_date"), (F.col("payment_method") == "UPI") & (F.year("transaction_date") >= 1997)
+    amt = F.when(day == GATEWAY_DISPUTED_DAY, F.col("amount") + F.lit(5).cast("decimal(18,2)")).otherwise(F.col("amount"))
+    booked = (silver.where(F.coalesce(day != GATEWAY_MISSING_DAY, F.lit(True)))
+              .withColumn("amount", amt.cast("decimal(18,2)")).withColumn("payment_method", F.when(upi, "WALLET").otherwise(F.col("payment_method"))))
+    again = booked.where(day == 2).withColumn("transaction_id", F.concat("transaction_id", F.lit("-R")))
+    return booked.unionByName(again)
+
+
 def sla_contracts(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(
         SLA_TIERS, "sla_tier string, threshold double, notify_hours int, credit_pct_per_hour double, grace_hours int")

@@ -25,7 +25,12 @@ def tumbling(df: DataFrame, ts: str, size: str, by: Sequence[str] = (), value: s
 
 
 def sliding(df: DataFrame, ts: str, size: str, slide: str, by: Sequence[str] = (), value: str = "value") -> DataFrame:
-    """Sliding windows (each row lands in size/slide windows)."""
+    """Sliding windows. Batch frames are summed by slide first, so that buckets and not rows
+    are copied into their size/slide windows; a stream's rows are, as its state is one aggregate."""
+    if not df.isStreaming:
+        g = (df.groupBy(F.window(ts, slide).start.alias("_b"), *by).agg(F.count(F.lit(1)).alias("n"), F.sum(value).alias("v"))
+             .groupBy(F.window("_b", size, slide).alias("w"), *by).agg(F.sum("n").alias("events"), F.round(F.sum("v"), 2).alias("value_sum")))
+        return g.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *by, "events", "value_sum")
     g = df.groupBy(F.window(ts, size, slide).alias("w"), *by).agg(
         F.count(F.lit(1)).alias("events"), F.round(F.sum(value), 2).alias("value_sum"))
     return g.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *by,

@@ -1,5 +1,5 @@
 """Plan rules over every registered query (planning only): no cartesian
-products, no Python UDFs, nested-loop joins only where declared."""
+products, no Python UDFs, no nested-loop joins."""
 
 import pytest
 
@@ -8,13 +8,10 @@ from ledgerflow.plans.catalog import REGISTRY
 
 from .conftest import SF_SMALL
 
-NESTED_LOOP_OK = {"r11_change_correlation"}   # one-row change table x calendar-bounded alarms
-
 
 @pytest.mark.parametrize("name", sorted(REGISTRY))
 def test_plan_rules(spark, name):
     s = summarise(plan_text(REGISTRY[name].build(spark, SF_SMALL)))
     assert s["cartesian"] == 0
     assert s["python_udf"] == 0
-    if name not in NESTED_LOOP_OK:
-        assert s["nested_loop"] == 0
+    assert s["nested_loop"] == 0
