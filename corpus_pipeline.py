@@ -34,8 +34,11 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document of the smallest id of each group (operator 7). Rows that share an id are one document."""
     found = minmax_dedup(docs.select("doc_id", "text"))
-    gone = found.where("not kept").select(F.col("doc_id").alias("gone")).distinct()
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("gone")), "left_anti")
+    name = "gone"
+    while name.lower() in [c.lower() for c in docs.columns]:
+        name += "_"
+    gone = found.where("not kept").select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col(name)), "left_anti")
 
 
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

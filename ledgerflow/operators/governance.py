@@ -13,19 +13,22 @@ from ..functions.patterns import (HIGH_RATE, LOAD_RESTRICTION, MEDIUM_RATE, NAME
                                   REDACTION_PATTERNS, TIER_ORDER)
 
 
-def pii_match_rates(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+def pii_match_rates(df: DataFrame, columns: Sequence[str] | None = None, weight: str | None = None) -> DataFrame:
     """G1: full-column match rate of every pattern for every column, one scan.
 
     Values are read as strings and trimmed; the rate is over non-null values.
     Columns are unpivoted to (column, value) and all patterns evaluated in one
-    aggregate grouped by column (partial aggregation map-side).
+    aggregate grouped by column (partial aggregation map-side).  ``weight`` names the
+    number of rows that a row of ``df`` stands for: values that repeat much (tokens)
+    are counted first, and the patterns then tried once a value.
     """
-    cols = list(columns or df.columns)
-    long = df.select(*[F.col(c).cast("string") for c in cols]).unpivot([], cols, "column_name", "value") \
+    cols = list(columns or [c for c in df.columns if c != weight])
+    n = F.col(weight) if weight else F.lit(1)
+    long = df.select(*[F.col(c).cast("string") for c in cols], n.alias("_n")).unpivot(["_n"], cols, "column_name", "value") \
              .where(F.col("value").isNotNull()).withColumn("value", F.trim("value"))
-    aggs = [F.count(F.lit(1)).alias("non_null")]
+    aggs = [F.sum("_n").alias("non_null")]
     for name, (rx, _cat, _sens) in PII_PATTERNS.items():
-        aggs.append(F.count_if(F.col("value").rlike(rx)).alias(name))
+        aggs.append(F.sum(F.when(F.col("value").rlike(rx), F.col("_n")).otherwise(0)).alias(name))
     per = long.groupBy("column_name").agg(*aggs)
     parts = [F.struct(F.lit(i).alias("priority"), F.lit(n).alias("pii_type"), F.lit(cat).alias("category"),
                       F.lit(sens).alias("sensitivity"),
@@ -52,7 +55,8 @@ def name_hints(columns: Sequence[str]) -> list[tuple[str, str]]:
     """Dictionary rules on column names (metadata only, no data read)."""
     out = []
     for c in columns:
-        tokens = "_" + "_".join(re.findall("[a-z0-9]+", c.lower())) + "_"
+        # words end at signs, digits and humps: mobileNo, phone1
+        tokens = "_" + "_".join(w.lower() for w in re.findall("[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+", c)) + "_"
         for pii_type, keys in NAME_HINTS.items():
             if any(f"_{k}_" in tokens for k in keys):  # whole words of the name only
                 out.append((c, pii_type))

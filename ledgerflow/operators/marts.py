@@ -205,13 +205,16 @@ def daily_revenue(daily: DataFrame) -> DataFrame:
     return with_lag_change(agg, "transaction_date", "total_gmv", "gmv_day_on_day_change", "gmv_growth_pct")
 
 
-def compliance_daily_summary(silver: DataFrame, review_over: float = 50000.0) -> DataFrame:
+def compliance_daily_summary(silver: DataFrame, report_time: str, review_over: float = 50000.0) -> DataFrame:
     """Per date x method totals over all statuses; rows above the
-    threshold require review."""
+    threshold require review, and a group that has one is flagged. ``report_time`` is the run's."""
+    review = count_when(F.col("amount") > review_over)
     return silver.groupBy("transaction_date", "payment_method").agg(
         F.count(F.lit(1)).alias("txn_count"),
         as_double(F.sum("amount")).alias("total_amount"),
-        count_when(F.col("amount") > review_over).alias("requires_review_count"))
+        review.alias("requires_review_count"),
+        F.when(review > 0, "REQUIRES_REVIEW").otherwise("CLEAR").alias("compliance_flag"),
+        F.lit(report_time).cast("timestamp").alias("report_time"))
 
 
 def fee_analysis(silver: DataFrame, fees: DataFrame) -> DataFrame:
@@ -283,11 +286,11 @@ def marketing_attribution(silver: DataFrame, promotions: DataFrame, channel_cost
 
 
 def customer_segments(silver: DataFrame, as_of: str, days: int = 30) -> DataFrame:
-    """30-day COMPLETED spend -> VIP > 5000, High 1000-5000, Mid 200-1000, Low < 200."""
+    """30-day COMPLETED spend -> VIP > 5000, High 1000-5000, Mid 200-1000, Low < 200;
+    a customer without any spent 0."""
     d = F.to_date(F.lit(as_of))
-    s = silver.where((F.col("status") == COMPLETED) & (F.col("transaction_date") > F.date_sub(d, days))
-                     & (F.col("transaction_date") <= d))
-    g = s.groupBy("customer_id").agg(as_double(F.sum("amount")).alias("spend_30d"))
+    own = (F.col("status") == COMPLETED) & (F.col("transaction_date") > F.date_sub(d, days)) & (F.col("transaction_date") <= d)
+    g = silver.groupBy("customer_id").agg(as_double(sum_when(own, "amount")).alias("spend_30d"), count_when(own).alias("txn_frequency"), d.alias("segment_date"))
     seg = (F.when(F.col("spend_30d") > 5000, "VIP").when(F.col("spend_30d") >= 1000, "High")
            .when(F.col("spend_30d") >= 200, "Mid").otherwise("Low"))
     return g.withColumn("segment", seg)

@@ -51,7 +51,8 @@ def _doc_tokens(spark, sf):
 def q_g1(spark, sf):
     d = read_wide(spark, sf, "documents", ["text", "lang", "source"])
     toks = d.select(F.explode(F.split("text", r"\s+")).alias("text_token"))
-    a = G.pii_match_rates(toks, ["text_token"])
+    counted = toks.groupBy("text_token").agg(F.count(F.lit(1)).alias("n"))  # combined map-side, so a pattern meets a token once
+    a = G.pii_match_rates(counted, ["text_token"], weight="n")
     b = G.pii_match_rates(d.select("lang", "source"), ["lang", "source"])
     return a.unionByName(b)
 

@@ -286,10 +286,12 @@ def q_b4(spark, sf):
 
 @register("b11_compliance_daily_summary", ids=("B11", "A22"), sql=with_ctes("silver", """
 SELECT transaction_date, payment_method, COUNT(*) AS txn_count, CAST(SUM(amount) AS DOUBLE) AS total_amount,
-       COUNT(CASE WHEN amount > 50000 THEN 1 END) AS requires_review_count
+       COUNT(CASE WHEN amount > 50000 THEN 1 END) AS requires_review_count,
+       CASE WHEN COUNT(CASE WHEN amount > 50000 THEN 1 END) > 0 THEN 'REQUIRES_REVIEW' ELSE 'CLEAR' END AS compliance_flag,
+       TIMESTAMP '2001-08-01 02:00:00' AS report_time
 FROM silver GROUP BY 1, 2"""))
 def q_b11(spark, sf):
-    return marts.compliance_daily_summary(silver_df(spark, sf))
+    return marts.compliance_daily_summary(silver_df(spark, sf), AS_OF + " 02:00:00")
 
 
 @register("b12_fee_analysis", ids=("B12", "J11"), sql=with_ctes("silver", """
@@ -366,23 +368,23 @@ def q_b9(spark, sf):
 
 
 @register("b10_customer_segments", ids=("B10",), sql=with_ctes("silver", f"""
-, g AS (SELECT customer_id, CAST(SUM(amount) AS DOUBLE) AS spend_30d FROM silver
-        WHERE status = 'COMPLETED' AND transaction_date > DATE '{AS_OF}' - INTERVAL 30 DAY
-          AND transaction_date <= DATE '{AS_OF}' GROUP BY customer_id)
-SELECT customer_id, spend_30d, CASE WHEN spend_30d > 5000 THEN 'VIP' WHEN spend_30d >= 1000 THEN 'High'
+, g AS (SELECT customer_id, CAST(COALESCE(SUM(amount) FILTER (own), 0) AS DOUBLE) AS spend_30d, COUNT(*) FILTER (own) AS txn_frequency
+        FROM (SELECT *, status = 'COMPLETED' AND transaction_date > DATE '{AS_OF}' - INTERVAL 30 DAY AND transaction_date <= DATE '{AS_OF}' AS own FROM silver)
+        GROUP BY customer_id)
+SELECT customer_id, spend_30d, txn_frequency, DATE '{AS_OF}' AS segment_date, CASE WHEN spend_30d > 5000 THEN 'VIP' WHEN spend_30d >= 1000 THEN 'High'
        WHEN spend_30d >= 200 THEN 'Mid' ELSE 'Low' END AS segment FROM g"""))
 def q_b10(spark, sf):
     return marts.customer_segments(silver_df(spark, sf), AS_OF)
 
 
 @register("b13_reconciliation_summary", ids=("B13", "J9"), sql=with_ctes("silver", """
-, gw AS (SELECT transaction_id,
+, gw AS (SELECT transaction_id, CASE WHEN dayofmonth(transaction_date) = 20 THEN 'OTHER' ELSE payment_method END AS gateway,
                 CASE WHEN dayofmonth(transaction_date) = 15 THEN amount + 5 ELSE amount END AS gw_amount
          FROM silver WHERE dayofmonth(transaction_date) <> 1),
 j AS (SELECT s.payment_method AS gateway, s.amount, gw.gw_amount,
              CASE WHEN gw.transaction_id IS NULL THEN 'MISSING'
                   WHEN ABS(s.amount - gw.gw_amount) > 1 THEN 'DISPUTED' ELSE 'MATCHED' END AS st
-      FROM silver s LEFT JOIN gw ON s.transaction_id = gw.transaction_id)
+      FROM silver s LEFT JOIN gw ON s.transaction_id = gw.transaction_id AND s.payment_method = gw.gateway)
 SELECT gateway, COUNT(*) FILTER (WHERE st = 'MATCHED') AS matched, COUNT(*) FILTER (WHERE st = 'DISPUTED') AS disputed,
        COUNT(*) FILTER (WHERE st = 'MISSING') AS missing,
        CAST(COALESCE(SUM(gw_amount - amount), 0) AS DOUBLE) AS net_variance
@@ -390,7 +392,7 @@ FROM j GROUP BY gateway"""))
 def q_b13(spark, sf):
     s = silver_df(spark, sf)
     led = s.select("transaction_id", "amount", F.col("payment_method").alias("gateway"))
-    return marts.reconcile(led, derived.gateway_feed(s).drop("gateway"))
+    return marts.reconcile(led, derived.gateway_feed(s))
 
 
 @register("w4_rolling_4h_value", ids=("W4",), sql=with_ctes("ev", """

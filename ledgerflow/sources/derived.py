@@ -23,6 +23,7 @@ CHANNEL_COSTS = [("EMAIL", 10000.0), ("SOCIAL", 25000.0), ("SEARCH", 50000.0)]
 # every month (settlement outage) and booked 5.00 extra on the 15th.
 GATEWAY_MISSING_DAY = 1
 GATEWAY_DISPUTED_DAY = 15
+GATEWAY_OTHER_DAY = 20
 
 # SLA contract terms for the rolling 4 h window (two contracts):
 # tier, GMV-loss threshold, notify within hours, credit % per breach hour,
@@ -52,11 +53,11 @@ def promotions(customers: DataFrame) -> DataFrame:
 
 def gateway_feed(silver: DataFrame) -> DataFrame:
     """Gateway settlement file derived from the ledger: nothing booked on the
-    missing day of each month, 5.00 extra on the disputed day."""
+    missing day of each month, 5.00 extra on the disputed day, and on the 20th under another gateway."""
     day = F.dayofmonth("transaction_date")
     amt = F.when(day == GATEWAY_DISPUTED_DAY, F.col("amount") + F.lit(5).cast("decimal(18,2)")).otherwise(F.col("amount"))
     return silver.where(day != GATEWAY_MISSING_DAY).select("transaction_id", amt.alias("amount"),
-                                                           F.col("payment_method").alias("gateway"))
+                                                           F.when(day == GATEWAY_OTHER_DAY, "OTHER").otherwise(F.col("payment_method")).alias("gateway"))
 
 
 def booked_layer(silver: DataFrame) -> DataFrame:

@@ -3,12 +3,13 @@ incremental keyed replace on Parquet."""
 
 from __future__ import annotations
 
+import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from .files import delete_path, path_exists
+from .files import delete_path, path_exists, write_text
 
 
 def merge_insert_only(spark: SparkSession, target_path: str, src: DataFrame, key: str,
@@ -42,6 +43,19 @@ def merge_insert_only(spark: SparkSession, target_path: str, src: DataFrame, key
     return {"attempted": attempted, "loaded": loaded, "skipped": attempted - loaded, "null_keys": null_keys}
 
 
+def _finish_moves(spark: SparkSession, target_path: str, watermark: str, schema) -> None:
+    """Deletes the folders noted before an overwrite that went through; a note of one that did not is dropped."""
+    note_path = f"{target_path.rstrip(chr(47))}.moves"
+    if not path_exists(spark, note_path):
+        return
+    note = json.loads(spark.read.text(note_path, wholetext=True).first()[0])
+    rows = spark.read.schema(schema).parquet(target_path)
+    if note["folders"] and not rows.where(F.col(watermark).cast("string") == F.lit(note["upto"])).isEmpty():
+        for folder in note["folders"]:
+            delete_path(spark, folder, uri=True)
+    delete_path(spark, note_path)
+
+
 def incremental_upsert(spark: SparkSession, target_path: str, src: DataFrame, key: str, watermark: str,
                        partition_col: str) -> dict[str, int]:
     """Incremental model: take source rows with ``watermark`` > max(target
@@ -59,24 +73,30 @@ def incremental_upsert(spark: SparkSession, target_path: str, src: DataFrame, ke
         return (df.where(F.col(key).isNotNull()).groupBy(key).agg(pick.alias("_r"))
                 .select(key, "_r.*").select(*src.columns))
 
+    _finish_moves(spark, target_path, watermark, src.schema)
     if not path_exists(spark, target_path):
         new = one_per_key(src).checkpoint(eager=True)
         new.write.mode("overwrite").partitionBy(partition_col).parquet(target_path)
         return {"new_rows": new.count(), "replaced_rows": 0}
-    tgt = spark.read.parquet(target_path)
+    tgt = spark.read.schema(src.schema).parquet(target_path)  # partition values keep their type: 01 stays a string
     hi = tgt.agg(F.max(watermark)).scalar()
     new = one_per_key(src.where(F.col(watermark) > hi)).checkpoint(eager=True)
     n_new = new.count()
     if n_new == 0:
         return {"new_rows": 0, "replaced_rows": 0}
-    stale = tgt.join(new.select(key), key, "left_semi").select(key, partition_col).checkpoint(eager=True)
+    folder = F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "").alias("_folder")
+    stale = tgt.withColumn("_folder", folder).join(new.select(key), key, "left_semi").select(key, partition_col, "_folder").checkpoint(eager=True)
     part = F.col(partition_col).cast("string")
     touched = new.select(part.alias("_p")).unionByName(stale.select(part.alias("_p"))).distinct().checkpoint(eager=True)
     keep = tgt.join(touched, part.eqNullSafe(F.col("_p")), "left_semi").join(new.select(key), key, "left_anti")
     merged = keep.select(*src.columns).unionByName(new).checkpoint(eager=True)
+    # partitions that lose all rows: a dynamic overwrite does not touch them. Their folders, as the files are
+    # listed, are noted before it, so that a run cut off in between is made good by the next.
+    left = merged.select(part.alias("_p")).distinct()
+    emptied = stale.join(left, part.eqNullSafe(F.col("_p")), "left_anti").select("_folder").distinct()
+    note = {"folders": [r[0] for r in emptied.collect()], "upto": str(new.agg(F.max(F.col(watermark).cast("string"))).first()[0])}
+    write_text(spark, f"{target_path.rstrip(chr(47))}.moves", json.dumps(note))
     (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
            .partitionBy(partition_col).parquet(target_path))
-    emptied = touched.join(merged.select(part.alias("_p")), "_p", "left_anti").where("_p is not null")
-    for r in emptied.collect():  # partitions that lost all rows: a dynamic overwrite does not touch them
-        delete_path(spark, f"{target_path}/{partition_col}={r['_p']}")
+    _finish_moves(spark, target_path, watermark, src.schema)
     return {"new_rows": n_new, "replaced_rows": stale.count()}
