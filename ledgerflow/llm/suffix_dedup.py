@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import wordhash as W
 from .common import NULL_ID, bitmap, cut, groups, in_bitmap, partitions
@@ -286,7 +287,7 @@ def substring_dedup(docs: DataFrame, id: str = "doc_id", text: str = "text", bit
     hit = spark.sparkContext.broadcast(bitmap(found.select(F.xxhash64("id").alias("k")), "k", bits - 2))
     key = F.coalesce(F.col(id).cast("long"), F.lit(NULL_ID))
     schema = docs.schema
-    whole = docs.select(key.alias("id"), F.col(text).alias("text"), F.xxhash64(key).alias("k"), *([] if digest else [F.struct(*docs.columns).alias("row")]))
+    whole = docs.select(key.alias("id"), F.col(text).alias("text"), F.xxhash64(key).alias("k"), *([] if digest else [F.struct(*[F.col(_quoted(c)) for c in docs.columns]).alias("row")]))
 
     def touched(b: pa.RecordBatch, yes: bool) -> pa.RecordBatch:
         """The batch's rows that may have repeats, or the others; without the hash."""
@@ -339,20 +340,27 @@ def substring_dedup(docs: DataFrame, id: str = "doc_id", text: str = "text", bit
                     names.append("row")
                 yield pa.RecordBatch.from_arrays(cols, names=names)
 
-    more = "" if digest else f", row {schema.simpleString()}"
+    def shape(ddl: str, *after: str) -> T.StructType:
+        """Fields, the whole row among them unless digests are asked for."""
+        out = T.StructType.fromDDL(ddl) if ddl else T.StructType()
+        out = out if digest else out.add("row", schema)
+        for name in after:
+            out = out.add(name, T.LongType())
+        return out
+
     extra = [] if digest else ["row"]
-    affected = whole.mapInArrow(hashes, f"id long, text string{more}, h long")
+    affected = whole.mapInArrow(hashes, shape("id long, text string", "h"))
     empty_row = [] if digest else [F.lit(None).cast(schema).alias("row")]
     both = (affected.select("id", "h", "text", F.lit(None).cast("binary").alias("starts"), *extra, F.lit(1).alias("o"))
             .unionByName(found.select("id", "h", F.lit(None).cast("string").alias("text"), "starts", *empty_row, F.lit(0).alias("o"))))
     edited = (both.repartition("id", "h").sortWithinPartitions("id", "h", "o").select("id", "h", "text", "starts", *extra)
-              .mapInArrow(edit, f"id long, n_words long, n_removed long, out string{more}"))
+              .mapInArrow(edit, shape("id long, n_words long, n_removed long, out string")))
     real = F.when(F.col("id") != NULL_ID, F.col("id")).alias(id)
     if digest:
         same = (whole.mapInArrow(plain, "id long, h long, n_words long, sha string")
                 .select("id", "n_words", F.lit(0).cast("long").alias("n_removed"), F.col("sha").alias("out")))
         return edited.unionByName(same).select(real, "n_words", "n_removed", F.col("out").alias("kept_sha256"))
-    same = whole.mapInArrow(plain, more.removeprefix(", "))
+    same = whole.mapInArrow(plain, shape(""))
     changed = edited.select(F.col("row").withField(_quoted(text), F.col("out")).alias("row"))
     return changed.unionByName(same).select("row.*")
 

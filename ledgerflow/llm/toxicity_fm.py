@@ -8,12 +8,13 @@ group can weigh more than either alone.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import wordhash as W
@@ -68,12 +69,86 @@ class Machine:
         return 1 / (1 + np.exp(-np.clip(self.raw(*terms(column)), -40, 40)))
 
 
-def paired(at: np.ndarray, doc: np.ndarray, y: np.ndarray, n: int, raw: np.ndarray) -> np.ndarray:
+@dataclass
+class Screen:
+    """The columns of a 0/1 matrix of texts and terms, texts of one label first, to be multiplied in pairs of blocks."""
+
+    edge: np.ndarray  # where each column's rows begin
+    row: np.ndarray
+    expected: np.ndarray  # of the label, by text
+    have: int  # texts of the label
+    least: float
+
+    def blocks(self) -> int:
+        return -(-(len(self.edge) - 1) // BLOCK)
+
+    def pairs(self) -> int:
+        return self.blocks() * (self.blocks() + 1) // 2
+
+    def dense(self, k: int) -> np.ndarray:
+        x = np.zeros((len(self.expected), BLOCK), np.float32)
+        edge = self.edge[k * BLOCK:(k + 1) * BLOCK + 1]
+        x[self.row[edge[0]:edge[-1]], np.repeat(np.arange(len(edge) - 1), np.diff(edge))] = 1
+        return x
+
+    def sure(self, numbers: range) -> Iterator[np.ndarray]:
+        """The columns that are in a sure pair, of some pairs of blocks by number."""
+        ends = np.cumsum(np.arange(self.blocks(), 0, -1))
+        held, x = -1, np.zeros(0)
+        for number in numbers:
+            k = int(np.searchsorted(ends, number, "right"))
+            m = self.blocks() - int(ends[k] - number)
+            if k != held:
+                held, x = k, self.dense(k)
+                weighted = np.ascontiguousarray((x * self.expected[:, None]).T)
+            z = self.dense(m) if m > k else x
+            hit, want = x[:self.have].T @ z[:self.have], weighted @ z
+            i, j = np.nonzero((hit >= self.least) & (hit > want))
+            ok = (i < j) if m == k else slice(None)
+            i, j = i[ok], j[ok]
+            h, e = hit[i, j].astype(np.float64), want[i, j].astype(np.float64)
+            ok = 2 * h * np.log(h / e) >= SURE ** 2  # it can't be more
+            i, j, h, e = i[ok], j[ok], h[ok], e[ok]
+            for q in range(0, len(i), 512):
+                u, v, hq, eq = i[q:q + 512], j[q:q + 512], h[q:q + 512], e[q:q + 512]
+                rest = (x[self.have:, u] * z[self.have:, v]).sum(0, dtype=np.float64)
+                ratio = 2 * (hq * np.log(hq / eq) + rest * np.log(np.maximum(rest, 1e-9) / np.maximum(hq + rest - eq, 1e-9)))
+                sure = ratio >= SURE ** 2
+                if sure.any():
+                    yield np.unique(np.concatenate([k * BLOCK + u[sure], m * BLOCK + v[sure]]))
+
+
+def _here(screen: Screen) -> np.ndarray:
+    return np.concatenate([np.zeros(0, np.int64), *screen.sure(range(screen.pairs()))])
+
+
+def on_spark(spark: SparkSession) -> Callable[[Screen], np.ndarray]:
+    """Screens pairs of blocks in tasks; what is broadcast, the sample's terms, is bounded by the sample."""
+    def run(screen: Screen) -> np.ndarray:
+        n = screen.pairs()
+        if not n:
+            return np.zeros(0, np.int64)
+        held = spark.sparkContext.broadcast(screen)
+
+        def some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                own = b.column(0).to_numpy()
+                if len(own):
+                    for cols in held.value.sure(range(int(own[0]), int(own[-1]) + 1)):
+                        yield pa.RecordBatch.from_arrays([pa.array(cols)], names=["c"])
+
+        rows = spark.range(0, n, 1, min(n, 48)).mapInArrow(some, "c long").distinct().collect()  # terms of the sample
+        held.unpersist()
+        return np.array(sorted(r[0] for r in rows), np.int64)
+    return run
+
+
+def paired(at: np.ndarray, doc: np.ndarray, y: np.ndarray, n: int, raw: np.ndarray, run: Callable[[Screen], np.ndarray] = _here) -> np.ndarray:
     """Whether each of ``n`` terms is in a pair whose texts have one label surely more often than ``raw`` and the
     whole's share say: a likelihood ratio of ``SURE`` squared. No pair is left out: one that reaches it needs
     ``least`` texts of that label, so do both its terms."""
     found, count = np.zeros(n, bool), np.bincount(at, minlength=n)
-    ones = np.bincount(at, y[doc], n)
+    ones = np.bincount(at[y[doc] == 1], minlength=n)
     texts = np.random.default_rng(1).integers(1, 1 << 62, len(y))
     mark = np.zeros(n, np.int64)
     np.add.at(mark, at, texts[doc])
@@ -83,46 +158,22 @@ def paired(at: np.ndarray, doc: np.ndarray, y: np.ndarray, n: int, raw: np.ndarr
         least = SURE ** 2 / (-2 * np.log(share))
         own = (ones if label else count - ones)[first]
         who = np.flatnonzero(own >= least)
-        expected = np.maximum(1 / (1 + np.exp(-np.clip(raw if label else -raw, -40, 40))), share).astype(np.float32)[:, None]
+        expected = np.maximum(1 / (1 + np.exp(-np.clip(raw if label else -raw, -40, 40))), share).astype(np.float32)
         rows = np.argsort(y != label, kind="stable")
-        have, place = int((y == label).sum()), np.empty(len(y), np.int32)
+        place = np.empty(len(y), np.int32)
         place[rows] = np.arange(len(y), dtype=np.int32)
-        expected = expected[rows]
         col = np.full(n, -1, np.int32)
         col[first[who]] = np.arange(len(who), dtype=np.int32)
         keep = col[at] >= 0
         c, d = col[at[keep]], place[doc[keep]]
         order = np.argsort(c, kind="stable")
-        c, d = c[order], d[order]
-        edge = np.searchsorted(c, np.arange(0, len(who) + BLOCK, BLOCK))
-
-        def block(k: int, c=c, d=d, edge=edge) -> np.ndarray:
-            x, part = np.zeros((len(y), BLOCK), np.float32), slice(edge[k], edge[k + 1])
-            x[d[part], c[part] - k * BLOCK] = 1
-            return x
-
-        for k in range(len(edge) - 1):
-            x = block(k)
-            weighted = np.ascontiguousarray((x * expected).T)
-            for m in range(k, len(edge) - 1):
-                z = block(m) if m > k else x
-                hit, want = x[:have].T @ z[:have], weighted @ z
-                i, j = np.nonzero((hit >= least) & (hit > want))
-                ok = (i < j) if m == k else slice(None)
-                i, j = i[ok], j[ok]
-                h, e = hit[i, j].astype(np.float64), want[i, j].astype(np.float64)
-                ok = 2 * h * np.log(h / e) >= SURE ** 2  # it can't be more
-                i, j, h, e = i[ok], j[ok], h[ok], e[ok]
-                for q in range(0, len(i), 512):
-                    u, v, hq, eq = i[q:q + 512], j[q:q + 512], h[q:q + 512], e[q:q + 512]
-                    rest = (x[have:, u] * z[have:, v]).sum(0, dtype=np.float64)
-                    ratio = 2 * (hq * np.log(hq / eq) + rest * np.log(np.maximum(rest, 1e-9) / np.maximum(hq + rest - eq, 1e-9)))
-                    sure = ratio >= SURE ** 2
-                    found[first[who[k * BLOCK + u[sure]]]] = found[first[who[m * BLOCK + v[sure]]]] = True
+        edge = np.concatenate([[0], np.cumsum(np.bincount(c, minlength=len(who)))])
+        cols = run(Screen(edge, d[order], expected[rows], int((y == label).sum()), float(least)))
+        found[first[who[cols]]] = True
     return found[first][same]
 
 
-def fit(flat: np.ndarray, first: np.ndarray, y: np.ndarray, least: int = LEAST, factors: int = FACTORS, epochs: int = EPOCHS, seed: int = 3) -> Machine:
+def fit(flat: np.ndarray, first: np.ndarray, y: np.ndarray, least: int = LEAST, factors: int = FACTORS, epochs: int = EPOCHS, seed: int = 3, run: Callable[[Screen], np.ndarray] = _here) -> Machine:
     """Adaptive gradient descent on the log loss.
 
     First of terms whose share of label 1 surely differs from the whole's, by ``SURE`` standard deviations in
@@ -132,15 +183,17 @@ def fit(flat: np.ndarray, first: np.ndarray, y: np.ndarray, least: int = LEAST,
     """
     p = (y.sum() + 0.5) / (len(y) + 1.0)
     term, at, n = np.unique(flat, return_inverse=True, return_counts=True)
+    at = at.astype(np.int32)
     doc = np.repeat(np.arange(len(y), dtype=np.int32), np.diff(first))
-    ones = np.bincount(at, y[doc], len(term))
+    ones = np.bincount(at[y[doc] == 1], minlength=len(term))
     if not len(y) or y.min() == y.max():
         return _descend(term[:0], flat, first, y, factors, epochs, seed)
     alone = (n >= least) & (np.abs(ones - n * p) >= SURE * np.sqrt(n * p * (1 - p)))
     rest = n - ones
     alone |= 2 * (ones * np.log(np.maximum(ones, 1) / (n * p)) + rest * np.log(np.maximum(rest, 1) / (n * (1 - p)))) >= SURE ** 2
     machine = _descend(term[alone], flat, first, y, factors, epochs, seed)
-    together = paired(at.astype(np.int32), doc, y, len(term), machine.raw(flat, first))
+    raw = [machine.raw(flat[first[k]:first[min(k + 1024, len(y))]], first[k:k + 1025] - first[k]) for k in range(0, len(y), 1024)]
+    together = paired(at, doc, y, len(term), np.concatenate(raw), run)
     if not (together & ~alone).any():
         return machine
     return _descend(term[alone | together], flat, first, y, factors, epochs, seed)
@@ -194,16 +247,20 @@ def _descend(term: np.ndarray, flat: np.ndarray, first: np.ndarray, y: np.ndarra
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int = SAMPLE, id: str = "doc_id", text: str = "text") -> Machine:
     """Learns from about ``most`` labelled rows at most (documented bound), none held out."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             flat, first = terms(b.column(0))
-            yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(flat, pa.int32())), b.column(1)], names=["x", "y"])
+            sums = np.concatenate([[0], np.cumsum(W.mix(flat.astype(np.uint64)))])
+            mark = (sums[first[1:]] - sums[first[:-1]]).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(flat, pa.int32())), b.column(1), pa.array(mark)], names=["x", "y", "mark"])
 
-    got = sample(docs, labels, label, most, id, text).mapInArrow(run, "x array<int>, y int").toArrow()
-    rows = sorted(((y, x.values.to_numpy()) for c, d in zip(got["x"].chunks, got["y"].chunks, strict=True) for x, y in zip(c, d.to_pylist(), strict=True)), key=lambda r: (r[0], r[1].tobytes()))
-    y = np.array([r[0] for r in rows], np.float64)
-    flat = np.concatenate([r[1] for r in rows] or [np.zeros(0)]).astype(np.int64)
-    return fit(flat, np.concatenate([[0], np.cumsum([len(r[1]) for r in rows])]).astype(np.int64), y)
+    # by label and a hash of the terms, so that the order, and the machine, don't hang on the partitions
+    got = sample(docs, labels, label, most, id, text).mapInArrow(own, "x array<int>, y int, mark long").sort("y", "mark").toArrow()
+    y = got["y"].to_numpy().astype(np.float64)
+    flat = np.concatenate([np.zeros(0, np.int32), *[c.flatten().to_numpy() for c in got["x"].chunks]])
+    first = np.concatenate([[0], np.cumsum(np.concatenate([np.zeros(0, np.int64), *[pc.list_value_length(c).to_numpy() for c in got["x"].chunks]]))]).astype(np.int64)
+    del got
+    return fit(flat, first, y, run=on_spark(docs.sparkSession))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, id: str = "doc_id", text: str = "text") -> DataFrame:

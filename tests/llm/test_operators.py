@@ -56,6 +56,44 @@ def test_minmax(spark, docs):
     assert minmax_dedup(docs.limit(0)).count() == 0
 
 
+def test_substrings_keep_odd_columns(spark):
+    passage = " ".join(f"w{k}" for k in range(30))
+    df = spark.createDataFrame([(1, passage, 5, "x"), (2, "a " + passage, 6, "y")], "doc_id long, text string, `a.b` int, `c``d` string")
+    out = suffix_dedup.substring_dedup(df)
+    assert out.columns == df.columns and {tuple(r) for r in out.collect()} == {(1, passage, 5, "x"), (2, "a ", 6, "y")}
+
+
+def test_machine_is_a_sum_over_pairs():
+    rng = np.random.default_rng(2)
+    m = toxicity_fm.Machine(0.3, np.arange(10, 60, 2), rng.normal(size=25), rng.normal(size=(25, 3)))
+    rows = [np.sort(rng.choice(70, n, replace=False)) for n in (0, 1, 5, 30)]
+    got = m.raw(np.concatenate(rows), np.concatenate([[0], np.cumsum([len(r) for r in rows])]))
+    for x, r in zip(got, rows, strict=True):
+        k = [(h - 10) // 2 for h in r if h in m.term]
+        want = 0.3 + sum(m.weight[i] for i in k) + sum(m.factor[i] @ m.factor[j] for n, i in enumerate(k) for j in k[n + 1:])
+        assert abs(x - want) < 1e-9
+
+
+def test_screen_on_spark_is_the_local_one(spark, monkeypatch):
+    monkeypatch.setattr(toxicity_fm, "BLOCK", 64)
+    rng = np.random.default_rng(4)
+    y = (rng.random(2000) < 0.2).astype(float)
+    x = rng.random((2000, 150)) < 0.2
+    x[:, 7] = x[:, 140] = False
+    x[rng.random(2000) < 0.3, 7] = True
+    x[rng.random(2000) < 0.3, 140] = True
+    y[x[:, 7] & x[:, 140]] = 1
+    doc, at = np.nonzero(x)
+    raw = np.full(2000, -1.4)
+    here = toxicity_fm.paired(at.astype(np.int32), doc, y, 150, raw)
+    assert here[[7, 140]].all()
+    screens = []
+    toxicity_fm.paired(at.astype(np.int32), doc, y, 150, raw, lambda s: screens.append(s) or np.zeros(0, np.int64))
+    for s in screens:
+        parts = [c for n in range(s.pairs()) for c in s.sure(range(n, n + 1))]
+        assert set(np.concatenate([np.zeros(0), *parts])) == set(toxicity_fm._here(s))
+
+
 def test_substrings(docs):
     seen, want = set(), {}
     for k, t in enumerate(texts()):
