@@ -63,6 +63,20 @@ def test_substrings_keep_odd_columns(spark):
     assert out.columns == df.columns and {tuple(r) for r in out.collect()} == {(1, passage, 5, "x"), (2, "a ", 6, "y")}
 
 
+def test_words_learnt_together_are_those_learnt_alone():
+    one, many = (nbest_pieces.Lattice(tokenizer("piece_bpe_32k.model")) for _ in range(2))
+    r = random.Random(6)
+    letters = "abcdeéèñß▁thing0.,-漢\U0001f600\x07"
+    words = ["▁" + "".join(r.choice(letters) for _ in range(r.choice([0, 1, 3, 8, 20, 47, 60]))) for _ in range(6000)] + ["▁", "a", "▁the", "▁" * 5]
+    many.learn(words)
+    assert len(many.known) > 1000
+    for w in words:
+        if w in many.known:
+            assert many.known[w] == one._entry(w), w
+    texts = [" ".join(words[k:k + 40]) for k in range(0, 400, 40)] + [None, ""]
+    assert list(many.encode_all(texts)) == [one.encode(t or "") for t in texts]
+
+
 def test_machine_is_a_sum_over_pairs():
     rng = np.random.default_rng(2)
     m = toxicity_fm.Machine(0.3, np.arange(10, 60, 2), rng.normal(size=25), rng.normal(size=(25, 3)))
