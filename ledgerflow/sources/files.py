@@ -184,8 +184,8 @@ def write_run_metadata(spark: SparkSession, path: str, record: dict) -> None:
 
 
 def write_partner_feed(df: DataFrame, partners: DataFrame, path: str, key: str = "merchant_id") -> None:
-    """One output folder per partner (partner map joined by key; the map is
-    small and size-checked before the broadcast)."""
+    """One output folder per partner (partner map joined by key; whether
+    the map is broadcast is the planner's choice)."""
     out = df.join(partners.select(key, "partner_id"), key, "inner")
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy("partner_id").parquet(path))
