@@ -116,23 +116,29 @@ def key_counts(df: DataFrame, c: str) -> DataFrame:
     return df.groupBy(c).agg(F.count(F.lit(1)).alias("_n"))
 
 
+NULL_SALTS = 64
+
+
 def with_duplicate_flags(df: DataFrame, columns: list[str]) -> DataFrame:
     """Q3: flag every member of a duplicate group (keep=False semantics; NULLs
     duplicate each other).
 
-    One grouped count per column serves everything: the duplicated non-null
-    keys are joined back (the key side has one row per key; AQE skew-join
-    splits a hot key on the row side) and the NULL group's size is read as a
-    scalar, so NULL rows never meet in one join task.
+    Two scans a column: one grouped count gives the keys seen more than once (one row a
+    key; AQE skew-join splits a hot one on the row side), and the rows join them.  The NULL group is
+    one of those keys: it is repeated ``NULL_SALTS`` times and NULL rows pick a copy by
+    their hash, so they never meet in one join task.
     """
     out = df
+    hashed = [c for c, t in df.dtypes if "map<" not in t and "variant" not in t]
     for c in columns:
-        g = key_counts(df, c)
-        dups = g.where(F.col(c).isNotNull() & (F.col("_n") > 1)).select(c, F.lit(True).alias(_dup_col(c)))
-        nulls = g.where(F.col(c).isNull()).agg(F.coalesce(F.sum("_n"), F.lit(0))).scalar()
-        out = (out.join(dups, c, "left")
-               .withColumn(_dup_col(c), F.when(F.col(c).isNull(), nulls > 1)
-                           .otherwise(F.coalesce(F.col(_dup_col(c)), F.lit(False)))))
+        key, dup = "__key_" + c, _dup_col(c)
+        some = F.concat(F.lit("="), F.col(c).cast("string"))
+        row_salt = F.concat(F.lit("~"), F.pmod(F.xxhash64(*hashed), F.lit(NULL_SALTS)).cast("string"))
+        all_salts = F.transform(F.sequence(F.lit(0), F.lit(NULL_SALTS - 1)), lambda i: F.concat(F.lit("~"), i.cast("string")))
+        dups = key_counts(df, c).where(F.col("_n") > 1).select(
+            F.explode(F.when(F.col(c).isNull(), all_salts).otherwise(F.array(some))).alias(key), F.lit(True).alias(dup))
+        out = (out.withColumn(key, F.coalesce(some, row_salt)).join(dups, key, "left")
+               .withColumn(dup, F.coalesce(F.col(dup), F.lit(False))).drop(key))
     return out
 
 
@@ -150,48 +156,79 @@ def flag_rows(df: DataFrame, checks: list[Check]) -> tuple[DataFrame, list[tuple
 
 def run_suite(df: DataFrame, checks: list[Check]) -> DataFrame:
     """Q13: one row per check (check, column, severity, failed_row_count,
-    observed_value, passed, error) from a single aggregate over the data."""
-    flagged, row_cols = flag_rows(df, checks)
+    observed_value, passed, error) from one scan of the data.
+
+    Duplicate figures need the rows per value.  If one is asked for, the other checks' partial sums
+    ride along in that grouped count (per value, combined map-side), and a second aggregate adds
+    up both; with several such columns a row is counted once per column and the
+    other checks see its first copy only.  Without one it is a single aggregate."""
     present = set(df.columns)
-    aggs: list[Column] = [F.count(F.lit(1)).alias("__rows")]
-    for _chk, name in row_cols:
-        aggs.append(F.count_if(F.col(name)).alias(name + "_n"))
-    ds = []
-    for i, chk in enumerate(checks):
-        if chk.kind not in DATASET_KINDS or (chk.column and chk.column not in present):
-            continue
-        a = f"__ds_{i}"
-        c = F.col(chk.column) if chk.column else None
-        if chk.kind == "row_count_between":
-            expr = F.count(F.lit(1)).cast("double")
-        elif chk.kind == "mean_between":
-            expr = F.avg(parse_double(chk.column))
-        elif chk.kind == "min_at_least":
-            expr = F.min(parse_double(chk.column))
-        elif chk.kind == "duplicate_count_max":      # Q9: count - distinct (filled below)
-            expr = F.lit(None).cast("double")
-        elif chk.kind == "missing_count_max":
-            expr = F.count_if(is_blank(c)).cast("double")
-        elif chk.kind == "invalid_count_max":
-            expr = F.count_if(c.isNotNull() & ~c.cast("string").isin(*chk.params["values"])).cast("double")
-        elif chk.kind == "duplicate_values_max":     # Q11: distinct values seen more than once
-            expr = F.lit(None).cast("double")       # filled below from a grouped count
-        aggs.append(expr.alias(a))
-        ds.append((chk, a))
-    row = flagged.agg(*aggs)
-    for chk, a in ds:
-        if chk.kind == "duplicate_count_max":
-            # grouped count (map-side combined) instead of a distinct expansion of every row
-            g = key_counts(df, chk.column).where(F.col(chk.column).isNotNull())
-            row = row.withColumn(a, g.agg((F.coalesce(F.sum("_n"), F.lit(0)) - F.count(F.lit(1)))
-                                          .cast("double")).scalar())
-        if chk.kind == "duplicate_values_max":
-            dv = (key_counts(df, chk.column).where(F.col(chk.column).isNotNull() & (F.col("_n") > 1))
-                  .agg(F.count(F.lit(1)).cast("double")).scalar())
-            row = row.withColumn(a, dv)
+    usable = [c for c in checks if c.column is None or c.column in present]
+    row_cols = [(c, f"__fail_{i}") for i, c in enumerate(usable) if c.kind in ROW_KINDS]
+    ds = [(c, f"__ds_{i}") for i, c in enumerate(usable) if c.kind in DATASET_KINDS]
+    keyed = ("unique", "duplicate_count_max", "duplicate_values_max")
+    keys = sorted({c.column for c, _ in row_cols + ds if c.kind in keyed})
+
+    # per row: a flag or number per check; then (partial, total) aggregates of it
+    cols, partial, total = [F.lit(1).alias("__one")], [F.count("__one").alias("__rows")], [F.sum("__rows").alias("__rows")]
+
+    def counted(cond: Column, name: str) -> None:
+        cols.append(cond.alias(name))
+        partial.append(F.count_if(F.col(name)).alias(name))
+        total.append(F.sum(name).alias(name))
+
+    for c, name in row_cols:
+        if c.kind != "unique":
+            counted(_row_fail(df, c), name)
+    for c, name in ds:
+        col = F.col(c.column) if c.column else None
+        if c.kind == "missing_count_max":
+            counted(is_blank(col), name)
+        elif c.kind == "invalid_count_max":
+            counted(col.isNotNull() & ~col.cast("string").isin(*c.params["values"]), name)
+        elif c.kind == "mean_between":
+            cols.append(parse_double(c.column).alias(name))
+            partial += [F.sum(name).alias(name + "s"), F.count(name).alias(name + "c")]
+            total.append(F.try_divide(F.sum(name + "s"), F.sum(name + "c")).alias(name))
+        elif c.kind == "min_at_least":
+            cols.append(parse_double(c.column).alias(name))
+            partial.append(F.min(name).alias(name))
+            total.append(F.min(name).alias(name))
+        elif c.kind == "row_count_between":
+            total.append(F.sum("__rows").alias(name))
+    if len(keys) > 1:
+        slim = df.select(*cols, *[F.col(k).cast("string").alias(f"__key{j}") for j, k in enumerate(keys)])
+        rest = [n for n in slim.columns if not n.startswith("__key")]
+        copies = F.array(*[F.struct(F.lit(j).alias("__tag"), F.col(f"__key{j}").alias("__key"),
+                                    *[(F.col(n) if j == 0 else F.when(F.lit(False), F.col(n))).alias(n) for n in rest])
+                           for j in range(len(keys))])
+        grouped = slim.select(F.inline(copies)).groupBy("__tag", "__key")
+    elif keys:
+        grouped = df.select(*cols, F.lit(0).alias("__tag"), F.col(keys[0]).alias("__key")).groupBy("__tag", "__key")
+    else:
+        grouped = df.select(*cols).groupBy()
+    if keys:
+        # copies beyond the first have no row flags, so the row count is of __one, the group's size of its rows
+        per = grouped.agg(F.count(F.lit(1)).alias("_n"), *partial)
+        for c, name in row_cols + ds:
+            here = F.col("__tag") == (keys.index(c.column) if c.kind in keyed else 0)
+            some = here & F.col("__key").isNotNull()
+            if c.kind == "unique":
+                total.append(F.sum(F.when(here & (F.col("_n") > 1), F.col("_n"))).alias(name))
+            elif c.kind == "duplicate_count_max":    # Q9: count - distinct
+                total.append(F.sum(F.when(some, F.col("_n") - 1)).alias(name))
+            elif c.kind == "duplicate_values_max":   # Q11: distinct values seen more than once
+                total.append(F.count_if(some & (F.col("_n") > 1)).alias(name))
+    else:
+        per = grouped.agg(*partial)
+    row = per.agg(*total)
+    numbers = {n for c, n in ds if c.kind in ("mean_between", "min_at_least")}
+    row = row.select(*[F.col(n) if n in numbers else F.coalesce(F.col(n), F.lit(0)).cast("bigint").alias(n)
+                       for n in row.columns])
+    row = row.select(*[F.col(n) for n in row.columns if n not in {m for _, m in ds}], *[F.col(n).cast("double").alias(n) for _, n in ds])
     structs = []
     for chk, name in row_cols:
-        n = F.col(name + "_n")
+        n = F.col(name)
         structs.append(F.struct(F.lit(chk.label).alias("check_name"), F.lit(chk.column).alias("column_name"),
                                 F.lit(chk.severity).alias("severity"), n.alias("failed_row_count"),
                                 F.lit(None).cast("double").alias("observed_value"), (n == 0).alias("passed"),
@@ -266,44 +303,48 @@ def load_decision(total: Column, quarantined: Column, critical_failed: Column) -
 # Q1 profile, Q18 scorecard
 # ---------------------------------------------------------------------------
 
+def value_counts(df: DataFrame) -> DataFrame:
+    """Q1: rows per (column, value as text), NULL a value like any other: one scan, combined map-side."""
+    cols = df.columns
+    long = df.select(*[F.col(c).cast("string").alias(c) for c in cols]).unpivot([], cols, "column_name", "value")
+    return long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("_n"))
+
+
 def profile(df: DataFrame) -> DataFrame:
-    """Q1: per-column profile, one row per column.
+    """Q1: per-column profile, one row per column (zero counts for a table without rows).
 
     null = NULL or blank; unique = distinct non-null values; numeric when more
     than half the rows parse as numbers, then min / max / mean / negatives.
-    Plain aggregates run in one pass without distinct expansion; distinct
-    counts come from one unpivot -> (column, value) grouping (map-side
-    combined), instead of one Expand copy of every row per column.
+    All of it comes from one count per (column, value), added up per column.
     """
-    cols = df.columns
-    aggs = [F.count(F.lit(1)).alias("__n")]
-    for i, c in enumerate(cols):
-        s = F.col(c).cast("string")
-        num = parse_double(c)
-        aggs += [F.count_if(is_blank(s)).alias(f"n{i}"), F.count(num).alias(f"p{i}"),
-                 F.min(num).alias(f"mn{i}"), F.max(num).alias(f"mx{i}"),
-                 F.avg(num).alias(f"av{i}"), F.count_if(num < 0).alias(f"ng{i}")]
-    row = df.agg(*aggs)
-    long = df.select(*[F.col(c).cast("string") for c in cols]).unpivot([], cols, "column_name", "value")
-    uniq = (long.where(F.col("value").isNotNull()).select("column_name", "value").distinct()
-            .groupBy("column_name").agg(F.count(F.lit(1)).alias("unique_count")))
-    rows = []
-    for i, c in enumerate(cols):
-        n = F.col("__n")
-        numeric = F.col(f"p{i}") > n * 0.5
-        rows.append(F.struct(
-            F.lit(c).alias("column_name"), F.lit(df.schema[c].dataType.simpleString()).alias("dtype"),
-            n.alias("total_rows"), F.col(f"n{i}").alias("null_count"),
-            pct_exact(F.col(f"n{i}"), n, 1).alias("null_pct"),
-            F.when(numeric, "numeric").otherwise("string").alias("inferred_type"),
-            F.when(numeric, F.col(f"mn{i}")).alias("min_value"), F.when(numeric, F.col(f"mx{i}")).alias("max_value"),
-            F.when(numeric, F.round(F.col(f"av{i}"), 2)).alias("mean_value"),
-            F.when(numeric, F.col(f"ng{i}")).alias("negative_count")))
-    per = row.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
-    # one row per column on each side: the join is bounded by the column count
-    out = per.join(F.broadcast(uniq), "column_name", "left").withColumn(
-        "unique_count", F.coalesce("unique_count", F.lit(0)).cast("bigint"))
-    return out.withColumn("uniqueness_pct", pct_exact(F.col("unique_count"), F.col("total_rows"), 1))
+    known = df.sparkSession.createDataFrame([(c, df.schema[c].dataType.simpleString()) for c in df.columns],
+                                            "column_name string, dtype string")
+    num, rows, nulls = F.col("_num"), F.col("total_rows"), F.col("null_count")
+    per = (value_counts(df).withColumn("_num", parse_double("value")).groupBy("column_name").agg(
+        F.sum("_n").alias("total_rows"), F.coalesce(F.sum(F.when(is_blank(F.col("value")), F.col("_n"))), F.lit(0)).alias("null_count"),
+        F.count("value").alias("unique_count"), F.coalesce(F.sum(F.when(num.isNotNull(), F.col("_n"))), F.lit(0)).alias("_parsed"),
+        F.min(num).alias("_min"), F.max(num).alias("_max"), F.sum(num * F.col("_n")).alias("_sum"),
+        F.coalesce(F.sum(F.when(num < 0, F.col("_n"))), F.lit(0)).alias("_neg")))
+    row = known.join(per, "column_name", "left").fillna(0, ["total_rows", "null_count", "unique_count", "_parsed", "_neg"])
+    numeric = F.col("_parsed") > rows * 0.5
+    return row.select(
+        "column_name", "dtype", "total_rows", "null_count", pct_exact(nulls, rows, 1).alias("null_pct"),
+        F.when(numeric, "numeric").otherwise("string").alias("inferred_type"),
+        F.when(numeric, F.col("_min")).alias("min_value"), F.when(numeric, F.col("_max")).alias("max_value"),
+        F.when(numeric, F.round(F.col("_sum") / F.col("_parsed"), 2)).alias("mean_value"),
+        F.when(numeric, F.col("_neg")).alias("negative_count"), "unique_count",
+        pct_exact(F.col("unique_count"), rows, 1).alias("uniqueness_pct"))
+
+
+def top_values(df: DataFrame, k: int = 5) -> DataFrame:
+    """Q1: the ``k`` most frequent non-blank values per column (ties: smaller text), with rank and share.
+    Spark cuts each map task to ``k`` rows a column before the ranking's shuffle."""
+    counts = value_counts(df)
+    total = df.agg(F.count(F.lit(1))).scalar()
+    w = Window.partitionBy("column_name").orderBy(F.desc("_n"), "value")
+    return (counts.where(~is_blank(F.col("value"))).withColumn("value_rank", F.row_number().over(w))
+            .where(F.col("value_rank") <= k)
+            .select("column_name", "value_rank", "value", F.col("_n").alias("n"), pct_exact(F.col("_n"), total, 1).alias("share_pct")))
 
 
 def pct_exact(num: Column, den: Column, digits: int) -> Column:

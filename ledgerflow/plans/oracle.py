@@ -91,3 +91,19 @@ CTES["booked"] = """
   FROM silver, (VALUES (''), ('-R')) x(suffix)
   WHERE COALESCE(day(transaction_date) <> 1, TRUE) AND (x.suffix = '' OR day(transaction_date) = 2)"""
 _DEPS["booked"] = ("silver",)
+
+CTES["dirty"] = """
+  SELECT src_seq, CASE k WHEN 0 THEN '' WHEN 1 THEN NULL ELSE transaction_id END AS transaction_id,
+         CASE k WHEN 2 THEN '-' || amount WHEN 3 THEN '0.00' WHEN 4 THEN regexp_replace(CAST(amount AS VARCHAR), '^(\\d+)(\\d{3}\\.)', '\\1,\\2')
+                WHEN 5 THEN ' ' WHEN 6 THEN 'n/a' WHEN 7 THEN '99999999.00' ELSE CAST(amount AS VARCHAR) END AS amount,
+         CASE k WHEN 11 THEN lower(status) WHEN 12 THEN 'REFUNDED' ELSE status END AS status,
+         CASE k WHEN 18 THEN 'TEST_' || merchant_id ELSE CAST(merchant_id AS VARCHAR) END AS merchant_id, CAST(customer_id AS VARCHAR) AS customer_id,
+         CASE k WHEN 8 THEN replace(CAST(transaction_date AS VARCHAR), '-', '/') WHEN 9 THEN '99-99-9999' WHEN 10 THEN '2090-05-05'
+                ELSE CAST(transaction_date AS VARCHAR) END AS transaction_date,
+         payment_method, CASE k WHEN 13 THEN ' ' ELSE merchant_name END AS merchant_name, city,
+         CASE k WHEN 14 THEN 'IND' WHEN 15 THEN 'XYZ' WHEN 16 THEN NULL WHEN 17 THEN 'US$' ELSE CASE WHEN customer_id % 5 = 0 THEN 'USD' ELSE 'INR' END END AS currency,
+         CASE WHEN customer_id % 2 = 0 THEN 'agreed' END AS note
+  FROM (SELECT t.*, m.merchant_name, m.city, (t.src_seq * 31 + t.customer_id * 7 + t.merchant_id) % 400 AS k
+        FROM txn t LEFT JOIN merchants m ON t.merchant_id = m.merchant_id) b, (VALUES (1), (2)) x(copy)
+  WHERE copy = 1 OR k = 20"""
+_DEPS["dirty"] = ("txn", "merchants")

@@ -98,3 +98,34 @@ def bronze_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     cols = ["transaction_id", "amount", "status", "merchant_id", "customer_id", "transaction_date",
             "payment_method", "merchant_name", "city"]
     return j.select(*[F.col(c).cast("string").alias(c) for c in cols])
+
+
+def dirty_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw ledger as a careless upstream would send it: ``bronze_enriched`` with a currency and a note, where
+    each of the faults below hits one row in 400 (picked by the row's own keys) and a few rows come twice."""
+    t = transactions(spark, sf_dir)
+    m = merchants(spark, sf_dir).select("merchant_id", "merchant_name", "city")
+    k = F.pmod(F.col("src_seq") * 31 + F.col("customer_id") * 7 + F.col("merchant_id"), F.lit(400))
+    b = t.join(m, "merchant_id", "left").withColumn("k", k)
+
+    def swap(column, *faults):
+        out = F.col(column).cast("string")
+        for n, value in faults:
+            out = F.when(F.col("k") == n, value).otherwise(out)
+        return out.alias(column)
+
+    amount, date = F.col("amount").cast("string"), F.col("transaction_date").cast("string")
+    comma = F.regexp_replace(amount, r"^(\d+)(\d{3}\.)", "$1,$2")
+    b = b.withColumn("currency", F.when(F.pmod("customer_id", F.lit(5)) == 0, "USD").otherwise("INR"))
+    b = b.withColumn("note", F.when(F.pmod("customer_id", F.lit(2)) == 0, "agreed"))
+    rows = b.select(
+        "k", "src_seq", swap("transaction_id", (0, F.lit("")), (1, F.lit(None))),
+        swap("amount", (2, F.concat(F.lit("-"), amount)), (3, F.lit("0.00")), (4, comma), (5, F.lit(" ")), (6, F.lit("n/a")),
+             (7, F.lit("99999999.00"))),
+        swap("status", (11, F.lower("status")), (12, F.lit("REFUNDED"))),
+        swap("merchant_id", (18, F.concat(F.lit("TEST_"), F.col("merchant_id").cast("string")))), F.col("customer_id").cast("string").alias("customer_id"),
+        swap("transaction_date", (8, F.translate(date, "-", "/")), (9, F.lit("99-99-9999")), (10, F.lit("2090-05-05"))),
+        "payment_method", swap("merchant_name", (13, F.lit(" "))), "city",
+        swap("currency", (14, F.lit("IND")), (15, F.lit("XYZ")), (16, F.lit(None)), (17, F.lit("US$"))), "note")
+    copies = F.sequence(F.lit(1), F.when(F.col("k") == 20, 2).otherwise(1))
+    return rows.withColumn("copy", F.explode(copies)).drop("k", "copy")
