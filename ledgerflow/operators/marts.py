@@ -28,6 +28,25 @@ def stage_transactions(txn: DataFrame, test_prefix_like: str = "TEST_%", literal
             .where(~F.coalesce(test, F.lit(False))))
 
 
+def stage_typed(txn: DataFrame, loaded_at: str) -> DataFrame:
+    """P2 in full: codes and ids lower-cased, amount DECIMAL(10,2), date DATE (NULL where the text is neither), rows
+    without a merchant and test merchants dropped, load time added."""
+    lowered = ["transaction_id", "status", "merchant_id", "customer_id", "payment_method"]
+    staged = stage_transactions(txn).where(F.col("merchant_id").isNotNull())
+    for c in lowered:
+        staged = staged.withColumn(c, F.lower(F.col(c).cast("string")))
+    return staged.select(
+        "transaction_id", F.expr("try_cast(amount AS DECIMAL(10,2))").alias("amount"), "status", "merchant_id", "customer_id",
+        F.expr("try_to_date(CAST(transaction_date AS STRING), 'yyyy-MM-dd')").alias("transaction_date"), "payment_method",
+        F.to_timestamp(F.lit(loaded_at)).alias("loaded_at"))
+
+
+def stage(df: DataFrame, columns: dict[str, str], key: str, loaded_at: str) -> DataFrame:
+    """Pick and rename columns (new name: source column), drop rows whose ``key`` is NULL, add the load time."""
+    return df.where(F.col(key).isNotNull()).select(
+        *[F.col(old).alias(new) for new, old in columns.items()], F.to_timestamp(F.lit(loaded_at)).alias("_loaded_at"))
+
+
 def merchant_kpis(staged: DataFrame, merchants: DataFrame) -> DataFrame:
     """A4: per-merchant KPIs, aggregated before the (inner) join to the dim."""
     agg = staged.groupBy("merchant_id").agg(

@@ -106,6 +106,11 @@ def _row_fail(df: DataFrame, chk: Check) -> Column | None:
     return None
 
 
+def quoted(c: str) -> str:
+    """A column name as an expression, dots and back quotes included."""
+    return "`" + c.replace("`", "``") + "`"
+
+
 def _dup_col(c: str) -> str:
     return f"__dup_{c}"
 
@@ -129,7 +134,7 @@ def with_duplicate_flags(df: DataFrame, columns: list[str]) -> DataFrame:
     their hash, so they never meet in one join task.
     """
     out = df
-    hashed = [c for c, t in df.dtypes if "map<" not in t and "variant" not in t]
+    hashed = [quoted(c) for c, t in df.dtypes if "map<" not in t and "variant" not in t]
     for c in columns:
         key, dup = "__key_" + c, _dup_col(c)
         some = F.concat(F.lit("="), F.col(c).cast("string"))
@@ -271,7 +276,7 @@ def quarantine_split(df: DataFrame, checks: list[Check], run_ts: str,
     reasons = F.array_compact(F.array(*[F.when(F.col(n), F.lit(f"{c.name or c.kind}:{c.column}"))
                                         for c, n in sel])) if sel else F.array().cast("array<string>")
     tagged = flagged.withColumn("_reasons", reasons)
-    base = list(df.columns)
+    base = [quoted(c) for c in df.columns]
     clean = tagged.where(F.size("_reasons") == 0).select(*base)
     quarantined = tagged.where(F.size("_reasons") > 0).select(
         *base, F.concat_ws("; ", "_reasons").alias("_quarantine_reason"),
@@ -386,6 +391,26 @@ def scorecard(df: DataFrame, run_date: str, required: list[str], key: str,
                       ((F.lit(schema_match) == 0) & (score >= 60)).alias("schema_alert"))
 
 
+def column_null_rates(df: DataFrame, run_date: str) -> DataFrame:
+    """Q18: null rate per column (NULL or blank), one aggregate turned into rows; an empty table has NULL rates."""
+    cols = df.columns
+    row = df.agg(F.count(F.lit(1)).alias("_n"), *[F.count_if(is_blank(F.col(c))).alias(f"_{i}") for i, c in enumerate(cols)])
+    per = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"_{i}").alias("nulls")) for i, c in enumerate(cols)])
+    return row.select(F.to_date(F.lit(run_date)).alias("run_date"), "_n", F.inline(per)).select(
+        "run_date", "column_name", "nulls", F.round(F.try_divide(F.col("nulls").cast("double"), F.col("_n")), 6).alias("null_rate"))
+
+
+def load_decisions(df: DataFrame, checks: list[Check], by: str, severities: tuple[str, ...] = ("critical",)) -> DataFrame:
+    """Q16 per part of a load (a day, a source): row checks in one grouped count, one decision a part."""
+    flagged, row_cols = flag_rows(df, checks)
+    bad = F.lit(False)
+    for c, n in row_cols:
+        if c.severity in severities:
+            bad = bad | F.col(n)
+    per = flagged.groupBy(by).agg(F.count(F.lit(1)).alias("total_rows"), F.count_if(bad).alias("quarantined_rows"))
+    return per.select("*", *load_decision(F.col("total_rows"), F.col("quarantined_rows"), F.col("quarantined_rows") > 0))
+
+
 def require_columns(df: DataFrame, required: list[str]) -> DataFrame:
     """Q19: raise with the missing set when required columns are absent."""
     missing = sorted(set(required) - set(df.columns))
@@ -483,6 +508,11 @@ def auto_fix(df: DataFrame, amount_col: str = "amount", date_col: str = "transac
     return out
 
 
+def fix_log(fixed: DataFrame) -> DataFrame:
+    """Q15: rows affected per fix that ``auto_fix`` noted."""
+    return fixed.select(F.explode("_fixes").alias("fix")).groupBy("fix").agg(F.count(F.lit(1)).alias("rows_affected"))
+
+
 # Date formats tried in order, currency aliases, valid codes.
 DATE_FORMATS = ["yyyy-MM-dd", "yyyy/MM/dd", "dd-MM-yyyy", "dd/MM/yyyy"]
 CURRENCY_ALIASES = {"IND": "INR", "RS": "INR", "US$": "USD"}
@@ -659,7 +689,7 @@ def claim_check(claims: DataFrame, actual: DataFrame, tolerance: float = 0.01, m
 
 
 # ---------------------------------------------------------------------------
-# A24 decision accuracy, R14 repair dispatcher
+# A24 decision accuracy
 # ---------------------------------------------------------------------------
 
 def decision_accuracy(decisions: DataFrame, expected_col: str = "expected", got_col: str = "decision",
@@ -669,53 +699,3 @@ def decision_accuracy(decisions: DataFrame, expected_col: str = "expected", got_
         F.round(F.avg(F.when(F.col(expected_col) == F.col(got_col), 1.0).otherwise(0.0)), 4).alias("accuracy"),
         F.count(F.lit(1)).alias("decisions"),
         F.sum(latency_col).alias("total_latency_ms"), F.sum(tokens_col).alias("total_tokens"))
-
-
-REPAIRS = ("drop_bad_rows", "fill_default", "add_column", "cast_column", "escalate")
-
-
-def self_heal(df: DataFrame, checks: list[Check], target=None, max_attempts: int = 3,
-              defaults: dict | None = None) -> tuple[DataFrame, list[dict]]:
-    """Failure-catalogue repair loop, at most ``max_attempts`` rounds.
-
-    Each round runs the suite (one aggregate), picks one repair for the first
-    failing check (add missing column / cast numeric / fill default / drop
-    rows failing a critical check), applies it as DataFrame ops and
-    re-validates; unresolved failures escalate."""
-    from .schema import conform
-    log: list[dict] = []
-    cur = df
-    defaults = defaults or {}
-    for attempt in range(1, max_attempts + 1):
-        res = sorted((r for r in run_suite(cur, checks).collect() if not r.passed),
-                     key=lambda r: r.error is None)          # schema errors first
-        if not res:
-            log.append({"attempt": attempt, "action": "validated"})
-            return cur, log
-        r = res[0]
-        if r.error and target is not None:
-            cur, action = conform(cur, target), "add_column"
-        elif r.check_name == _BETWEEN_NAME and r.column_name in cur.columns:
-            cur = cur.withColumn(r.column_name, F.coalesce(parse_double(r.column_name), F.lit(0.0)))
-            action = "cast_column"
-        elif r.check_name == _NOT_NULL_NAME and r.column_name in defaults:
-            cur = cur.withColumn(r.column_name, F.coalesce(blank_or(r.column_name), F.lit(defaults[r.column_name])))
-            action = "fill_default"
-        elif r.severity == "critical" and r.failed_row_count:
-            clean, _bad = quarantine_split(cur, checks, "1970-01-01 00:00:00")
-            cur, action = clean, "drop_bad_rows"
-        else:
-            log.append({"attempt": attempt, "action": "escalate", "check": r.check_name, "column": r.column_name})
-            return cur, log
-        log.append({"attempt": attempt, "action": action, "check": r.check_name, "column": r.column_name})
-    log.append({"attempt": max_attempts, "action": "escalate"})
-    return cur, log
-
-
-_BETWEEN_NAME = "expect_column_values_to_be_between"
-_NOT_NULL_NAME = "expect_column_values_to_not_be_null"
-
-
-def blank_or(c: str) -> Column:
-    from ..functions.exprs import blank_to_null
-    return blank_to_null(F.col(c))

@@ -168,17 +168,20 @@ def incident_summary(gap: DataFrame, window: DataFrame, breaches: DataFrame) ->
 # P11 routing and R1 recovery composition
 # ---------------------------------------------------------------------------
 
-def route_clean_quarantine(df: DataFrame, id_col: str = "transaction_id", amount_col: str = "amount",
-                           date_col: str = "transaction_date") -> tuple[DataFrame, DataFrame]:
-    """clean = id present, amount > 0, date shaped YYYY-MM-DD; otherwise
-    quarantined with the first failing reason."""
+def quarantine_reason(id_col: str = "transaction_id", amount_col: str = "amount", date_col: str = "transaction_date") -> Column:
+    """First reason a row is not clean (id present, amount > 0, date shaped YYYY-MM-DD), NULL for a clean one."""
     from ..functions.exprs import is_blank
     amt = F.expr(f"try_cast(CAST(`{amount_col}` AS STRING) AS DOUBLE)")
-    reason = (F.when(is_blank(F.col(id_col)), "missing_id")
-              .when(F.coalesce(amt <= 0, F.lit(True)), "non_positive_amount")
-              .when(~F.coalesce(F.col(date_col).cast("string").rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), F.lit(False)),
-                    "bad_date_format"))
-    tagged = df.withColumn("_quarantine_reason", reason)
+    return (F.when(is_blank(F.col(id_col)), "missing_id")
+            .when(F.coalesce(amt <= 0, F.lit(True)), "non_positive_amount")
+            .when(~F.coalesce(F.col(date_col).cast("string").rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), F.lit(False)),
+                  "bad_date_format"))
+
+
+def route_clean_quarantine(df: DataFrame, id_col: str = "transaction_id", amount_col: str = "amount",
+                           date_col: str = "transaction_date") -> tuple[DataFrame, DataFrame]:
+    """Clean rows, and the others with their ``quarantine_reason``."""
+    tagged = df.withColumn("_quarantine_reason", quarantine_reason(id_col, amount_col, date_col))
     return (tagged.where(F.col("_quarantine_reason").isNull()).drop("_quarantine_reason"),
             tagged.where(F.col("_quarantine_reason").isNotNull()))
 

@@ -1,4 +1,4 @@
-"""Fixture tests: decision accuracy, self-heal loop, PII surface, producer check,
+"""Fixture tests: decision accuracy, PII surface, producer check,
 custom order, unions, schema set ops, hourly JSON sink, late rows."""
 
 import os
@@ -22,19 +22,6 @@ def test_decision_accuracy(spark):
     assert (r.accuracy, r.decisions, r.total_latency_ms, r.total_tokens) == (0.6667, 3, 35, 300)
 
 
-def test_self_heal_loop(spark):
-    df = spark.createDataFrame([("T1", "10", "INR"), ("T2", "x", "INR"), ("", "5", "USD")],
-                               "transaction_id string, amount string, currency string")
-    target = T.StructType([T.StructField("transaction_id", T.StringType()), T.StructField("amount", T.StringType()),
-                           T.StructField("currency", T.StringType()), T.StructField("channel", T.StringType())])
-    checks = [Q.not_null("channel", severity="warning"), Q.between("amount", 0, 100, severity="warning"),
-              Q.not_null("transaction_id")]
-    out, log = Q.self_heal(df, checks, target=target, max_attempts=3, defaults={"channel": "web"})
-    actions = [x["action"] for x in log]
-    assert actions[0] == "add_column" and len(actions) <= 4
-    assert actions[-1] in ("validated", "escalate")
-
-
 def test_pii_surface_and_producer(spark):
     a = spark.createDataFrame([("Asha Rao", "a1@x.example.com")], "full_name string, email string")
     b = spark.createDataFrame([("10.1.2.3",)], "ip string")
