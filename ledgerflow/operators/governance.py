@@ -178,11 +178,29 @@ def statement_guard(log: DataFrame, sql_col: str, known_tables: Sequence[str]) -
     return log.withColumn("guard_reason", reason).withColumn("allowed", reason.isNull())
 
 
-def pii_surface(frames: dict[str, DataFrame]) -> DataFrame:
-    """PII findings over many tables (table, column, type, sensitivity) and
-    counts by sensitivity; each table is scanned once."""
+SEVERITY = {"Restricted": "CRITICAL", "Confidential": "HIGH", "Internal": "MEDIUM", "Public": "LOW"}
+
+
+def pii_surface(frames: dict[str, DataFrame], by_name: bool = False) -> DataFrame:
+    """PII findings over many tables (table, column, type, sensitivity, severity, how found); each table is
+    scanned once.  ``by_name`` adds columns that only their names give away (G2), without a rate."""
     parts = [pii_scan(df).withColumn("table_name", F.lit(name)) for name, df in frames.items()]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out.select("table_name", "column_name", "pii_type", "sensitivity", "match_rate", "confidence")
+    found = out.select("table_name", "column_name", "pii_type", "sensitivity", "match_rate", "confidence", "detection_method")
+    if by_name:
+        hints = [(name, c, t, PII_PATTERNS[t][2] if t in PII_PATTERNS else "Confidential")
+                 for name, df in frames.items() for c, t in name_hints(df.columns)]
+        named = out.sparkSession.createDataFrame(hints, "table_name string, column_name string, pii_type string, sensitivity string")
+        rest = named.join(found.select("table_name", "column_name"), ["table_name", "column_name"], "left_anti")
+        found = found.unionByName(rest.withColumn("detection_method", F.lit("column_name")), allowMissingColumns=True)
+    severity = F.create_map(*[F.lit(x) for kv in SEVERITY.items() for x in kv])
+    return found.withColumn("severity", severity[F.col("sensitivity")])
+
+
+def surface_counts(surface: DataFrame) -> DataFrame:
+    """Columns and tables per severity; the severities without a finding count 0."""
+    known = surface.sparkSession.createDataFrame([(v,) for v in SEVERITY.values()], "severity string")
+    per = surface.groupBy("severity").agg(F.count(F.lit(1)).alias("n_columns"), F.countDistinct("table_name").alias("n_tables"))
+    return known.join(per, "severity", "left").fillna(0)

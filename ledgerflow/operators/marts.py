@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import as_double, avg_cents_half_up, avg_rate, count_when, pct, sum_when
@@ -151,20 +151,18 @@ def hourly_gmv(events: DataFrame, as_of: str, hours: int) -> DataFrame:
         F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))
 
 
-def hourly_volume_flags(events: DataFrame, spike: int) -> DataFrame:
+def hourly_volume_flags(events: DataFrame, spike: int | Column) -> DataFrame:
     """Hourly spine (gap-filled) left join counts; SPIKE above ``spike``, ZERO when empty."""
     from .windows import time_spine
     spine = time_spine(events, "ts", "1 hour", col_name="hour")
     counts = events.groupBy(F.date_trunc("hour", "ts").alias("hour")).agg(F.count(F.lit(1)).alias("event_count"))
     j = spine.join(counts, "hour", "left").withColumn("event_count", F.coalesce("event_count", F.lit(0)).cast("bigint"))
     flag = F.when(F.col("event_count") > spike, "SPIKE").when(F.col("event_count") == 0, "ZERO").otherwise("OK")
-    flagged = j.withColumn("volume_flag", flag)
-    # totals over the whole spine, attached as scalar subqueries (no join)
-    tot = flagged.agg(F.sum("event_count").cast("bigint")).scalar()
-    spikes = flagged.agg(F.count_if(F.col("volume_flag") == "SPIKE")).scalar()
-    zeros = flagged.agg(F.count_if(F.col("volume_flag") == "ZERO")).scalar()
-    return (flagged.withColumn("total_events", tot).withColumn("spike_hours", spikes)
-            .withColumn("zero_hours", zeros))
+    whole = Window.partitionBy()  # one row an hour: bounded by the calendar
+    return j.withColumn("volume_flag", flag).select(
+        "hour", "event_count", "volume_flag", F.sum("event_count").over(whole).alias("total_events"),
+        F.count_if(F.col("volume_flag") == "SPIKE").over(whole).alias("spike_hours"),
+        F.count_if(F.col("volume_flag") == "ZERO").over(whole).alias("zero_hours"))
 
 
 # --- A16 / B14 / B15 / B16 ----------------------------------------------------
@@ -195,9 +193,9 @@ def suspicious_merchants(silver: DataFrame, n: int = 3) -> DataFrame:
     per = silver.groupBy("merchant_id").agg(F.count(F.lit(1)).alias("txn_count"),
                                             F.avg(as_double("amount")).alias("avg_amount"))
     hv = per.where(F.col("txn_count") >= per.agg(F.avg("txn_count")).scalar())
-    mu = hv.agg(F.avg("avg_amount")).scalar()
-    sd = hv.agg(F.stddev_samp("avg_amount")).scalar()
-    z = hv.withColumn("z_score", F.round(F.try_divide(F.col("avg_amount") - mu, sd), 6))
+    spread = hv.agg(F.struct(F.avg("avg_amount").alias("mu"), F.stddev_samp("avg_amount").alias("sd"))).scalar()
+    z = hv.withColumn("_spread", spread).withColumn(
+        "z_score", F.round(F.try_divide(F.col("avg_amount") - F.col("_spread.mu"), F.col("_spread.sd")), 6)).drop("_spread")
     z = z.withColumn("abs_z", F.abs("z_score")).withColumn("avg_amount", F.round("avg_amount", 2))
     return top_n(z, "abs_z", n, ["merchant_id"]).drop("abs_z")
 

@@ -83,7 +83,7 @@ def zero_load_alarm(target: DataFrame, ts: str, start: str, end: str, step: str
 
 
 def error_count_alarm(events: DataFrame, ts: str, type_col: str = "event_type", error_value: str = "error",
-                      step: str = "1 minute", threshold: int = 5) -> DataFrame:
+                      step: str = "1 minute", threshold: int | Column = 5) -> DataFrame:
     """Error rows per bucket, alarm above threshold (missing = not breaching)."""
     e = events.where(F.col(type_col) == error_value)
     g = e.groupBy(_bucket(ts, step).alias("bucket")).agg(F.count(F.lit(1)).alias("errors"))

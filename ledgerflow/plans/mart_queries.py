@@ -135,9 +135,9 @@ def q_a11_fail(spark, sf):
 SELECT c.customer_id, c.customer_name, CAST(SUM(s.amount) AS DOUBLE) AS total_spent,
        CAST(ROUND(CAST(AVG(s.amount) AS DECIMAL(38,6)), 2) AS DOUBLE) AS avg_spent
 FROM customers c JOIN silver s ON c.customer_id = s.customer_id
-WHERE c.city = 'GERMANY' AND s.status = 'COMPLETED' GROUP BY c.customer_id, c.customer_name"""))
+WHERE c.city = 'NATION_7' AND s.status = 'COMPLETED' GROUP BY c.customer_id, c.customer_name"""))
 def q_a11_city(spark, sf):
-    return marts.city_spend(ledger.customers(spark, sf), silver_df(spark, sf), "GERMANY")
+    return marts.city_spend(ledger.customers(spark, sf), silver_df(spark, sf), "NATION_7")
 
 
 @register("a12_payment_method_growth", ids=("A12",), sql=with_ctes("silver", f"""

@@ -71,9 +71,10 @@ def booked_layer(silver: DataFrame) -> DataFrame:
     return booked.unionByName(again)
 
 
-def sla_contracts(spark: SparkSession) -> DataFrame:
+def sla_contracts(spark: SparkSession, unit: float = 1.0) -> DataFrame:
+    """The contract terms, their thresholds times ``unit`` (the events' values are small)."""
     return spark.createDataFrame(
-        SLA_TIERS, "sla_tier string, threshold double, notify_hours int, credit_pct_per_hour double, grace_hours int")
+        [(t, limit * unit, *rest) for t, limit, *rest in SLA_TIERS], "sla_tier string, threshold double, notify_hours int, credit_pct_per_hour double, grace_hours int")
 
 
 def user_tier(col: str = "user_id"):
@@ -84,3 +85,23 @@ def loaded_events(events: DataFrame) -> DataFrame:
     """Sink copy of ``events`` that missed the outage window."""
     return events.where(~((F.col("ts") >= F.to_timestamp(F.lit(OUTAGE_START)))
                           & (F.col("ts") < F.to_timestamp(F.lit(OUTAGE_END)))))
+
+
+def terminal_ledger(events: DataFrame) -> DataFrame:
+    """Events as a ledger of terminals (user and day), amounts in tens; errors come from no terminal."""
+    terminal = F.concat_ws("@", F.col("user_id").cast("string"), F.to_date("ts").cast("string"))
+    return events.select(F.col("event_id").cast("string").alias("transaction_id"), (F.col("value") * 10).cast("decimal(18,2)").alias("amount"),
+                         F.when(F.col("event_type") != "error", terminal).alias("merchant_id"))
+
+
+def contact_tables(customers: DataFrame, merchants: DataFrame) -> dict[str, DataFrame]:
+    """Master data with personal values made from the keys: for scans over many tables."""
+    digits = lambda c, n: F.lpad(F.col(c).cast("string"), n, "0")
+    return {
+        "customer_contacts": customers.select(
+            F.concat(F.lit("c"), F.col("customer_id").cast("string"), F.lit("@example.com")).alias("mail_to"),
+            F.concat(F.lit("9"), digits("customer_id", 9)).alias("reach_at"), F.concat(F.lit("ABCDE"), F.right(digits("customer_id", 8), F.lit(4)), F.lit("F")).alias("tax_id"),
+            F.lit("1990-01-01").alias("dobText"), "customer_tier"),
+        "merchant_accounts": merchants.select(digits("merchant_id", 11).alias("settle_to"), F.concat(F.lit("10.0.0."), (F.col("merchant_id") % 250).cast("string")).alias("terminal_host"),
+                                              "category"),
+    }
