@@ -348,8 +348,8 @@ def top_values(df: DataFrame, k: int = 5) -> DataFrame:
     total = df.agg(F.count(F.lit(1))).scalar()
     w = Window.partitionBy("column_name").orderBy(F.desc("_n"), "value")
     return (counts.where(~is_blank(F.col("value"))).withColumn("value_rank", F.row_number().over(w))
-            .where(F.col("value_rank") <= k)
-            .select("column_name", "value_rank", "value", F.col("_n").alias("n"), pct_exact(F.col("_n"), total, 1).alias("share_pct")))
+            .where(F.col("value_rank") <= k).withColumn("_total", total)
+            .select("column_name", "value_rank", "value", F.col("_n").alias("n"), pct_exact(F.col("_n"), F.col("_total"), 1).alias("share_pct")))
 
 
 def pct_exact(num: Column, den: Column, digits: int) -> Column:
@@ -544,8 +544,8 @@ def classify_issue(df: DataFrame, id_col="transaction_id", amount_col="amount",
     id, bad date, currency alias or unsupported, status casing, comma amount,
     blank merchant, outlier above ``outlier_factor`` x mean)."""
     n = normalise(df, amount_col, date_col, currency_col, status_col)
-    n = with_duplicate_flags(n, [id_col])
-    n = n.withColumn("_mean", n.agg(F.avg(amount_col + "_norm")).scalar())
+    mean = n.agg(F.avg(amount_col + "_norm")).scalar()
+    n = with_duplicate_flags(n, [id_col]).withColumn("_mean", mean)
     raw_amt = F.col(amount_col).cast("string")
     rules = [
         (is_blank(F.col(id_col)), "blank transaction_id", "H", False),
