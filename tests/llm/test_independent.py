@@ -63,3 +63,20 @@ def test_phrases_of_random_texts():
         text = "".join(r.choice("ab c") for _ in range(r.randrange(300)))
         ends = lz_fingerprint.phrases(np.array([ord(c) for c in text], np.uint32)).tolist()
         assert [text[a:b] for a, b in zip([0, *ends], ends)] == _parse(text)
+
+
+def test_likeness_follows_the_phrase_sets(spark):
+    r = random.Random(4)
+    words = [f"w{k}" for k in range(90)]
+    texts = [" ".join(r.choice(words[:n]) for _ in range(400)) for n in (20, 20, 90, 90)] + ["", "one"]
+    rows = lz_fingerprint.lz_fingerprints(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), blocks=2).collect()
+    assert len(rows) == len(texts)
+    for row in rows:
+        own, following = texts[row.doc_id], texts[(row.doc_id + 1) % len(texts)]
+        edited = own[:len(own) - len(own) // 2] + following[:len(own) // 2]
+        lanes = [row.fingerprint[k:k + 4] == row.edited_fingerprint[k:k + 4] for k in range(0, 512, 4)]
+        assert row.near_edited == sum(lanes) / 128
+        for near, other in ((row.near_edited, edited), (row.near_next, following)):
+            a, b = set(_parse(own)), set(_parse(other))
+            share = len(a & b) / len(a | b) if a | b else 1.0
+            assert abs(near - share) < 5 * math.sqrt(max(share * (1 - share), 0.01) / 128)
