@@ -121,3 +121,15 @@ def test_conform_and_cast_repair(spark):
     assert out.columns == ["a", "b", "c"] and out.first().c is None
     rep = S.cast_repair(spark.createDataFrame([("1.5",), ("bad",)], "v string"), "v")
     assert [r.v for r in rep.collect()] == [1.5, 0.0]
+
+
+@pytest.mark.parametrize("text,expected", [
+    ("pay 123456789012345678 now", "pay [ACCOUNT_NUMBER] now"), ("acc 00112233445.", "acc [ACCOUNT_NUMBER]."), ("123456789", "[ACCOUNT_NUMBER]"),
+    ("1234567890", "[ACCOUNT_NUMBER]"), ("9876543210", "[PHONE_NUMBER]"), ("4111 1111 1111 1111", "[CREDIT_CARD]"),
+    ("4111111111111111", "[CREDIT_CARD]"), ("123412341234", "[AADHAAR_NUMBER]"), ("nr 12345678", "nr 12345678"), ("", ""), (None, None)])
+def test_redaction_of_digit_runs(spark, text, expected):
+    df = spark.createDataFrame([(text,)], "text string")
+    got = df.select(G.redact_text("text").alias("t"), *G.pii_hits("text")).first()
+    assert got.t == expected
+    if text is not None:
+        assert got.n_account_number == ("[ACCOUNT_NUMBER]" in expected)
