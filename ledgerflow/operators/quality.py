@@ -129,21 +129,20 @@ def with_duplicate_flags(df: DataFrame, columns: list[str]) -> DataFrame:
     duplicate each other).
 
     Two scans a column: one grouped count gives the keys seen more than once (one row a
-    key; AQE skew-join splits a hot one on the row side), and the rows join them.  The NULL group is
-    one of those keys: it is repeated ``NULL_SALTS`` times and NULL rows pick a copy by
-    their hash, so they never meet in one join task.
+    key; AQE skew-join splits a hot one on the row side), and the rows join them by the column itself, so that no
+    second copy of it is shuffled.  The NULL group is one of those keys: it is repeated ``NULL_SALTS`` times and
+    NULL rows pick a copy by their hash, so they never meet in one join task; other keys have salt 0.
     """
     out = df
     hashed = [quoted(c) for c, t in df.dtypes if "map<" not in t and "variant" not in t]
     for c in columns:
-        key, dup = "__key_" + c, _dup_col(c)
-        some = F.concat(F.lit("="), F.col(c).cast("string"))
-        row_salt = F.concat(F.lit("~"), F.pmod(F.xxhash64(*hashed), F.lit(NULL_SALTS)).cast("string"))
-        all_salts = F.transform(F.sequence(F.lit(0), F.lit(NULL_SALTS - 1)), lambda i: F.concat(F.lit("~"), i.cast("string")))
-        dups = key_counts(df, c).where(F.col("_n") > 1).select(
-            F.explode(F.when(F.col(c).isNull(), all_salts).otherwise(F.array(some))).alias(key), F.lit(True).alias(dup))
-        out = (out.withColumn(key, F.coalesce(some, row_salt)).join(dups, key, "left")
-               .withColumn(dup, F.coalesce(F.col(dup), F.lit(False))).drop(key))
+        key, mine, theirs, dup = "__key_" + c, "__salt_" + c, "__salts_" + c, _dup_col(c)
+        some, null = F.coalesce(F.col(c).cast("string"), F.lit("")), F.col(c).isNull()
+        salts = F.when(null, F.sequence(F.lit(1), F.lit(NULL_SALTS))).otherwise(F.array(F.lit(0)))
+        dups = key_counts(df, c).where(F.col("_n") > 1).select(some.alias(key), F.explode(salts).alias(theirs), F.lit(True).alias(dup))
+        salt = F.when(null, F.pmod(F.xxhash64(*hashed), F.lit(NULL_SALTS)).cast("int") + 1).otherwise(F.lit(0))
+        out = (out.withColumn(mine, salt).join(dups, (some == F.col(quoted(key))) & (F.col(quoted(mine)) == F.col(quoted(theirs))), "left")
+               .withColumn(dup, F.coalesce(F.col(quoted(dup)), F.lit(False))).drop(key, mine, theirs))
     return out
 
 
@@ -285,12 +284,21 @@ def quarantine_split(df: DataFrame, checks: list[Check], run_ts: str,
 
 
 def split_counts(df: DataFrame, checks: list[Check], severities: tuple[str, ...] = ("critical",)) -> DataFrame:
-    """Q14/Q16: clean and quarantined row counts in one aggregate (no second pass)."""
-    flagged, row_cols = flag_rows(df, checks)
+    """Q14/Q16: clean and quarantined row counts in one aggregate (no second pass).  The checks of single rows are
+    made before the duplicates are looked up, so a row is shuffled as its key and one flag."""
+    present = set(df.columns)
+    usable = [c for c in checks if c.kind in ROW_KINDS and c.column in present and c.severity in severities]
+    uniq = sorted({c.column for c in usable if c.kind == "unique"})
     bad = F.lit(False)
-    for c, n in row_cols:
-        if c.severity in severities:
-            bad = bad | F.col(n)
+    for c in usable:
+        if c.kind != "unique":
+            bad = bad | _row_fail(df, c)
+    hashed = [quoted(c) for c, t in df.dtypes if "map<" not in t and "variant" not in t]
+    flagged = df.select(*uniq, bad.alias("__bad"), *([F.xxhash64(*hashed).alias("__row")] if uniq else []))
+    flagged = with_duplicate_flags(flagged, uniq)
+    bad = F.col("__bad")
+    for c in uniq:
+        bad = bad | F.col(_dup_col(c))
     return flagged.agg(F.count_if(~bad).alias("clean_rows"), F.count_if(bad).alias("quarantined_rows"))
 
 
@@ -545,13 +553,12 @@ def classify_issue(df: DataFrame, id_col="transaction_id", amount_col="amount",
     blank merchant, outlier above ``outlier_factor`` x mean)."""
     n = normalise(df, amount_col, date_col, currency_col, status_col)
     mean = n.agg(F.avg(amount_col + "_norm")).scalar()
-    n = with_duplicate_flags(n, [id_col]).withColumn("_mean", mean)
     raw_amt = F.col(amount_col).cast("string")
     rules = [
         (is_blank(F.col(id_col)), "blank transaction_id", "H", False),
         (F.col(amount_col + "_norm") < 0, "negative amount", "H", False),
-        (F.col(_dup_col(id_col)), "duplicate id", "H", False),
-        (F.col(amount_col + "_norm") > F.col("_mean") * outlier_factor, "outlier amount", "H", False),
+        (None, "duplicate id", "H", False),
+        (F.col(amount_col + "_norm") > mean * outlier_factor, "outlier amount", "H", False),
         (F.col(date_col + "_norm").isNull(), "invalid date", "H", True),
         (~F.col(date_col).cast("string").rlike(r"^\d{4}-\d{2}-\d{2}$"), "non-standard date format", "M", True),
         (F.col(amount_col + "_norm") == 0, "zero amount", "M", False),
@@ -564,14 +571,17 @@ def classify_issue(df: DataFrame, id_col="transaction_id", amount_col="amount",
                    "unsupported currency", "M", True)]
     if status_col in df.columns:
         rules.append((F.col(status_col) != F.col(status_col + "_norm"), "status casing", "L", True))
-    issue = F.lit(None).cast("string")
-    sev = F.lit(None).cast("string")
-    fix = F.lit(None).cast("boolean")
-    for cond, name, s, a in reversed(rules):
-        c = F.coalesce(cond, F.lit(False))
-        issue, sev, fix = (F.when(c, F.lit(name)).otherwise(issue), F.when(c, F.lit(s)).otherwise(sev),
-                           F.when(c, F.lit(a)).otherwise(fix))
-    return n.select(*df.columns, issue.alias("issue_found"), sev.alias("severity"), fix.alias("auto_fixable"))
+    # the rules of single rows are tried before the duplicates are looked up: a row is shuffled with the number of its first
+    first = F.lit(len(rules))
+    for k, (cond, *_) in reversed(list(enumerate(rules))):
+        if cond is not None:
+            first = F.when(F.coalesce(cond, F.lit(False)), F.lit(k)).otherwise(first)
+    dup = next(k for k, (cond, *_) in enumerate(rules) if cond is None)
+    n = with_duplicate_flags(n.select(*[quoted(c) for c in df.columns], first.alias("__rule")), [id_col])
+    rule = F.when(F.col(_dup_col(id_col)), F.least(F.col("__rule"), F.lit(dup))).otherwise(F.col("__rule"))
+    n = n.withColumn("__rule", rule)
+    pick = lambda at, kind: F.element_at(F.array(*[F.lit(r[at]) for r in rules], F.lit(None).cast(kind)), F.col("__rule") + 1)
+    return n.select(*[quoted(c) for c in df.columns], pick(1, "string").alias("issue_found"), pick(2, "string").alias("severity"), pick(3, "boolean").alias("auto_fixable"))
 
 
 def row_decision(df: DataFrame, as_of: str, valid_currencies=("INR", "USD", "EUR"),

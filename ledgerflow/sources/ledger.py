@@ -53,13 +53,16 @@ def merchant_master(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey", "s_acctbal")
     n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     r = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    # nation (25 rows) and region (5 rows) are fixed-size TPC-H tables.
-    geo = F.broadcast(n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey))
-    return s.join(geo, s.s_nationkey == geo.n_nationkey).select(
+    # nation (25 rows) and region (5 rows) are fixed-size TPC-H tables: one list of places, looked up per supplier. As a
+    # join, the planner would take the product of the sizes for the merchants' and shuffle the ledger to them.
+    geo = n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey).where("n_nationkey is not null")
+    places = geo.agg(F.collect_list(F.struct("n_nationkey", "n_name", "r_name"))).scalar()
+    own = F.filter("_places", lambda p: p["n_nationkey"] == F.col("s_nationkey"))
+    return s.withColumn("_places", places).withColumn("_place", F.explode(own)).select(
         F.col("s_suppkey").alias("merchant_id"),
         F.col("s_name").alias("merchant_name"),
-        F.col("r_name").alias("category"),
-        F.col("n_name").alias("city"),
+        F.col("_place.r_name").alias("category"),
+        F.col("_place.n_name").alias("city"),
         (F.col("s_acctbal") >= 0).alias("is_active"),
     )
 
