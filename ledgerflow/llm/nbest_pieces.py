@@ -61,9 +61,13 @@ class Lattice:
             last = self.pieces[i][-1]
             kids[last] = (kids[last][0] if last in kids else {}, score[i], i)
         self._number()
+        #: the bytes of all pieces, one after the other (a byte piece is its byte)
+        own = [bytes([self.byte_of[i]]) if i in self.byte_of else p.encode("utf-8", "surrogatepass") for i, p in enumerate(self.pieces)]
+        self.utf8, self.size_of = np.frombuffer(b"".join(own), np.uint8), np.fromiter(map(len, own), np.int32, len(own))
+        self.start_of = (np.cumsum(self.size_of) - self.size_of).astype(np.int32)
         #: whether the lattice can be cut before each run of spaces
         self.cuts = not any(a != SPACE and b == SPACE for p in self.id for a, b in zip(p, p[1:], strict=False))
-        self.known: dict[str, tuple[bytes, int, float, float, bool]] = {}
+        self.known: dict[str, tuple[bytes, int, float, float]] = {}
         self.chosen: dict[str, list[tuple[float, list[int]]]] = {}
 
     def _number(self) -> None:
@@ -89,7 +93,7 @@ class Lattice:
         """Puts words into the cache, thousands at a time: the pass of ``best`` over a matrix of words.
 
         Long words and those with unknown characters are left to ``best``."""
-        new = sorted({w for w in words if w not in self.known and len(w) <= WIDE}, key=len)
+        new = sorted((w for w in set(words).difference(self.known) if len(w) <= WIDE), key=len)
         if len(self.known) + len(new) > CACHE:
             self.known.clear()
             new = sorted({w for w in words if len(w) <= WIDE}, key=len)
@@ -142,7 +146,7 @@ class Lattice:
         score = ahead[np.arange(n), size]
         gap = score - second[np.arange(n), size]
         for w, row, c, x, g in zip(words, ids, count.tolist(), score.tolist(), gap.tolist(), strict=True):
-            self.known[w] = (row[wide - c:].tobytes(), c, x, g, True)  # pieces of a word are its parts
+            self.known[w] = (row[wide - c:].tobytes(), c, x, g)
 
     def edges(self, word: str) -> list[tuple[int, int, float]]:
         """(from, to, score) of all pieces that occur, in order of from; unknown characters are bridged."""
@@ -268,15 +272,23 @@ class Lattice:
             out.append(run.decode("utf-8", "replace"))
         return "".join(out)
 
+    def decoded(self, ids: np.ndarray) -> str:
+        """``decode``, the pieces' bytes taken from one array."""
+        size = self.size_of[ids]
+        end = np.cumsum(size, dtype=np.int32)
+        at = np.repeat(self.start_of[ids] - (end - size), size)
+        at += np.arange(len(at), dtype=np.int32)
+        return self.utf8[at].tobytes().decode("utf-8", "replace")
+
     def words(self, text: str) -> list[str]:
         s = self.normalize(text) if text else ""
         return (_WORDS.findall(s) if self.cuts else [s]) if s else []
 
-    def _entry(self, word: str) -> tuple[bytes, int, float, float, bool]:
+    def _entry(self, word: str) -> tuple[bytes, int, float, float]:
         if len(self.known) >= CACHE:
             self.known.clear()
         ids, score, gap = self.best(word)
-        out = (_packed(ids), len(ids), score, gap, self.decode(ids) == word)
+        out = (_packed(ids), len(ids), score, gap)
         if len(word) <= CACHED:
             self.known[word] = out
         return out
@@ -312,7 +324,7 @@ class Lattice:
         if not words:
             return [(0.0, 0, zlib.crc32(b""), True)]
         known = self.known
-        parts, counts, scores, gaps, fine = zip(*[known.get(w) or self._entry(w) for w in words], strict=True)
+        parts, counts, scores, gaps = zip(*[known.get(w) or self._entry(w) for w in words], strict=True)
         near, left = [], list(gaps)
         while len(near) < min(self.n - 1, len(words)):  # the words with the nearest second choice
             near.append(left.index(min(left)))
@@ -322,18 +334,19 @@ class Lattice:
         sums: list[tuple[float, tuple]] = [(0.0, ())]
         for k, c in choices.items():
             sums = heapq.nsmallest(self.n, ((loss + c[0][0] - s, (*pick, (k, x))) for loss, pick in sums for x, (s, _) in enumerate(c)))
-        total, count, whole = sum(scores), sum(counts), all(fine)
+        # every segmentation is put together and decoded as a whole
+        total, count, text = sum(scores), sum(counts), "".join(words)
         out = []
         for loss, pick in sums:
-            own, size, ok = parts, count, whole
+            own, size = parts, count
             if pick:
                 own = list(parts)
                 for k, x in pick:
                     ids = self.ids(words[k], choices[k][x][1])
                     own[k] = _packed(ids)
                     size += len(ids) - counts[k]
-                    ok = ok and (x == 0 or self.decode(ids) == words[k])
-            out.append((total - loss, size, zlib.crc32(b"".join(own)), ok))
+            ids = b"".join(own)
+            out.append((total - loss, size, zlib.crc32(ids), self.decoded(np.frombuffer(ids, "<u4")) == text))
         return out
 
 
