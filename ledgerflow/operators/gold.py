@@ -58,18 +58,20 @@ def customer_ltv(silver: DataFrame) -> DataFrame:
 
 
 def daily_gmv(txn: DataFrame, merchants: DataFrame) -> DataFrame:
-    """A5: per date x merchant (inner join to the merchant dim)."""
-    m = merchants.select("merchant_id", "merchant_name", F.col("category").alias("business_category"))
-    j = txn.join(m, "merchant_id", "inner")
+    """A5: per date x merchant (inner join to the merchant dim).
+
+    The ledger is summed by date and id before the join, so that no group carries the merchant's texts; a
+    merchant row that occurs several times counts as often."""
+    m = (merchants.select("merchant_id", "merchant_name", F.col("category").alias("business_category"))
+         .groupBy("merchant_id", "merchant_name", "business_category").agg(F.count(F.lit(1)).alias("_copies")))
     n = F.count("transaction_id")
     failed = count_when(F.col("status") == FAILED)
-    return j.groupBy("transaction_date", "merchant_id", "merchant_name", "business_category").agg(
-        n.alias("transaction_count"),
-        sum_when(F.col("status") == COMPLETED, "amount").alias("gmv"),
-        sum_when(F.col("status") == FAILED, "amount").alias("failed_amount"),
-        failed.alias("failed_count"),
-        pct(failed, n).alias("failure_rate_pct"),
-    )
+    sums = {"transaction_count": n, "gmv": sum_when(F.col("status") == COMPLETED, "amount"),
+            "failed_amount": sum_when(F.col("status") == FAILED, "amount"), "failed_count": failed}
+    per = txn.where("merchant_id is not null").groupBy("transaction_date", "merchant_id").agg(
+        *[c.alias(name) for name, c in sums.items()], pct(failed, n).alias("failure_rate_pct"))
+    many = [F.when(F.col("_copies") == 1, F.col(c)).otherwise((F.col(c) * F.col("_copies")).cast(per.schema[c].dataType)).alias(c) for c in sums]
+    return per.join(m, "merchant_id", "inner").select("transaction_date", "merchant_id", "merchant_name", "business_category", *many, "failure_rate_pct")
 
 
 def merchant_tier(gmv: F.Column) -> F.Column:
