@@ -25,18 +25,49 @@ def tumbling(df: DataFrame, ts: str, size: str, by: Sequence[str] = (), value: s
 
 
 def sliding(df: DataFrame, ts: str, size: str, slide: str, by: Sequence[str] = (), value: str = "value") -> DataFrame:
-    """Sliding windows. Batch frames are summed by slide first, so that buckets and not rows
-    are copied into their size/slide windows; a stream's rows are, as its state is one aggregate."""
+    """Sliding windows. Batch frames are summed by slide first (``_sliding_sums``); a stream's
+    rows are copied into their size/slide windows, as its state is one aggregate."""
     if not df.isStreaming:
-        g = (df.groupBy(F.window(ts, slide).start.alias("_b"), *by).agg(F.count(F.lit(1)).alias("n"), F.sum(value).alias("v"))
-             .groupBy(F.window("_b", size, slide).alias("w"), *by).agg(F.sum("n").alias("events"), F.round(F.sum("v"), 2).alias("value_sum")))
-        return g.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *by, "events", "value_sum")
+        return _sliding_sums(df, ts, size, slide, by, value)
     g = df.groupBy(F.window(ts, size, slide).alias("w"), *by).agg(
         F.count(F.lit(1)).alias("events"), F.round(F.sum(value), 2).alias("value_sum"))
     return g.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *by,
                     "events", "value_sum")
 
 
+def _sliding_sums(df: DataFrame, ts: str, size: str, slide: str, by: Sequence[str], value: str) -> DataFrame:
+    """Sliding windows of a batch frame, without shuffling a copy of a bucket for each of its windows.
+
+    A window starts in one block of ``size``, so it holds buckets of that block and the next: each bucket goes to two
+    blocks. In a block of a key the windows' content only changes where a bucket comes in or drops out;
+    it is summed there (no subtraction, floats lose nothing), and then stands for all windows up to the next change."""
+    width, step = df.sparkSession.sql(f"SELECT unix_micros(timestamp_micros(0) + INTERVAL {size}), unix_micros(timestamp_micros(0) + INTERVAL {slide})").first()
+    back = (width - 1) // step * step  # from a bucket to the first window that holds it
+    per = df.groupBy(F.window(ts, slide).start.alias("_b"), *by).agg(F.count(F.lit(1)).alias("n"), F.sum(value).alias("v"))
+    time, of = per.schema["_b"].dataType, per.schema["v"].dataType
+    us = F.unix_micros(F.col("_b").cast("timestamp"))
+    own = F.col("_us") - F.pmod(F.col("_us"), F.lit(width))
+    per = per.select(*by, us.alias("_us"), "n", "v").select(*by, F.explode(F.array(own, own - width)).alias("_block"), F.struct(F.col("_us").alias("b"), "n", "v").alias("x"))
+    last = F.col("_block") + width - 1
+    last = last - F.pmod(last, F.lit(step))
+    per = per.where(F.col("x.b") - back <= last).groupBy("_block", *by).agg(F.collect_list("x").alias("x"))
+    first = F.col("_block") + F.pmod(-F.col("_block"), F.lit(step))
+    turns = F.concat(F.array(first), F.transform("x", lambda x: x["b"] - back), F.transform("x", lambda x: x["b"] + step))
+    per = per.withColumn("x", F.array_sort("x")).withColumn("_at", F.array_sort(F.array_distinct(F.filter(turns, lambda s: (s >= first) & (s <= last)))))
+    none = lambda s: F.struct(s.alias("s"), F.lit(0).cast("long").alias("n"), F.lit(None).cast(of).alias("v"))
+
+    def add(a, x):
+        held = (x["b"] - back <= a["s"]) & (a["s"] <= x["b"])
+        v = F.coalesce((a["v"] + x["v"]).cast(of), a["v"], x["v"])
+        return F.when(held, F.struct(a["s"].alias("s"), (a["n"] + x["n"]).alias("n"), v.alias("v"))).otherwise(a)
+
+    sums = F.transform("_at", lambda s, k: F.struct(F.aggregate("x", none(s), add).alias("w"), F.coalesce(F.get("_at", k + 1) - step, last).alias("until")))
+    runs = per.select(*by, F.inline(sums)).where("w.n > 0")
+    g = runs.select(*by, F.explode(F.sequence("w.s", "until", F.lit(step))).alias("s"), F.col("w.n").alias("events"), F.round("w.v", 2).alias("value_sum"))
+    at = lambda c: F.timestamp_micros(c).cast(time)
+    return g.select(at(F.col("s")).alias("window_start"), at(F.col("s") + width).alias("window_end"), *by, "events", "value_sum")
+
+
 def dedup_replays(df: DataFrame, key: str, ts: str) -> DataFrame:
     """Drop replayed duplicates; streaming keeps keys only within the watermark."""
     if df.isStreaming:
