@@ -74,12 +74,14 @@ class LedgerState:
     def winners(self, batch: DataFrame) -> tuple[DataFrame, list[str]]:
         """Versions in the batch that are later than what is known of their ids, ``old`` the one they replace; and the parts read."""
         cols = batch.columns
-        new = keep_latest(silver_filter(batch), KEY, self.order).checkpoint(eager=True)
-        parts = self.versions.may_hold(new.select(KEY))
+        rows = silver_filter(batch)
+        new = keep_latest(rows, KEY, self.order)
+        parts = self.versions.may_hold(rows.select(KEY).distinct().checkpoint(eager=True)) if any(m["rows"] for m in self.versions.markers()) else []
         rank = F.struct(*self.order, *[c for c in cols if c not in self.order])
         if not parts:
             return new.withColumn("old", F.lit(None).cast(new.select(F.struct(*cols).alias("s")).schema["s"].dataType)), []
-        known = keep_latest(self.versions.read(parts).join(new.select(KEY), KEY, "left_semi"), KEY, self.order)
+        # both sides are dealt by id when their latest versions are picked, and so meet without another shuffle
+        known = keep_latest(self.versions.read(parts), KEY, self.order)
         known = known.select(F.col(KEY).alias("_id"), F.struct(*cols).alias("old"), rank.alias("_rank"))
         both = new.join(known, F.col(KEY) == F.col("_id"), "left")
         return both.where(F.col("_rank").isNull() | (rank > F.col("_rank"))).select(*cols, "old"), parts
@@ -100,13 +102,12 @@ class LedgerState:
             by = ("span", "day", *p.keys)
             total = [F.sum(n).cast(MONEY if n == "amount" else "long").alias(n) for n in p.sums]
             delta = change.select(*by, *[(F.coalesce(F.expr(c), F.lit(0)) * F.col("sign")).alias(n) for n, c in p.sums.items()])
-            delta = delta.groupBy(*by).agg(*total).where(" or ".join(f"{n} <> 0" for n in p.sums)).checkpoint(eager=True)
+            delta = delta.where(" or ".join(f"{n} <> 0" for n in p.sums))
             touched = [r[0] for r in delta.select("span").distinct().collect()]  # spans at most
             known = self.partial(p, touched)
-            merged = delta if known is None else known.unionByName(delta).groupBy(*by).agg(*total)
+            merged = (delta if known is None else delta.unionByName(known)).groupBy(*by).agg(*total)
             path = f"{self.root}/{p.name}/{self.versions.part_of(name)}"
-            (merged.where(F.col(p.count) != 0).repartition("span").write.mode("overwrite").option("partitionOverwriteMode", "static")
-             .partitionBy("span").parquet(path))
+            merged.where(F.col(p.count) != 0).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("span").parquet(path)
             left = {r[0] for r in self.spark.read.schema(self._schema(p)).parquet(path).select("span").distinct().collect()} if touched else set()
             spans[p.name], emptied[p.name] = sorted(left), sorted(set(touched) - left)
         return self.versions.append(won.drop("old"), name, spans=spans, emptied=emptied, opened=parts)
