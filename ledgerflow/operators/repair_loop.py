@@ -30,7 +30,7 @@ def repair_loop(df: DataFrame, checks: list[Check], catalogue: dict[tuple[str, s
     """(repaired rows, state).  ``catalogue`` lists per (check, column) the (action, argument) pairs to try, one an
     attempt; a check that has used up its own is escalated.  An attempt runs the suite, repairs every failing check
     that has an action left, and writes rows, then state, under ``root`` (a shared folder): both are read back by
-    the next one, so lineage stays short and a run cut off goes on after the last attempt whose state was written.
+    the next one (the rows of the first are written as attempt 0: their plan runs once, not once a scan), so lineage stays short and a run cut off goes on after the last attempt whose state was written.
 
     State columns: attempt, check, column, action, rows failing before (NULL if the column is missing), rows
     changed, rows left.  The last row says ``validated`` or ``unresolved`` (no action left, or no attempt left).
@@ -47,7 +47,9 @@ def repair_loop(df: DataFrame, checks: list[Check], catalogue: dict[tuple[str, s
     while path_exists(spark, state_of(done + 1) + "/_SUCCESS"):
         done += 1
     log = [r for a in range(1, done + 1) for r in spark.read.schema(STATE).parquet(state_of(a)).collect()]
-    cur = spark.read.parquet(rows_of(done)) if done else df
+    if not done:
+        df.write.mode("overwrite").parquet(rows_of(0))
+    cur = spark.read.parquet(rows_of(done))
     by_name = {(c.label, c.column): c for c in checks}
     attempt = done
     while not any(r.action in FINAL for r in log):
