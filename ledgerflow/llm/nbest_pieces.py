@@ -61,10 +61,8 @@ class Lattice:
             last = self.pieces[i][-1]
             kids[last] = (kids[last][0] if last in kids else {}, score[i], i)
         self._number()
-        #: the bytes of all pieces, one after the other (a byte piece is its byte)
-        own = [bytes([self.byte_of[i]]) if i in self.byte_of else p.encode("utf-8", "surrogatepass") for i, p in enumerate(self.pieces)]
-        self.utf8, self.size_of = np.frombuffer(b"".join(own), np.uint8), np.fromiter(map(len, own), np.int32, len(own))
-        self.start_of = (np.cumsum(self.size_of) - self.size_of).astype(np.int32)
+        #: the bytes of each piece (a byte piece is its byte)
+        self.utf8 = [bytes([self.byte_of[i]]) if i in self.byte_of else p.encode("utf-8", "surrogatepass") for i, p in enumerate(self.pieces)]
         #: whether the lattice can be cut before each run of spaces
         self.cuts = not any(a != SPACE and b == SPACE for p in self.id for a, b in zip(p, p[1:], strict=False))
         self.known: dict[str, tuple[bytes, int, float, float]] = {}
@@ -273,12 +271,8 @@ class Lattice:
         return "".join(out)
 
     def decoded(self, ids: np.ndarray) -> str:
-        """``decode``, the pieces' bytes taken from one array."""
-        size = self.size_of[ids]
-        end = np.cumsum(size, dtype=np.int32)
-        at = np.repeat(self.start_of[ids] - (end - size), size)
-        at += np.arange(len(at), dtype=np.int32)
-        return self.utf8[at].tobytes().decode("utf-8", "replace")
+        """``decode`` of an array of ids, by the pieces' bytes."""
+        return b"".join(map(self.utf8.__getitem__, ids.tolist())).decode("utf-8", "replace")
 
     def words(self, text: str) -> list[str]:
         s = self.normalize(text) if text else ""
@@ -324,7 +318,11 @@ class Lattice:
         if not words:
             return [(0.0, 0, zlib.crc32(b""), True)]
         known = self.known
-        parts, counts, scores, gaps = zip(*[known.get(w) or self._entry(w) for w in words], strict=True)
+        try:
+            found = [known[w] for w in words]
+        except KeyError:
+            found = [known.get(w) or self._entry(w) for w in words]
+        parts, counts, scores, gaps = zip(*found, strict=True)
         near, left = [], list(gaps)
         while len(near) < min(self.n - 1, len(words)):  # the words with the nearest second choice
             near.append(left.index(min(left)))
