@@ -11,22 +11,23 @@ words: exact, since only the n - 1 words with the nearest second choice can diff
 from __future__ import annotations
 
 import heapq
-import re
 import struct
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 N, CACHE = 3, 700_000
 CACHED = 1000  # characters of the longest word that is cached
 WIDE, TOGETHER = 48, 2_000_000  # characters of the longest word of a matrix, and of the texts whose words are learnt together
+BLOCK = 1 << 16  # runs put together at a time
 SPACE = "▁"
 UNKNOWN = 10.0  # an unknown character scores so much less than the lowest piece
-_WORDS = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 
 
 def _packed(ids: list[int]) -> bytes:
@@ -34,6 +35,16 @@ def _packed(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
+def _runs(values: np.ndarray, first: np.ndarray, size: np.ndarray, which: np.ndarray) -> np.ndarray:
+    """The runs ``which`` of an array, one after the other; a run is known by its first place and its size."""
+    out = []
+    for k in range(0, max(1, len(which)), BLOCK):
+        some = which[k:k + BLOCK]
+        n = size[some]
+        out.append(values[np.repeat(first[some] - np.cumsum(n) + n, n) + np.arange(n.sum())])
+    return np.concatenate(out) if len(out) > 1 else out[0]
+
+
 class Lattice:
     """The vocabulary of a model file, and a cache of words."""
 
@@ -62,20 +73,22 @@ class Lattice:
             kids[last] = (kids[last][0] if last in kids else {}, score[i], i)
         self._number()
         #: the bytes of each piece (a byte piece is its byte)
-        self.utf8 = [bytes([self.byte_of[i]]) if i in self.byte_of else p.encode("utf-8", "surrogatepass") for i, p in enumerate(self.pieces)]
+        utf8 = [bytes([self.byte_of[i]]) if i in self.byte_of else p.encode("utf-8", "surrogatepass") for i, p in enumerate(self.pieces)]
+        self.utf8, self.n_bytes = np.frombuffer(b"".join(utf8), np.uint8), np.fromiter(map(len, utf8), np.int64, len(utf8))
+        self.first = np.cumsum(self.n_bytes) - self.n_bytes
         #: whether the lattice can be cut before each run of spaces
         self.cuts = not any(a != SPACE and b == SPACE for p in self.id for a, b in zip(p, p[1:], strict=False))
         self.known: dict[str, tuple[bytes, int, float, float]] = {}
-        self.chosen: dict[str, list[tuple[float, list[int]]]] = {}
+        self.chosen: dict[str, list[tuple[float, np.ndarray]]] = {}
 
     def _number(self) -> None:
         """The tree as arrays: sorted keys (node, character) with the child, the score (nan: no piece ends) and the id."""
         chars = {c: k for k, c in enumerate(sorted({c for p in self.id for c in p}))}
-        self.char = np.full(0x110000, -1, np.int32)  # number of a character that is a piece itself
+        self.char = np.full(0x110000, len(chars), np.int32)  # number of a character, the last one for those in no piece
+        self.single = np.zeros(0x110000, bool)  # whether a character is a piece itself
         for c, k in chars.items():
-            if c in self.id:
-                self.char[ord(c)] = k
-        self.chars = len(chars)
+            self.char[ord(c)], self.single[ord(c)] = k, c in self.id
+        self.chars = len(chars) + 1
         rows, nodes, left = [], 1, [(0, self.tree)]
         while left:
             node, kids = left.pop()
@@ -87,40 +100,46 @@ class Lattice:
         keys, child, score, ids = zip(*rows, strict=True) if rows else ((-1,), (0,), (np.nan,), (0,))
         self.keys, self.child, self.scores, self.ids_of = np.array(keys, np.int64), np.array(child, np.int64), np.array(score, np.float64), np.array(ids, np.int64)
 
-    def learn(self, words: Iterable[str]) -> None:
+    def learn(self, words: list[str]) -> None:
         """Puts words into the cache, thousands at a time: the pass of ``best`` over a matrix of words.
 
-        Long words and those with unknown characters are left to ``best``."""
-        new = sorted((w for w in set(words).difference(self.known) if len(w) <= WIDE), key=len)
+        Long words are left to ``best``."""
+        distinct = {w for w in words if len(w) <= WIDE}
+        new = sorted(distinct.difference(self.known), key=len)
         if len(self.known) + len(new) > CACHE:
             self.known.clear()
-            new = sorted({w for w in words if len(w) <= WIDE}, key=len)
+            new = sorted(distinct, key=len)
         for k in range(0, len(new), 4096):
             self._learn(new[k:k + 4096])
 
     def _learn(self, words: list[str]) -> None:
         size = np.fromiter(map(len, words), np.int64, len(words))
-        chars = self.char[np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)]
-        plain = np.minimum.reduceat(chars, np.concatenate([[0], np.cumsum(size)[:-1]])) >= 0
-        if not plain.all():
-            chars = chars[np.repeat(plain, size)]
-            words, size = [w for w, ok in zip(words, plain.tolist(), strict=True) if ok], size[plain]
-        if not words:
-            return
         n, wide = len(words), int(size[-1])
-        matrix = np.zeros((n, wide), np.int64)
-        matrix[np.arange(wide) < size[:, None]] = chars
-        ahead, second = np.full((n, wide + 1), -np.inf), np.full((n, wide + 1), -np.inf)
-        back, last = np.zeros((n, wide + 1), np.int64), np.zeros((n, wide + 1), np.int64)
-        ahead[:, 0] = 0
+        inside = np.arange(wide) < size[:, None]
+        code = np.zeros((n, wide), np.int64)
+        code[inside] = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
+        code = np.ascontiguousarray(code.T)  # a row for each place
+        matrix, bridged = self.char[code], ~self.single[code]
+        ahead, second = np.full((wide + 1, n), -np.inf), np.full((wide + 1, n), -np.inf)
+        back, last = np.zeros((wide + 1, n), np.int64), np.zeros((wide + 1, n), np.int64)
+        ahead[0] = 0
+
+        def step(r: np.ndarray, i: int, j: int, s: np.ndarray | float, ids: np.ndarray) -> None:
+            v, rival = ahead[i][r] + s, ahead[j][r]
+            win = v > rival
+            second[j][r] = np.maximum(second[j][r], np.where(win, np.maximum(rival, second[i][r] + s), v))
+            r = r[win]
+            ahead[j][r], back[j][r], last[j][r] = v[win], i, ids[win]
+
         for i in range(wide):
             row = np.arange(np.searchsorted(size, i, "right"), n)  # sorted by length
+            lone = row[bridged[i][row]]
             node = np.zeros(len(row), np.int64)
             for j in range(i, min(wide, i + self.longest)):
                 if j > i:
-                    inside = size[row] > j
-                    row, node = row[inside], node[inside]
-                key = node * self.chars + matrix[row, j]
+                    here = size[row] > j
+                    row, node = row[here], node[here]
+                key = node * self.chars + matrix[j][row]
                 at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
                 hit = self.keys[at] == key
                 row, at = row[hit], at[hit]
@@ -128,23 +147,29 @@ class Lattice:
                     break
                 node, s = self.child[at], self.scores[at]
                 ends = ~np.isnan(s)
-                r, s, a = row[ends], s[ends], at[ends]
-                v, rival = ahead[r, i] + s, ahead[r, j + 1]
-                win = v > rival
-                second[r, j + 1] = np.maximum(second[r, j + 1], np.where(win, np.maximum(rival, second[r, i] + s), v))
-                r, v, a = r[win], v[win], a[win]
-                ahead[r, j + 1], back[r, j + 1], last[r, j + 1] = v, i, self.ids_of[a]
-        ids, count, at, every = np.zeros((n, wide), "<u4"), np.zeros(n, np.int64), size.copy(), np.arange(n)
+                step(row[ends], i, j + 1, s[ends], self.ids_of[at[ends]])
+            if len(lone):
+                step(lone, i, i + 1, self.lowest, -1 - code[i][lone])
+        ids, count, at, every = np.zeros((n, wide), np.int64), np.zeros(n, np.int64), size.copy(), np.arange(n)
         while len(every):
             here = at[every]
             count[every] += 1
-            ids[every, wide - count[every]] = last[every, here]
-            at[every] = back[every, here]
+            ids[every, wide - count[every]] = last[here, every]
+            at[every] = back[here, every]
             every = every[at[every] > 0]
-        score = ahead[np.arange(n), size]
-        gap = score - second[np.arange(n), size]
-        for w, row, c, x, g in zip(words, ids, count.tolist(), score.tolist(), gap.tolist(), strict=True):
-            self.known[w] = (row[wide - c:].tobytes(), c, x, g)
+        ids = ids[np.arange(wide) >= wide - count[:, None]]
+        unknown = ids < 0
+        if unknown.any():
+            chars, which = np.unique(ids[unknown], return_inverse=True)
+            spelt = [self.unknown(chr(-1 - c)) for c in chars.tolist()]
+            many = np.ones(len(ids), np.int64)
+            many[unknown] = np.array([len(x) for x in spelt])[which]
+            count = np.add.reduceat(many, np.cumsum(count) - count)
+            ids = np.repeat(ids, many)
+            ids[np.repeat(unknown, many)] = [x for k in which.tolist() for x in spelt[k]]
+        score, rival = ahead[size, np.arange(n)], second[size, np.arange(n)]
+        packed, z = ids.astype("<u4").tobytes(), (4 * np.cumsum(count)).tolist()
+        self.known.update(zip(words, zip([packed[a:b] for a, b in zip([0, *z[:-1]], z, strict=True)], count.tolist(), score.tolist(), (score - rival).tolist(), strict=True), strict=True))
 
     def edges(self, word: str) -> list[tuple[int, int, float]]:
         """(from, to, score) of all pieces that occur, in order of from; unknown characters are bridged."""
@@ -272,11 +297,24 @@ class Lattice:
 
     def decoded(self, ids: np.ndarray) -> str:
         """``decode`` of an array of ids, by the pieces' bytes."""
-        return b"".join(map(self.utf8.__getitem__, ids.tolist())).decode("utf-8", "replace")
+        return _runs(self.utf8, self.first, self.n_bytes, ids).tobytes().decode("utf-8", "replace")
 
     def words(self, text: str) -> list[str]:
-        s = self.normalize(text) if text else ""
-        return (_WORDS.findall(s) if self.cuts else [s]) if s else []
+        return self._split([self.normalize(text) if text else ""])[0].to_pylist()
+
+    def _split(self, texts: list[str]) -> tuple[pa.Array, np.ndarray]:
+        """The words of normalised texts, and the number of each text's first word (at last, of all words)."""
+        utf8 = [t.encode() for t in texts]
+        data = np.frombuffer(b"".join(utf8), np.uint8)
+        begin = np.concatenate([[0], np.cumsum(np.fromiter(map(len, utf8), np.int64, len(utf8)))])
+        start = np.zeros(len(data) + 1, bool)
+        if self.cuts:
+            a, b, c = SPACE.encode()
+            at = np.flatnonzero((data[:-2] == a) & (data[1:-1] == b) & (data[2:] == c))
+            start[at[np.diff(at, prepend=-3) != 3]] = True  # the first of each run
+        start[begin] = True
+        at = np.flatnonzero(start)
+        return pa.LargeStringArray.from_buffers(len(at) - 1, pa.py_buffer(at), pa.py_buffer(data)), np.searchsorted(at, begin)
 
     def _entry(self, word: str) -> tuple[bytes, int, float, float]:
         if len(self.known) >= CACHE:
@@ -287,14 +325,16 @@ class Lattice:
             self.known[word] = out
         return out
 
-    def _choices(self, word: str) -> list[tuple[float, list[int]]]:
-        if len(word) > CACHED:
-            return self.n_best(word)
-        if len(self.chosen) >= CACHE // 10:
-            self.chosen.clear()
-        if word not in self.chosen:
-            self.chosen[word] = self.n_best(word)
-        return self.chosen[word]
+    def _choices(self, word: str) -> list[tuple[float, np.ndarray]]:
+        """(score, ids) of the n best segmentations of a word."""
+        if word in self.chosen:
+            return self.chosen[word]
+        out = [(s, np.array(self.ids(word, ends), "<u4")) for s, ends in self.n_best(word)]
+        if len(word) <= CACHED:
+            if len(self.chosen) >= CACHE // 10:
+                self.chosen.clear()
+            self.chosen[word] = out
+        return out
 
     def encode_all(self, texts: list[str | None]) -> Iterator[list[tuple[float, int, int, bool]]]:
         """``encode`` of each text, the words of about ``TOGETHER`` characters learnt at a time."""
@@ -304,48 +344,48 @@ class Lattice:
             while z < len(texts) and (z == a or size < TOGETHER):
                 size += len(texts[z] or "")
                 z += 1
-            words = [self.words(t or "") for t in texts[a:z]]
-            self.learn([w for ws in words for w in ws])
-            for ws in words:
-                yield self._encode(ws)
+            yield from self._encode(texts[a:z], self.learn)
             a = z
 
     def encode(self, text: str) -> list[tuple[float, int, int, bool]]:
         """(score, number of ids, crc32 of the ids, whether they decode to the text) of the n best, best first."""
-        return self._encode(self.words(text))
-
-    def _encode(self, words: list[str]) -> list[tuple[float, int, int, bool]]:
-        if not words:
-            return [(0.0, 0, zlib.crc32(b""), True)]
-        known = self.known
-        try:
-            found = [known[w] for w in words]
-        except KeyError:
-            found = [known.get(w) or self._entry(w) for w in words]
-        parts, counts, scores, gaps = zip(*found, strict=True)
-        near, left = [], list(gaps)
-        while len(near) < min(self.n - 1, len(words)):  # the words with the nearest second choice
-            near.append(left.index(min(left)))
-            left[near[-1]] = float("inf")
-        choices = {k: self._choices(words[k]) for k in near if gaps[k] < float("inf")}
-        # sums of choices, best first: (loss, choice of each word)
-        sums: list[tuple[float, tuple]] = [(0.0, ())]
-        for k, c in choices.items():
-            sums = heapq.nsmallest(self.n, ((loss + c[0][0] - s, (*pick, (k, x))) for loss, pick in sums for x, (s, _) in enumerate(c)))
-        # every segmentation is put together and decoded as a whole
-        total, count, text = sum(scores), sum(counts), "".join(words)
-        out = []
-        for loss, pick in sums:
-            own, size = parts, count
-            if pick:
-                own = list(parts)
-                for k, x in pick:
-                    ids = self.ids(words[k], choices[k][x][1])
-                    own[k] = _packed(ids)
-                    size += len(ids) - counts[k]
-            ids = b"".join(own)
-            out.append((total - loss, size, zlib.crc32(ids), self.decoded(np.frombuffer(ids, "<u4")) == text))
-        return out
+        return next(self._encode([text]))
+
+    def _encode(self, texts: list[str | None], learn: Callable[[list[str]], None] = lambda words: None) -> Iterator[list[tuple[float, int, int, bool]]]:
+        """``encode`` of texts; each distinct word is looked up once."""
+        texts = [self.normalize(t) if t else "" for t in texts]
+        words, begin = self._split(texts)
+        words = words.dictionary_encode()
+        which, words = words.indices.to_numpy(), words.dictionary.to_numpy(zero_copy_only=False).tolist()
+        learn(words)
+        parts, counts, scores, gaps = zip(*[self.known.get(w) or self._entry(w) for w in words], strict=True) if words else ((), (), (), ())
+        size = np.array(counts, np.int64)
+        all_ids = _runs(np.frombuffer(b"".join(parts), "<u4"), np.cumsum(size) - size, size, which)
+        place = np.concatenate([[0], np.cumsum(size[which])])
+        score, gap = np.array(scores, np.float64)[which], np.array(gaps, np.float64)[which]
+        for text, a, z in zip(texts, begin[:-1].tolist(), begin[1:].tolist(), strict=True):
+            if not text:
+                yield [(0.0, 0, zlib.crc32(b""), True)]
+                continue
+            near, left = [], gap[a:z].copy()
+            while len(near) < min(self.n - 1, z - a):  # the words with the nearest second choice
+                near.append(int(left.argmin()))
+                left[near[-1]] = np.inf
+            choices = {a + k: self._choices(words[which[a + k]]) for k in near if gap[a + k] < np.inf}
+            # sums of choices, best first: (loss, choice of each word)
+            sums: list[tuple[float, tuple]] = [(0.0, ())]
+            for k, c in choices.items():
+                sums = heapq.nsmallest(self.n, ((loss + c[0][0] - s, (*pick, (k, x))) for loss, pick in sums for x, (s, _) in enumerate(c)))
+            # every segmentation is put together and decoded as a whole
+            total, out = sum(score[a:z].tolist()), []
+            for loss, pick in sums:
+                own, at = [], place[a]
+                for k, x in sorted(pick):
+                    own += [all_ids[at:place[k]], choices[k][x][1]]
+                    at = place[k + 1]
+                ids = np.concatenate([*own, all_ids[at:place[z]]])
+                out.append((total - loss, len(ids), zlib.crc32(ids), self.decoded(ids) == text))
+            yield out
 
 
 _lattices: dict[tuple[str, int], Lattice] = {}
@@ -357,6 +397,16 @@ def lattice(path: str, n: int = N) -> Lattice:
     return _lattices[path, n]
 
 
+def _slices(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Rows whose texts have at most ``TOGETHER`` bytes together, or one row."""
+    size = np.concatenate([[0], np.cumsum(pc.fill_null(pc.binary_length(b.column(1)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)])
+    a = 0
+    while a < b.num_rows:
+        z = max(a + 1, int(np.searchsorted(size, size[a] + TOGETHER, "right")) - 1)
+        yield b.slice(a, z - a)
+        a = z
+
+
 def n_best_pieces(docs: DataFrame, model: str, n: int = N, id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, rank, score, n_pieces, ids_crc32, decoded`` of the n best segmentations of each whole text.
 
@@ -369,12 +419,10 @@ def n_best_pieces(docs: DataFrame, model: str, n: int = N, id: str = "doc_id", t
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = lattice(model, n)
-        for b in batches:
-            for k in range(0, b.num_rows, 1000):
-                texts = pieces.encode_all(b.column(1).slice(k, 1000).to_pylist())
-                rows = [(i, r, *x) for i, best in zip(b.column(0).slice(k, 1000).to_pylist(), texts, strict=True) for r, x in enumerate(best)]
-                types = [pa.int64(), pa.int32(), pa.float64(), pa.int64(), pa.int64(), pa.bool_()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=["id", "rank", "score", "n_pieces", "ids_crc32", "decoded"])
+        for b in chain.from_iterable(map(_slices, batches)):
+            rows = [(i, r, *x) for i, best in zip(b.column(0).to_pylist(), pieces.encode_all(b.column(1).to_pylist()), strict=True) for r, x in enumerate(best)]
+            types = [pa.int64(), pa.int32(), pa.float64(), pa.int64(), pa.int64(), pa.bool_()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=["id", "rank", "score", "n_pieces", "ids_crc32", "decoded"])
 
     out = docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text")).mapInArrow(run, "id long, rank int, score double, n_pieces long, ids_crc32 long, decoded boolean")
     return out.withColumnRenamed("id", id)
